@@ -63,3 +63,14 @@ def classify_flow(client="client") -> Column:
         cond = c.contains(name)
         expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
     return expr
+
+
+def epoch_micros(ts) -> Column:
+    """Microseconds since 1970-01-01 of a timestamp (wall clock for NTZ)."""
+    c = _c(ts).cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+
+
+def epoch_seconds(ts) -> Column:
+    """Whole seconds since epoch (the server clock's resolution)."""
+    return F.unix_timestamp(_c(ts))

@@ -65,3 +65,23 @@ def running_sum(df: DataFrame, order: str, values: list[str], *, descending: boo
             inner = inner - F.coalesce(F.sum(v).over(peers), F.lit(0))
         out = out.withColumn(v + suffix, inner + F.col(f"__off_{v}"))
     return out.drop(_B, okey, *[f"__off_{v}" for v in values])
+
+
+def time_bucket(epoch_col, width_seconds: int):
+    return F.floor(epoch_col.cast("double") / F.lit(float(width_seconds))).cast("long")
+
+
+def bucketed_lag(df: DataFrame, keys: list[str], epoch: str, order: list[str],
+                 width_seconds: int = 86400, out: str = "prev_epoch") -> DataFrame:
+    """Previous `epoch` within `keys` in `order`, with the window partitioned by
+    (keys, time bucket) so one hot key is spread over its buckets; the first
+    row of a bucket takes the last epoch of the key's previous non-empty bucket
+    (one summary row per (key, bucket))."""
+    b = "__tb"
+    x = df.withColumn(b, time_bucket(F.col(epoch), width_seconds))
+    w = Window.partitionBy(*keys, b).orderBy(*order)
+    x = x.withColumn(out, F.lag(epoch).over(w))
+    last = x.groupBy(*keys, b).agg(F.max(epoch).alias("__last"))
+    carry = last.withColumn("__carry", F.lag("__last").over(Window.partitionBy(*keys).orderBy(b)))
+    x = x.join(carry.select(*keys, b, "__carry"), [*keys, b], "left")
+    return x.withColumn(out, F.coalesce(F.col(out), F.col("__carry"))).drop(b, "__carry")
