@@ -31,8 +31,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def rnd(c, n: int = 6):
-    """Round a double for exact comparison with the oracle."""
-    return F.round((F.col(c) if isinstance(c, str) else c).cast("double"), n)
+    """Round a double for exact comparison with the oracle, defined as
+    round(x * 10^n) / 10^n in floating point on both sides (the SQL engine's
+    round(x, n)), so values within an ulp of a half agree."""
+    x = (F.col(c) if isinstance(c, str) else c).cast("double")
+    m = float(10 ** n)
+    return F.round(x * F.lit(m), 0) / F.lit(m)
 
 
 def load_all():
