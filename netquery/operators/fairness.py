@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import classify_flow, safe_div
+from .ordered import attach_row
 
 
 def densify(df: DataFrame, step: str = "t", keys=("client",), by=("scenario",),
@@ -22,7 +23,7 @@ def densify(df: DataFrame, step: str = "t", keys=("client",), by=("scenario",),
     by, keys = list(by), list(keys)
     rng = df.groupBy(*by).agg(F.min(step).alias("__lo"), F.max(step).alias("__hi"))
     ks = df.select(*by, *keys).distinct()
-    grid = (ks.join(rng, by) if by else ks.join(rng)).select(
+    grid = (ks.join(rng, by) if by else attach_row(ks, rng)).select(
         *by, *keys, F.explode(F.sequence("__lo", "__hi")).alias(step))
     out = grid.join(df, [*by, step, *keys], "left")
     return out.fillna({v: fill for v in values if v in df.columns})

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import safe_div
-from .ordered import running_sum
+from .ordered import attach_row, running_sum
 
 # Fixed values that must equal the reference's (row and column labels).
 CM_ROWS = ("Real_Normal", "Real_Ataque")
@@ -120,7 +120,7 @@ def roc_curve(df: DataFrame, label="label", score="score") -> DataFrame:
     """AG9: (threshold, fpr, tpr) per distinct score, plus the (inf, 0, 0) origin."""
     g = _cum_desc(df, label, score)
     tot = _class_totals(df, label, score)   # one row: broadcast is size-bounded
-    pts = g.join(F.broadcast(tot)).select(
+    pts = attach_row(g, tot).select(
         F.col("score").alias("threshold"),
         safe_div(F.col("neg_cum"), F.col("N")).alias("fpr"),
         safe_div(F.col("pos_cum"), F.col("P")).alias("tpr"))
@@ -133,7 +133,7 @@ def pr_curve(df: DataFrame, label="label", score="score") -> DataFrame:
     """AG10: (threshold, precision, recall) per distinct score, plus (inf, 1, 0)."""
     g = _cum_desc(df, label, score)
     tot = _class_totals(df, label, score)
-    pts = g.join(F.broadcast(tot)).select(
+    pts = attach_row(g, tot).select(
         F.col("score").alias("threshold"),
         safe_div(F.col("pos_cum"), F.col("pos_cum") + F.col("neg_cum")).alias("precision"),
         safe_div(F.col("pos_cum"), F.col("P")).alias("recall"))

@@ -40,33 +40,52 @@ def bucket_of(key_col, splits: list[float]):
     return F.size(F.filter(arr, lambda s: s < k))
 
 
-def running_sum(df: DataFrame, order: str, values: list[str], *, descending: bool = False,
-                inclusive: bool = True, suffix: str = "_cum",
+def running_sum(df: DataFrame, order, values: list[str], *, by=(), descending: bool = False,
+                inclusive: bool = True, suffix: str = "_cum", peers: bool = True,
                 n_buckets: int | None = None) -> DataFrame:
-    """Add `<v><suffix>` = sum of v over rows before (and, if inclusive, at) each row
-    in `order` (numeric). Rows with equal `order` are peers (range frame)."""
+    """Add `<v><suffix>` = sum of v over the rows before (and, if inclusive, at)
+    each row, within `by` groups, in `order`.
+
+    `order` is a numeric column or a list whose first element is numeric (it
+    defines the buckets) followed by tie-breakers. With peers=True rows that
+    tie on the whole order share one value (range frame); with peers=False the
+    frame is row by row (needs a total order)."""
+    order = [order] if isinstance(order, str) else list(order)
+    by = list(by)
     n = n_buckets or default_buckets(df)
     okey = "__okey"
-    base = df.withColumn(okey, (-F.col(order) if descending else F.col(order)).cast("double"))
+    first = F.col(order[0])
+    base = df.withColumn(okey, (-first if descending else first).cast("double"))
     splits = bucket_splits(base, okey, n)
     b = base.withColumn(_B, bucket_of(F.col(okey), splits))
-    totals = b.groupBy(_B).agg(*[F.sum(v).alias(v) for v in values])
-    before = Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(_B, *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"__off_{v}")
-                                  for v in values])
-    b = b.join(F.broadcast(offsets), _B, "left")
-    w = (Window.partitionBy(_B).orderBy(okey)
-         .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    peers = Window.partitionBy(_B, okey)
+    totals = b.groupBy(*by, _B).agg(*[F.sum(v).alias(v) for v in values])
+    before = Window.partitionBy(*by).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*by, _B, *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"__off_{v}")
+                                       for v in values])
+    # offsets: one row per (group, bucket); without groups it is at most n+1 rows
+    b = (b.join(F.broadcast(offsets), [*by, _B], "left") if not by
+         else b.join(offsets, [*by, _B], "left"))
+    tail = [(F.col(c).desc() if descending else F.col(c).asc()) for c in order[1:]]
+    ow = Window.partitionBy(*by, _B).orderBy(F.col(okey).asc(), *tail)
+    w = (ow.rangeBetween(Window.unboundedPreceding, Window.currentRow) if peers and not tail
+         else ow.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = b
     for v in values:
         inner = F.coalesce(F.sum(v).over(w), F.lit(0))
         if not inclusive:
-            inner = inner - F.coalesce(F.sum(v).over(peers), F.lit(0))
+            inner = inner - F.coalesce(F.col(v), F.lit(0)) if (tail or not peers) else \
+                inner - F.coalesce(F.sum(v).over(Window.partitionBy(*by, _B, okey)), F.lit(0))
         out = out.withColumn(v + suffix, inner + F.col(f"__off_{v}"))
     return out.drop(_B, okey, *[f"__off_{v}" for v in values])
 
 
+def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Append the columns of a single-row aggregate to every row: a broadcast
+    equi-join on a constant key (the broadcast side is exactly one row)."""
+    return (df.withColumn("__one", F.lit(1))
+            .join(F.broadcast(one_row.withColumn("__one", F.lit(1))), "__one").drop("__one"))
+
+
 def time_bucket(epoch_col, width_seconds: int):
     return F.floor(epoch_col.cast("double") / F.lit(float(width_seconds))).cast("long")
 

@@ -190,3 +190,73 @@ ks AS (SELECT DISTINCT scenario, client FROM h),
 grid AS (SELECT ks.scenario, ks.client, unnest(generate_series(rng.lo, rng.hi)) AS t FROM ks JOIN rng ON ks.scenario = rng.scenario),
 dense AS (SELECT g.scenario, g.t, g.client, coalesce(h.throughput, 0) AS throughput, coalesce(h.drops, 0) AS drops, h.rtt_ms
           FROM grid g LEFT JOIN h ON g.scenario = h.scenario AND g.t = h.t AND g.client = h.client)"""
+
+
+# --- connection records (NSL-KDD form) derived from lineitem x orders ---
+# Learnable label: attacks are high-discount bulk lines and zero-tax lines.
+
+def connection_records(spark, sf):
+    from ..functions.hashing import uniform
+    from ..sources.readers import CONNECTION_COLUMNS
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                                             "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_totalprice", "o_orderpriority")
+    j = li.join(o, "l_orderkey")
+    cid = (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("conn_id")
+    j = j.withColumn("conn_id", cid)
+    split = F.when(uniform("conn_id", 42, "split") < 0.2, F.lit("test")).otherwise(F.lit("train"))
+    j = j.withColumn("split", split)
+    rf, ls, ln = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_linenumber")
+    service = F.when((F.col("split") == "test") & (ln == 7), F.lit("x11")).otherwise(
+        F.regexp_replace(F.lower(F.substring("o_orderpriority", 3, 100)), " ", "_"))
+    flag = (F.when((F.col("split") == "train") & (ln == 6) & (F.year("l_shipdate") == 1995), F.lit("REJ"))
+            .when(ls == "F", F.lit("SF")).otherwise(F.lit("S0")))
+    attack = (F.when((F.col("l_discount") > 0.05) & (F.col("l_quantity") > 25), F.lit("neptune"))
+              .when(F.col("l_tax") < 0.01, F.lit("smurf"))
+              .when(ln == 5, F.lit(None).cast("string")).otherwise(F.lit("normal")))
+    vals = {
+        "duration": (F.col("l_quantity") - 1).cast("long"),
+        "protocol_type": F.when(rf == "A", "tcp").when(rf == "N", "udp").otherwise("icmp"),
+        "service": service, "flag": flag,
+        "src_bytes": F.floor(F.col("l_extendedprice")).cast("long"),
+        "dst_bytes": F.when(rf == "R", F.lit(0)).otherwise(F.floor(F.col("o_totalprice") / 10)).cast("long"),
+        "hot": (ln - 1).cast("long"), "logged_in": (ls == "O").cast("long"),
+        "count": F.floor(F.col("l_quantity") * 2).cast("long"),
+        "srv_count": F.floor(F.col("l_extendedprice") / 1000).cast("long"),
+        "serror_rate": F.col("l_discount") * 10, "rerror_rate": F.col("l_tax") * 12.5,
+        "same_srv_rate": F.col("l_quantity") / 50.0,
+        "dst_host_count": (F.col("l_orderkey") % 256).cast("long"),
+        "attack": attack, "difficulty": ln.cast("int"),
+    }
+    from ..sources.readers import connection_schema
+    types = {f.name: f.dataType for f in connection_schema().fields}
+    cols = []
+    for c in CONNECTION_COLUMNS:
+        e = vals.get(c)
+        if e is None:
+            e = F.lit(0.0) if c.endswith("_rate") else F.lit(0)
+        cols.append(e.cast(types[c]).alias(c))
+    return j.select("conn_id", "split", *cols)
+
+
+CONNECTION_SQL = """
+WITH j AS (
+  SELECT l.*, o.o_totalprice, o.o_orderpriority, l.l_orderkey * 8 + l.l_linenumber AS conn_id FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+s AS (SELECT *, CASE WHEN ('0x' || substr(md5(CAST(conn_id AS VARCHAR) || '42' || 'split'), 1, 8))::BIGINT / 4294967296.0 < 0.2
+                     THEN 'test' ELSE 'train' END AS split FROM j)
+SELECT conn_id, split,
+  CAST(l_quantity - 1 AS BIGINT) AS duration,
+  CASE l_returnflag WHEN 'A' THEN 'tcp' WHEN 'N' THEN 'udp' ELSE 'icmp' END AS protocol_type,
+  CASE WHEN split = 'test' AND l_linenumber = 7 THEN 'x11' ELSE replace(lower(substr(o_orderpriority, 3, 100)), ' ', '_') END AS service,
+  CASE WHEN split = 'train' AND l_linenumber = 6 AND year(l_shipdate) = 1995 THEN 'REJ' WHEN l_linestatus = 'F' THEN 'SF' ELSE 'S0' END AS flag,
+  CAST(floor(l_extendedprice) AS BIGINT) AS src_bytes,
+  CAST(CASE WHEN l_returnflag = 'R' THEN 0 ELSE floor(o_totalprice / 10) END AS BIGINT) AS dst_bytes,
+  CAST(0 AS BIGINT) AS land, CAST(l_linenumber - 1 AS BIGINT) AS hot,
+  CAST(l_linestatus = 'O' AS BIGINT) AS logged_in,
+  CAST(floor(l_quantity * 2) AS BIGINT) AS count, CAST(floor(l_extendedprice / 1000) AS BIGINT) AS srv_count,
+  l_discount * 10 AS serror_rate, l_tax * 12.5 AS rerror_rate, l_quantity / 50.0 AS same_srv_rate,
+  CAST(l_orderkey % 256 AS BIGINT) AS dst_host_count,
+  CASE WHEN l_discount > 0.05 AND l_quantity > 25 THEN 'neptune' WHEN l_tax < 0.01 THEN 'smurf'
+       WHEN l_linenumber = 5 THEN NULL ELSE 'normal' END AS attack,
+  CAST(l_linenumber AS INTEGER) AS difficulty
+FROM s"""

@@ -34,7 +34,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF" if os.environ.get("NETQUERY_QUIET") else "ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
