@@ -192,18 +192,36 @@ dense AS (SELECT g.scenario, g.t, g.client, coalesce(h.throughput, 0) AS through
           FROM grid g LEFT JOIN h ON g.scenario = h.scenario AND g.t = h.t AND g.client = h.client)"""
 
 
+# --- a content key for lineitem rows: (orderkey, linenumber) repeats in the
+# driver data, the full row does not. Integer renderings keep it identical in
+# both engines.
+
+def line_key():
+    cents = lambda c: F.round(F.col(c) * 100).cast("long").cast("string")
+    parts = [F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"),
+             F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"), cents("l_extendedprice"),
+             cents("l_quantity"), cents("l_discount"), cents("l_tax"), F.unix_timestamp("l_shipdate").cast("string")]
+    return F.concat_ws("-", *parts)
+
+
+def line_key_sql(p=""):
+    c = lambda x: f"CAST(round({p}{x} * 100) AS BIGINT)"
+    return (f"concat_ws('-', {p}l_orderkey, {p}l_linenumber, {p}l_partkey, {p}l_suppkey, {c('l_extendedprice')}, "
+            f"{c('l_quantity')}, {c('l_discount')}, {c('l_tax')}, CAST(floor(epoch({p}l_shipdate)) AS BIGINT))")
+
+
 # --- connection records (NSL-KDD form) derived from lineitem x orders ---
 # Learnable label: attacks are high-discount bulk lines and zero-tax lines.
 
 def connection_records(spark, sf):
     from ..functions.hashing import uniform
     from ..sources.readers import CONNECTION_COLUMNS
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
-                                             "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                                             "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+                                             "l_shipdate")
     o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_totalprice", "o_orderpriority")
     j = li.join(o, "l_orderkey")
-    cid = (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("conn_id")
-    j = j.withColumn("conn_id", cid)
+    j = j.withColumn("conn_id", line_key())
     split = F.when(uniform("conn_id", 42, "split") < 0.2, F.lit("test")).otherwise(F.lit("train"))
     j = j.withColumn("split", split)
     rf, ls, ln = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_linenumber")
@@ -239,9 +257,9 @@ def connection_records(spark, sf):
     return j.select("conn_id", "split", *cols)
 
 
-CONNECTION_SQL = """
+CONNECTION_SQL = f"""
 WITH j AS (
-  SELECT l.*, o.o_totalprice, o.o_orderpriority, l.l_orderkey * 8 + l.l_linenumber AS conn_id FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+  SELECT l.*, o.o_totalprice, o.o_orderpriority, {line_key_sql("l.")} AS conn_id FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
 s AS (SELECT *, CASE WHEN ('0x' || substr(md5(CAST(conn_id AS VARCHAR) || '42' || 'split'), 1, 8))::BIGINT / 4294967296.0 < 0.2
                      THEN 'test' ELSE 'train' END AS split FROM j)
 SELECT conn_id, split,

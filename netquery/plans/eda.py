@@ -8,7 +8,7 @@ from ..functions.hashing import poisson1_sql
 from ..functions.scalar import attack_label, importance
 from ..operators import sampling as SM
 from ..operators import stats as ST
-from .derived import CONNECTION_SQL, connection_records
+from .derived import CONNECTION_SQL, connection_records, line_key, line_key_sql
 from .registry import query, rnd, table
 
 
@@ -87,21 +87,20 @@ def q_class_weights(spark, sf):
     return ST.class_weights(e).select("label", "n_c", rnd("weight").alias("weight"))
 
 
-_KEY = "l_orderkey * 8 + l_linenumber"
+_KEY = line_key_sql()
 
 
 @query("sample_n", oracle=f"""
 SELECT {_KEY} AS row_key, l_extendedprice FROM lineitem
-ORDER BY md5(CAST({_KEY} AS VARCHAR) || '42'), {_KEY} LIMIT 1000""")
+ORDER BY md5({_KEY} || '42'), {_KEY} LIMIT 1000""")
 def q_sample_n(spark, sf):
-    li = table(spark, sf, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_key"),
-                                             "l_extendedprice")
+    li = table(spark, sf, "lineitem").select(line_key().alias("row_key"), "l_extendedprice")
     return SM.sample_n(li, 1000, "row_key", 42)
 
 
 @query("scatter_points", oracle=f"""
 WITH c AS ({CONNECTION_SQL}),
-s AS (SELECT conn_id, attack, duration, src_bytes FROM c ORDER BY md5(CAST(conn_id AS VARCHAR) || '42'), conn_id LIMIT 10000)
+s AS (SELECT conn_id, attack, duration, src_bytes FROM c ORDER BY md5(conn_id || '42'), conn_id LIMIT 10000)
 SELECT conn_id, attack, duration, src_bytes, round(log10(duration), 6) AS log10_duration, round(log10(src_bytes), 6) AS log10_src_bytes
 FROM s WHERE duration > 0 AND src_bytes > 0""")
 def q_scatter_points(spark, sf):

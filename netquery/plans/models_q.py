@@ -1 +1,277 @@
-"""Query plans."""
+"""Model queries (ML1-ML11, ML13-ML15, EN1-EN3, TU1-TU3, FE5, IO7).
+
+Each fits on the train split of the connection records derived from
+lineitem x orders (label learnable from features) and returns one row per
+model. Fits are not SQL-expressible, so there is no oracle (rows-only
+check), except Gaussian NB on embeddings, which is pure aggregation.
+
+DRIVER sizes: the registered queries use small tree counts / iteration
+counts so the sf0.01 check stays short; the library defaults (classifiers.py,
+custom.py) are the reference's parameters."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from ..functions.hashing import uniform
+from ..models import base as B
+from ..models import bayes as NB
+from ..models import classifiers as CL
+from ..models import custom as CU
+from ..models import ensembles as EN
+from ..models import tuning as TU
+from ..operators import features as FE
+from ..operators import metrics as M
+from ..session import scratch_path
+from .derived import connection_records
+from .registry import query, rnd, table
+
+DRIVER = dict(trees=20, depth=12, gbt_iter=20, boost_iter=30, ada_rounds=10, et_groups=3, rff=100,
+              lin_iter=50, stack_trees=10, stack_gbt=10, cv_iter=20)
+
+_CACHE: dict = {}
+
+
+def prepared(spark, sf, balanced=True):
+    k = (id(spark), sf, balanced)
+    p = _CACHE.get(k)
+    if p is None or p.train.sparkSession is not spark:
+        p = B.prepare(connection_records(spark, sf), balanced=balanced)
+        _CACHE[k] = p
+    return p
+
+
+def _row(pred, name, kind="probability"):
+    """kind: 'probability' / 'raw' derive the score; 'keep' uses the model's
+    own score column; None reports no AUC (ensembles, as in the reference)."""
+    if kind in ("probability", "raw"):
+        pred = B.with_score(pred, kind)
+    r = B.evaluate(pred, name, has_score=kind is not None)
+    return r.select("model", *[rnd(c).alias(c) for c in ("accuracy", "precision", "recall", "f1", "roc_auc")])
+
+
+@query("model_logreg")
+def q_model_logreg(spark, sf):
+    p = prepared(spark, sf)
+    m = CL.logistic_regression(B.n_weight(p.train), max_iter=DRIVER["lin_iter"]).fit(p.train)
+    return _row(m.transform(p.test), "LogReg")
+
+
+@query("model_linear_svc")
+def q_model_linear_svc(spark, sf):
+    p = prepared(spark, sf)
+    m = CL.linear_svc(B.n_weight(p.train), max_iter=DRIVER["lin_iter"]).fit(p.train)
+    return _row(m.transform(p.test), "LinearSVC", "raw")
+
+
+@query("model_decision_tree")
+def q_model_decision_tree(spark, sf):
+    p = prepared(spark, sf)
+    return _row(CL.decision_tree().fit(p.train).transform(p.test), "DecisionTree")
+
+
+@query("model_random_forest")
+def q_model_random_forest(spark, sf):
+    p = prepared(spark, sf)
+    m = CL.random_forest(DRIVER["trees"], max_depth=DRIVER["depth"]).fit(p.train)
+    return _row(m.transform(p.test), "RandomForest")
+
+
+@query("model_extra_trees")
+def q_model_extra_trees(spark, sf):
+    p = prepared(spark, sf)
+    m = CU.fit_extra_trees(p.train, num_trees=DRIVER["trees"], groups=DRIVER["et_groups"], max_depth=DRIVER["depth"])
+    return _row(m.transform(p.test), "ExtraTrees", "keep")
+
+
+@query("model_gradient_boosting")
+def q_model_gradient_boosting(spark, sf):
+    p = prepared(spark, sf)
+    return _row(CL.gradient_boosting(DRIVER["gbt_iter"]).fit(p.train).transform(p.test), "GradBoost")
+
+
+@query("model_adaboost")
+def q_model_adaboost(spark, sf):
+    p = prepared(spark, sf)
+    m = CU.fit_adaboost(p.train, n_estimators=DRIVER["ada_rounds"])
+    return _row(m.transform(p.test), "AdaBoost", "keep")
+
+
+@query("model_gaussian_nb")
+def q_model_gaussian_nb(spark, sf):
+    p = prepared(spark, sf)
+    return _row(CL.gaussian_nb().fit(p.train).transform(p.test), "GaussianNB")
+
+
+@query("model_lda")
+def q_model_lda(spark, sf):
+    p = prepared(spark, sf)
+    return _row(CU.fit_lda(p.train).transform(p.test), "LDA", "keep")
+
+
+@query("model_lightgbm_like")
+def q_model_lightgbm_like(spark, sf):
+    p = prepared(spark, sf)
+    return _row(CL.lightgbm_like(DRIVER["boost_iter"]).fit(p.train).transform(p.test), "LightGBM")
+
+
+@query("model_catboost_like")
+def q_model_catboost_like(spark, sf):
+    p = prepared(spark, sf)
+    return _row(CL.catboost_like(DRIVER["boost_iter"]).fit(p.train).transform(p.test), "CatBoost")
+
+
+@query("model_rbf_svc")
+def q_model_rbf_svc(spark, sf):
+    p = prepared(spark, sf)
+    m = CU.fit_rbf_svc(p.train, n_components=DRIVER["rff"], max_iter=DRIVER["lin_iter"])
+    return _row(m.transform(p.test), "SVC_RBF", "keep")
+
+
+def _regression_frames(spark, sf, leaky=True):
+    recs = connection_records(spark, sf).withColumn(
+        "importance_score", F.log1p(F.col("src_bytes").cast("double") + F.col("dst_bytes").cast("double")))
+    numeric = [c for c in B.NUMERIC_FEATURES if leaky or c not in ("src_bytes", "dst_bytes")]
+    pre = B.fit_preprocessing(recs.where(F.col("split") == "train"), numeric, with_mean=True)
+    t = pre.transform(recs).select("conn_id", "split", "features", F.col("importance_score").alias("label"))
+    return t.where(F.col("split") == "train"), t.where(F.col("split") == "test")
+
+
+def _reg_row(pred, name):
+    r = M.regression_metrics(pred)
+    return r.select(F.lit(name).alias("model"), rnd("mse").alias("mse"), rnd("r2").alias("r2"))
+
+
+@query("regression_linear")
+def q_regression_linear(spark, sf):
+    """ML14 (leaky target, as in the reference) and the variant without the byte columns."""
+    tr, te = _regression_frames(spark, sf, True)
+    a = _reg_row(CL.linear_regression().fit(tr).transform(te), "LinearRegression")
+    tr2, te2 = _regression_frames(spark, sf, False)
+    b = _reg_row(CL.linear_regression().fit(tr2).transform(te2), "LinearRegression(no bytes)")
+    return a.unionByName(b)
+
+
+@query("regression_forest")
+def q_regression_forest(spark, sf):
+    tr, te = _regression_frames(spark, sf, True)
+    m = CL.random_forest_regressor(DRIVER["trees"], max_depth=DRIVER["depth"]).fit(tr)
+    return _reg_row(m.transform(te), "RandomForestRegressor")
+
+
+@query("ensemble_voting")
+def q_ensemble_voting(spark, sf):
+    p = prepared(spark, sf)
+    n = B.n_weight(p.train)
+    members = {"lr": CL.logistic_regression(n, max_iter=DRIVER["lin_iter"], weighted=False).fit(p.train),
+               "rf": CL.random_forest(DRIVER["trees"], weighted=False, max_depth=DRIVER["depth"]).fit(p.train),
+               "et": CU.fit_extra_trees(p.train, DRIVER["trees"], DRIVER["et_groups"], DRIVER["depth"], weighted=False)}
+    v = EN.hard_vote(members, p.test, "conn_id")
+    return _row(v, "Voting(hard)", None)
+
+
+@query("ensemble_stacking")
+def q_ensemble_stacking(spark, sf):
+    p = prepared(spark, sf)
+    ests = {"rf": lambda: CL.random_forest(DRIVER["stack_trees"], weighted=False, max_depth=DRIVER["depth"]),
+            "gb": lambda: CL.gradient_boosting(DRIVER["stack_gbt"]),
+            "lda": lambda: _LDAEstimator()}
+    m = EN.fit_stacking(p.train, ests, "conn_id", folds=5)
+    return _row(m.transform(p.test), "Stacking", None)
+
+
+class _LDAEstimator:
+    def fit(self, df):
+        return CU.fit_lda(df)
+
+
+@query("ensemble_bagging")
+def q_ensemble_bagging(spark, sf):
+    p = prepared(spark, sf)
+    return _row(CL.bagging_trees(DRIVER["trees"], max_depth=DRIVER["depth"]).fit(p.train).transform(p.test),
+                "Bagging(Tree)", None)
+
+
+@query("tune_randomized")
+def q_tune_randomized(spark, sf):
+    """TU1 on the logistic regression grid (C over a log grid), 8 draws, 3 folds, F1."""
+    p = prepared(spark, sf)
+    n = B.n_weight(p.train)
+    est = CL.logistic_regression(n, max_iter=DRIVER["cv_iter"])
+    grid = {"regParam": [1.0 / (c * n) for c in [10 ** (-3 + 4 * i / 9) for i in range(10)]]}
+    cv = TU.randomized_search(est, grid, p.train, "conn_id", n_iter=8, folds=3, parallelism=4)
+    return _row(cv.bestModel.transform(p.test), "LogReg(tuned)")
+
+
+@query("tune_grid")
+def q_tune_grid(spark, sf):
+    """TU2: 2 x 2 forest grid, 2 folds, accuracy."""
+    p = prepared(spark, sf, balanced=False)
+    est = CL.random_forest(5, weighted=False, max_depth=DRIVER["depth"])
+    cv = TU.grid_search(est, {"numTrees": [5, 10], "maxDepth": [DRIVER["depth"], 6]}, p.train, "conn_id", folds=2)
+    return _row(cv.bestModel.transform(p.test), "RandomForest(grid)")
+
+
+@query("evaluate_many")
+def q_evaluate_many(spark, sf):
+    """TU3: evaluate several estimators and rank them (F1, accuracy)."""
+    p = prepared(spark, sf)
+    n = B.n_weight(p.train)
+    ests = {"LogReg": (CL.logistic_regression(n, max_iter=DRIVER["lin_iter"]), "probability"),
+            "DecisionTree": (CL.decision_tree(), "probability"),
+            "GaussianNB": (CL.gaussian_nb(), "probability"),
+            "LDA": (CU.fit_lda, "keep")}
+    return TU.evaluate_many(ests, p.train, p.test).select(
+        "model", *[rnd(c).alias(c) for c in ("accuracy", "precision", "recall", "f1", "roc_auc")])
+
+
+@query("feature_importance")
+def q_feature_importance(spark, sf):
+    """FE5: forest importances by assembled feature name."""
+    p = prepared(spark, sf)
+    m = CL.random_forest(DRIVER["trees"], max_depth=DRIVER["depth"]).fit(p.train)
+    attrs = p.train.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
+    names = [None] * p.n_features
+    for group in attrs.values():
+        for a in group:
+            names[a["idx"]] = a["name"]
+    names = [(n or f"f{i}").removeprefix("__s_") for i, n in enumerate(names)]
+    return FE.feature_importance(m, names, spark).select("feature", rnd("importance").alias("importance"))
+
+
+@query("model_save_load")
+def q_model_save_load(spark, sf):
+    """IO7: persist encoding + scaling + tree as one PipelineModel, reload, score raw records."""
+    p = prepared(spark, sf)
+    m = CL.decision_tree().fit(p.train)
+    path = scratch_path(spark, f"model-{uuid.uuid4().hex}")
+    TU.save_model(p.pre, m, path)
+    recs = connection_records(spark, sf).where(F.col("split") == "test").withColumn(
+        "label", (~F.col("attack").eqNullSafe("normal")).cast("double"))
+    scored = TU.load_and_score(path, recs)
+    return _row(scored, "DecisionTree(reloaded)")
+
+
+_E_SPLIT = "CASE WHEN ('0x' || substr(md5(CAST(vec_id AS VARCHAR) || '42' || 'split'), 1, 8))::BIGINT / 4294967296.0 < 0.2 THEN 'test' ELSE 'train' END"
+
+
+@query("nb_embeddings", oracle=f"""
+WITH e AS (SELECT vec_id, CAST(label < 5 AS INTEGER) AS y, embedding, {_E_SPLIT} AS split FROM embeddings),
+l AS (SELECT vec_id, y, split, CAST(unnest(embedding) AS DOUBLE) AS x, unnest(generate_series(1, len(embedding))) AS j FROM e),
+st AS (SELECT y, j, avg(x) AS mu, var_pop(x) AS v FROM l WHERE split = 'train' GROUP BY y, j),
+eps AS (SELECT 1e-9 * max(v) AS eps FROM (SELECT j, var_pop(x) AS v FROM l WHERE split = 'train' GROUP BY j)),
+pr AS (SELECT y, ln(count(*) / sum(count(*)) OVER ()) AS lp FROM e WHERE split = 'train' GROUP BY y),
+ll AS (SELECT l.vec_id, st.y, sum(-0.5 * ln(2 * pi() * (st.v + eps.eps)) - (l.x - st.mu) * (l.x - st.mu) / (2 * (st.v + eps.eps))) AS ll
+       FROM l JOIN st ON l.j = st.j CROSS JOIN eps WHERE l.split = 'test' GROUP BY l.vec_id, st.y),
+sc AS (SELECT ll.vec_id, ll.y, ll.ll + pr.lp AS s FROM ll JOIN pr ON ll.y = pr.y)
+SELECT vec_id, arg_max(y, s) AS prediction, round(max(s) - min(s), 3) AS margin FROM sc GROUP BY vec_id""")
+def q_nb_embeddings(spark, sf):
+    """ML8 as aggregates over the 64-d embeddings (label < 5 is class 1)."""
+    e = table(spark, sf, "embeddings").select(
+        "vec_id", "embedding", (F.col("label") < 5).cast("int").alias("y"),
+        F.when(uniform("vec_id", 42, "split") < 0.2, F.lit("test")).otherwise(F.lit("train")).alias("split"))
+    model = NB.fit_gaussian_nb(e.where(F.col("split") == "train"), "vec_id", "embedding", "y")
+    p = NB.predict_gaussian_nb(e.where(F.col("split") == "test"), model, "vec_id", "embedding", "y")
+    return p.select("vec_id", "prediction", rnd("margin", 3).alias("margin"))

@@ -29,8 +29,9 @@ def main():
             if name in o:
                 r = compare(spark, name, q[name], o[name], sf, con)
             else:
-                n = q[name](spark, sf).count()
-                r = {"name": name, "spark_rows": n, "ok": True, "rows_only": True}
+                rows = q[name](spark, sf).collect()
+                r = {"name": name, "spark_rows": len(rows), "ok": True, "rows_only": True,
+                     "sample": [tuple(x) for x in rows[:2]]}
         except Exception as e:  # report and continue
             r = {"name": name, "ok": False, "error": repr(e)[:600]}
         r["sec"] = round(time.time() - t, 2)
