@@ -22,7 +22,11 @@ def _dec(t10):
 
 
 def telemetry_lines(spark, sf):
-    e = table(spark, sf, "events")
+    return telemetry_lines_from(table(spark, sf, "events"))
+
+
+def telemetry_lines_from(e):
+    """Works on a batch table or a stream of events."""
     epoch = F.unix_timestamp("ts").cast("string")
     k = F.get_json_object("props", "$.k").cast("long")
     temp = _dec(_t10())
@@ -37,7 +41,7 @@ def telemetry_lines(spark, sf):
             .when(et == "error", F.concat(F.lit("DATA "), epoch, F.lit(" TEMP=x"), temp, F.lit(";HUM="), hum))
             .otherwise(F.when(F.col("event_id") % 2 == 0, F.lit("ERROR DATA corrupted"))
                        .otherwise(F.concat(F.lit("DATA "), epoch))))
-    return e.select("event_id", "ts", line.alias("line"))
+    return e.select("event_id", "ts", (F.col("user_id") % 10).alias("sensor_id"), line.alias("line"))
 
 
 _EP = "CAST(floor(epoch(ts)) AS BIGINT)"
@@ -52,7 +56,7 @@ def _dec_sql(t10):
 _TEMP = _dec_sql(_T10)
 _HUM = f"CAST({_K} AS VARCHAR) || '.' || CAST(event_id % 10 AS VARCHAR)"
 TELEMETRY_LINES_SQL = f"""
-SELECT event_id, ts,
+SELECT event_id, ts, user_id % 10 AS sensor_id,
   CASE event_type
     WHEN 'view' THEN '[Servidor] DATA ' || CAST({_EP} AS VARCHAR) || ' TEMP=' || {_TEMP} || ';HUM=' || {_HUM}
     WHEN 'click' THEN 'DATA ' || CAST({_EP} AS VARCHAR) || ' TEMP=' || {_TEMP} || ';HUM=' || {_HUM}
@@ -69,12 +73,12 @@ PARSED_SQL = f"""
 lines AS ({TELEMETRY_LINES_SQL}),
 tagged AS (SELECT * FROM lines WHERE NOT contains(line, 'ERROR') AND NOT (contains(line, 'MOVE_') OR contains(line, 'MOVE '))
            AND contains(line, 'DATA ')),
-toks AS (SELECT event_id, ts, list_filter(string_split_regex(trim(regexp_extract(line, 'DATA(.*)$', 1)), '\\s+'), lambda x: x <> '') AS tok FROM tagged),
-pe AS (SELECT event_id, TRY_CAST(tok[1] AS BIGINT) AS epoch,
+toks AS (SELECT event_id, ts, sensor_id, list_filter(string_split_regex(trim(regexp_extract(line, 'DATA(.*)$', 1)), '\\s+'), lambda x: x <> '') AS tok FROM tagged),
+pe AS (SELECT event_id, sensor_id, TRY_CAST(tok[1] AS BIGINT) AS epoch,
               list_filter(string_split(coalesce(tok[2], ''), ';'), lambda x: strpos(x, '=') > 0) AS kvs FROM toks),
-good AS (SELECT event_id, epoch,
+good AS (SELECT event_id, sensor_id, epoch,
            list_filter(kvs, lambda x: TRY_CAST(substr(x, strpos(x, '=') + 1) AS DOUBLE) IS NOT NULL) AS kv FROM pe WHERE epoch BETWEEN 0 AND 137438953472),
-parsed AS (SELECT event_id, make_timestamp(epoch * 1000000) AS ts, epoch,
+parsed AS (SELECT event_id, sensor_id, make_timestamp(epoch * 1000000) AS ts, epoch,
    TRY_CAST(substr(list_filter(kv, lambda x: split_part(x, '=', 1) = 'TEMP')[-1], strpos(list_filter(kv, lambda x: split_part(x, '=', 1) = 'TEMP')[-1], '=') + 1) AS DOUBLE) AS temp,
    TRY_CAST(substr(list_filter(kv, lambda x: split_part(x, '=', 1) = 'HUM')[-1], strpos(list_filter(kv, lambda x: split_part(x, '=', 1) = 'HUM')[-1], '=') + 1) AS DOUBLE) AS hum,
    len(list_distinct(list_transform(kv, lambda x: split_part(x, '=', 1)))) AS n_vars FROM good)"""
@@ -91,7 +95,12 @@ def _pick(arr, idx):
 
 
 def commands(spark, sf):
-    e = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")
+    return commands_from(table(spark, sf, "events"))
+
+
+def commands_from(e):
+    """Works on a batch table or a stream of events."""
+    e = e.select("event_id", "ts", "user_id", "event_type")
     i = F.col("event_id")
     et = F.col("event_type")
     line = (F.when(et == "signup", F.when(i % 3 == 0, F.lit("LOGIN ADMIN admin"))
