@@ -41,16 +41,20 @@ def parse_telemetry(df: DataFrame, line: str = "value") -> DataFrame:
 
     Lines tagged other than DATA (ERROR/MOVE take precedence) and lines whose
     timestamp is not a number (or is out of range) are dropped, as a display
-    client skips them. `ts` is the log's whole-second time as TIMESTAMP_NTZ."""
+    client skips them. `ts` is the log's whole-second time as TIMESTAMP_NTZ.
+
+    The tag, epoch and map are computed once per line behind a one-row
+    generator: filters on them cannot be pushed below it, so the optimizer
+    does not re-evaluate the parse (or the line's own expression) per use."""
     rest = F.regexp_extract(_c(line), r"DATA(.*)$", 1)
     toks = F.filter(F.split(F.trim(rest), r"\s+"), lambda t: t != "")
     epoch = F.try_element_at(toks, F.lit(1)).try_cast("long")
     payload = F.coalesce(F.try_element_at(toks, F.lit(2)), F.lit(""))
-    out = (df.where(tag_message(line) == "DATA")
-           .withColumn("epoch", epoch)
-           .where(F.col("epoch").between(0, MAX_EPOCH))
-           .withColumn("ts", epoch_to_ntz("epoch"))
-           .withColumn("vars", kv_map(payload)))
+    parsed = F.struct(tag_message(line).alias("__tag"), epoch.alias("epoch"), kv_map(payload).alias("vars"))
+    out = (df.select("*", F.inline(F.array(parsed)))
+           .where((F.col("__tag") == "DATA") & F.col("epoch").between(0, MAX_EPOCH))
+           .drop("__tag")
+           .withColumn("ts", epoch_to_ntz("epoch")))
     return out
 
 
