@@ -160,7 +160,7 @@ r AS (SELECT model, accuracy, precision, recall,
 
 def _ranked(df):
     w = Window.orderBy(F.col("f1").desc(), F.col("accuracy").desc(), F.col("model").asc())
-    return df.withColumn("rank", F.row_number().over(w))
+    return df.withColumn("rank", F.row_number().over(w).cast("long"))
 
 
 def _round_board(df, extra=()):

@@ -71,7 +71,7 @@ f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lof, q3 + 1.5 * (q3 - q1) AS hif FROM q)
 SELECT f.l_returnflag, f.n, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
        round(min(CASE WHEN x BETWEEN lof AND hif THEN x END), 6) AS lower_whisker,
        round(max(CASE WHEN x BETWEEN lof AND hif THEN x END), 6) AS upper_whisker,
-       count_if(NOT (x BETWEEN lof AND hif)) AS outliers
+       CAST(count_if(NOT (x BETWEEN lof AND hif)) AS BIGINT) AS outliers
 FROM f JOIN v ON f.l_returnflag = v.l_returnflag GROUP BY f.l_returnflag, f.n, q1, median, q3""")
 def q_box_stats(spark, sf):
     b = ST.box_stats(_importance(spark, sf), "l_returnflag", "importance_score")
@@ -125,7 +125,7 @@ _U_SQL = "(('0x' || substr(md5(CAST(vec_id AS VARCHAR) || '42' || CAST(r AS VARC
 @query("bootstrap_weights", oracle=f"""
 WITH x AS (SELECT vec_id, unnest(generate_series(0, 99)) AS r FROM embeddings),
 w AS (SELECT r, {poisson1_sql(_U_SQL)} AS weight FROM x)
-SELECT CAST(r AS INTEGER) AS replicate, CAST(sum(weight) AS BIGINT) AS drawn, count_if(weight > 0) AS distinct_rows FROM w GROUP BY r""")
+SELECT CAST(r AS INTEGER) AS replicate, CAST(sum(weight) AS BIGINT) AS drawn, CAST(count_if(weight > 0) AS BIGINT) AS distinct_rows FROM w GROUP BY r""")
 def q_bootstrap_weights(spark, sf):
     e = table(spark, sf, "embeddings").select("vec_id")
     b = SM.bootstrap_weights(e, "vec_id", 100, 42)

@@ -27,7 +27,7 @@ def _roundtrip_headerless(spark, sf):
 WITH c AS ({CONNECTION_SQL})
 SELECT protocol_type, CASE WHEN attack IS NOT DISTINCT FROM 'normal' THEN 0 ELSE 1 END AS label, count(*) AS n,
        CAST(sum(src_bytes) AS BIGINT) AS src_bytes, CAST(sum(dst_bytes) AS BIGINT) AS dst_bytes,
-       round(avg(serror_rate), 6) AS serror_rate, count_if(attack IS NULL) AS missing_attack
+       round(avg(serror_rate), 6) AS serror_rate, CAST(count_if(attack IS NULL) AS BIGINT) AS missing_attack
 FROM c WHERE split = 'train' GROUP BY ALL""")
 def q_read_connections_csv(spark, sf):
     """IO1 + IO5: headerless CSV with imposed names and types."""

@@ -74,7 +74,8 @@ def q_rtt_by_algorithm(spark, sf):
 
 
 @query("flow_step_counts", oracle=f"""
-SELECT scenario, t, client, count(*) AS attempted, count_if(served) AS served, count_if(NOT served) AS dropped
+SELECT scenario, t, client, count(*) AS attempted, CAST(count_if(served) AS BIGINT) AS served,
+       CAST(count_if(NOT served) AS BIGINT) AS dropped
 FROM ({PACKETS_SQL}) GROUP BY ALL""")
 def q_flow_step_counts(spark, sf):
     return FA.flow_step_counts(packets(spark, sf))

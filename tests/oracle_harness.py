@@ -50,6 +50,23 @@ def _rows(cols, rows):
     return sorted(out, key=repr)
 
 
+_SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                  "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT",
+                  "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+
+
+def type_mismatches(sdf, rel):
+    """Columns whose Spark type does not map to the oracle's DuckDB type."""
+    duck_types = {d[0]: str(d[1]) for d in rel.description}
+    out = {}
+    for name, t in sdf.dtypes:
+        want = _SPARK_TO_DUCK.get(t, t.upper())
+        got = duck_types.get(name)
+        if got is not None and got.upper() != want:
+            out[name] = (t, got)
+    return out
+
+
 def compare(spark, name, builder, sql, sf_dir, con=None):
     con = con or duck(sf_dir)
     sdf = builder(spark, sf_dir)
@@ -60,6 +77,9 @@ def compare(spark, name, builder, sql, sf_dir, con=None):
     d_rows = rel.fetchall()
     res = {"name": name, "spark_rows": len(s_rows), "oracle_rows": len(d_rows),
            "cols_match": sorted(s_cols) == sorted(d_cols)}
+    tm = type_mismatches(sdf, rel)
+    if tm:
+        res["type_mismatch"] = tm
     if not res["cols_match"]:
         res["spark_cols"], res["oracle_cols"] = sorted(s_cols), sorted(d_cols)
     a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
@@ -68,5 +88,5 @@ def compare(spark, name, builder, sql, sf_dir, con=None):
         sa, sb = set(a), set(b)
         res["only_spark"] = [x for x in a if x not in sb][:3]
         res["only_oracle"] = [x for x in b if x not in sa][:3]
-    res["ok"] = res["cols_match"] and res["values_match"] and len(s_rows) == len(d_rows)
+    res["ok"] = res["cols_match"] and res["values_match"] and len(s_rows) == len(d_rows) and not tm
     return res
