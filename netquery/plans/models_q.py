@@ -227,6 +227,29 @@ def q_evaluate_many(spark, sf):
         "model", *[rnd(c).alias(c) for c in ("accuracy", "precision", "recall", "f1", "roc_auc")])
 
 
+@query("detection_run")
+def q_detection_run(spark, sf):
+    """The reference's main flow with fast members: base models, ensembles,
+    merged leaderboard, tuning of the top three that have a grid, report
+    files and the persisted winner (written under the checkpoint folder)."""
+    from ..models.workflow import Candidate, run_detection
+    p = prepared(spark, sf)
+    n = B.n_weight(p.train)
+    lr = CL.logistic_regression(n, max_iter=DRIVER["cv_iter"])
+    cands = {
+        "LogReg": Candidate(lr, "probability", {"regParam": [1.0 / (c * n) for c in (0.01, 0.1, 1.0, 10.0)]}),
+        "DecisionTree": Candidate(CL.decision_tree(max_depth=DRIVER["depth"]), "probability"),
+        "GaussianNB": Candidate(CL.gaussian_nb(), "probability"),
+        "LDA": Candidate(CU.fit_lda, "keep"),
+        "RandomForest": Candidate(CL.random_forest(5, max_depth=8), "probability",
+                                  {"numTrees": [5, 10], "maxDepth": [6, 8]}),
+        "Bagging(Tree)": Candidate(CL.bagging_trees(5, max_depth=8), None, phase="ensembles"),
+    }
+    out = scratch_path(spark, f"detection-{uuid.uuid4().hex}")
+    final = run_detection(p, cands, "all", tune_top=3, n_iter=4, folds=3, out_dir=out)
+    return final.select("model", "phase", *[rnd(c).alias(c) for c in ("accuracy", "precision", "recall", "f1", "roc_auc")])
+
+
 @query("feature_importance")
 def q_feature_importance(spark, sf):
     """FE5: forest importances by assembled feature name."""

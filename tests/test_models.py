@@ -82,3 +82,24 @@ def test_ensembles_and_evaluate_many(prep):
     board = TU.evaluate_many({"tree": (CL.decision_tree(), "probability"), "lda": (CU.fit_lda, "keep")},
                              prep.train, prep.test).collect()
     assert [r.model for r in board][0] == "tree" and board[0].roc_auc is not None
+
+
+def test_detection_run_writes_reports_and_winner(spark, prep):
+    from pyspark.ml import PipelineModel
+
+    from netquery.models.workflow import Candidate, run_detection
+    n = B.n_weight(prep.train)
+    cands = {"LogReg": Candidate(CL.logistic_regression(n, max_iter=10), "probability",
+                                 {"regParam": [1.0 / n, 10.0 / n]}),
+             "DecisionTree": Candidate(CL.decision_tree(max_depth=8), "probability"),
+             "Bagging(Tree)": Candidate(CL.bagging_trees(3, max_depth=6), None, phase="ensembles")}
+    out = scratch_path(spark, f"run-{uuid.uuid4().hex}")
+    final = run_detection(prep, cands, "all", tune_top=3, n_iter=2, folds=2, out_dir=out).collect()
+    assert {r.model for r in final} >= {"LogReg", "DecisionTree", "Bagging(Tree)", "LogReg(tuned)"}
+    assert [r.f1 for r in final] == sorted((r.f1 for r in final), reverse=True)
+    md = [r.value for r in spark.read.text(f"{out}/results_summary_md").collect()]
+    assert md[0] == "# Resumen de Resultados (Top-5)" and md[2] == "| Modelo | F1 | Accuracy |" and len(md) == 4 + len(final[:5])
+    assert spark.read.option("header", True).csv(f"{out}/results_summary").count() == 3
+    best = PipelineModel.load(f"{out}/best_model")
+    raw = connection_records(spark, SF0001).where("split = 'test'")
+    assert best.transform(raw).count() == raw.count()
