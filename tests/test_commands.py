@@ -118,16 +118,16 @@ def test_rate_limit_hour_clock(spark):
 
 
 def test_resolve_mail_golden(spark):
-    dom = spark.createDataFrame([("paginadeprueba.com",), ("nomx.org",)], "domain string")
-    mx = spark.createDataFrame([("paginadeprueba.com", 20, "backup.paginadeprueba.com"),
-                                ("paginadeprueba.com", 10, "mail.paginadeprueba.com")], "domain string, priority int, host string")
-    a = spark.createDataFrame([("mail.paginadeprueba.com", "192.0.2.10"), ("backup.paginadeprueba.com", "192.0.2.20")],
+    dom = spark.createDataFrame([("example.test",), ("nomx.org",)], "domain string")
+    mx = spark.createDataFrame([("example.test", 20, "backup.example.test"),
+                                ("example.test", 10, "mail.example.test")], "domain string, priority int, host string")
+    a = spark.createDataFrame([("mail.example.test", "192.0.2.10"), ("backup.example.test", "192.0.2.20")],
                               "host string, ip string")
     r = J.resolve_mail(dom, mx, a).orderBy("domain", "preference").collect()
     assert [(x.domain, x.preference, x.priority, x.host, x.ip) for x in r] == [
         ("nomx.org", None, None, None, None),
-        ("paginadeprueba.com", 1, 10, "mail.paginadeprueba.com", "192.0.2.10"),
-        ("paginadeprueba.com", 2, 20, "backup.paginadeprueba.com", "192.0.2.20")]
+        ("example.test", 1, 10, "mail.example.test", "192.0.2.10"),
+        ("example.test", 2, 20, "backup.example.test", "192.0.2.20")]
 
 
 def test_rate_limit_interval_against_greedy(spark):
