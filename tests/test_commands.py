@@ -128,3 +128,21 @@ def test_resolve_mail_golden(spark):
         ("example.test", 1, 10, "mail.example.test", "192.0.2.10"),
         ("example.test", 2, 20, "backup.example.test", "192.0.2.20"),
         ("nomx.org", None, None, None, None)]
+
+
+def test_rate_limit_interval_against_greedy(spark):
+    rnd = random.Random(3)
+    rows, i = [], 0
+    for k in ["hot"] * 6 + ["a", "b"]:
+        for _ in range(60):
+            rows.append((i, k, T0 + dt.timedelta(seconds=rnd.randint(0, 4000), microseconds=rnd.randint(0, 999999))))
+            i += 1
+    df = spark.createDataFrame(rows, "id long, k string, ts timestamp_ntz")
+    got = {r.id: r.accepted for r in S.rate_limit_n(df, ["k"], "ts", "id", interval_seconds=7, block_seconds=60).collect()}
+    last = {}
+    for rid, k, t in sorted(rows, key=lambda r: (r[1], r[2], r[0])):
+        sec = int(t.replace(tzinfo=dt.timezone.utc).timestamp())
+        ok = k not in last or sec - last[k] >= 7
+        if ok:
+            last[k] = sec
+        assert got[rid] == ok, (rid, k, t)
