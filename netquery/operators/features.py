@@ -9,15 +9,12 @@ from pyspark.sql import functions as F
 
 
 def categories(df: DataFrame, cols: list[str]) -> dict[str, list[str]]:
-    """Distinct values per categorical column, one job; the list is bounded by
-    the columns' cardinality and becomes part of the fitted encoding."""
-    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
-                                          for c in cols])).alias("p")).select("p.c", "p.v")
-    rows = pairs.where(F.col("v").isNotNull()).distinct().collect()
-    out: dict[str, list[str]] = {c: [] for c in cols}
-    for r in rows:
-        out[r["c"]].append(r["v"])
-    return {c: sorted(v) for c, v in out.items()}
+    """Distinct values per categorical column in one aggregate: collect_set
+    combines map-side, so each task holds at most the columns' cardinality
+    and nothing data-sized is shuffled; the list becomes part of the fitted
+    encoding."""
+    row = df.agg(*[F.collect_set(F.col(c).cast("string")).alias(c) for c in cols]).first()
+    return {c: sorted(v for v in (row[c] or []) if v is not None) for c in cols}
 
 
 def dummy_name(col: str, value: str) -> str:

@@ -84,21 +84,25 @@ ADMIN_STATE = "admin_ts long, admin_id long, n long"
 
 def _admin_state_fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """Per session: admin flag in force for each command and a running count.
-    State = (first admin login (micros, id), commands seen)."""
+    State = (first admin login (micros, id), commands seen). Vectorised: the
+    flag is "strictly after the earliest successful admin login"."""
+    import numpy as np
     adm_ts, adm_id, n = state.get if state.exists else (None, None, 0)
     pdf = pd.concat(list(batches), ignore_index=True)
-    pdf = pdf.sort_values(["us", "cmd_id"], kind="mergesort")
-    flags, counts = [], []
-    for us, cid, ok in zip(pdf["us"].tolist(), pdf["cmd_id"].tolist(), pdf["admin_login"].tolist()):
-        is_adm = adm_ts is not None and (us > adm_ts or (us == adm_ts and cid > adm_id))
-        flags.append(int(is_adm))
-        n += 1
-        counts.append(n)
-        if ok and (adm_ts is None or (us, cid) < (adm_ts, adm_id)):
-            adm_ts, adm_id = us, cid
-    state.update((adm_ts, adm_id, n))
-    yield pd.DataFrame({"cmd_id": pdf["cmd_id"].astype("int64"), "session_id": key[0], "is_admin": flags,
-                        "n_commands": counts})
+    us = pdf["us"].to_numpy(dtype="int64")
+    cid = pdf["cmd_id"].to_numpy(dtype="int64")
+    order = np.lexsort((cid, us))
+    us, cid, ok = us[order], cid[order], pdf["admin_login"].to_numpy(dtype=bool)[order]
+    hits = np.flatnonzero(ok)
+    if len(hits) and (adm_ts is None or (us[hits[0]], cid[hits[0]]) < (adm_ts, adm_id)):
+        adm_ts, adm_id = int(us[hits[0]]), int(cid[hits[0]])
+    if adm_ts is None:
+        flags = np.zeros(len(us), dtype="int32")
+    else:
+        flags = ((us > adm_ts) | ((us == adm_ts) & (cid > adm_id))).astype("int32")
+    counts = n + np.arange(1, len(us) + 1, dtype="int64")
+    state.update((adm_ts, adm_id, int(n + len(us))))
+    yield pd.DataFrame({"cmd_id": cid, "session_id": key[0], "is_admin": flags, "n_commands": counts})
 
 
 def session_state_stream(commands: DataFrame, password: str = "admin") -> DataFrame:
