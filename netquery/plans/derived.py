@@ -147,8 +147,12 @@ FROM ({COMMANDS_SQL}) GROUP BY session_id, user_id"""
 def hourly_ticks(spark, sf):
     """One tick per hour between the first and last event (derived range)."""
     e = table(spark, sf, "events")
-    r = e.agg(F.date_trunc("hour", F.min("ts")).alias("lo"), F.max("ts").alias("hi"))
-    return r.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 HOUR"))).alias("tick_ts"))
+    from ..functions.text import epoch_to_ntz
+    # epoch arithmetic keeps the grid TIMESTAMP_NTZ (date_trunc would return a zoned TIMESTAMP)
+    r = e.agg((F.floor(F.min(F.unix_timestamp("ts")) / 3600) * 3600).cast("long").alias("lo"),
+              F.max(F.unix_timestamp("ts")).alias("hi"))
+    t = r.select(F.explode(F.sequence("lo", "hi", F.lit(3600).cast("long"))).alias("tick_epoch"))
+    return t.select(epoch_to_ntz("tick_epoch").alias("tick_ts"))
 
 
 TICKS_SQL = """

@@ -18,12 +18,18 @@ def main():
     sf = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in args if not a.startswith("/")]
     q, o = load_all()
-    spark = build_session()
+    extra = {}
+    if os.environ.get("ORACLE_TZ"):
+        extra["spark.sql.session.timeZone"] = os.environ["ORACLE_TZ"]
+    spark = build_session(extra=extra)
+    only_sql = bool(os.environ.get("ORACLE_ONLY_SQL"))
     con = duck(sf)
     bad = 0
     for name in sorted(q):
         if names and name not in names:
             continue
+        if only_sql and name not in o:
+            continue
         t = time.time()
         try:
             if name in o:

@@ -30,3 +30,18 @@ def test_entry_contract(spark):
     df = E.entry(spark)
     assert df.count() >= 0 and df.columns
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+TIME_SENSITIVE = ["fanout", "user_list", "concurrency", "tick_gaps", "rate_limit", "server_replay", "parse_telemetry",
+                  "stream_tick_windows", "stream_sessions", "stream_rate_limit", "stream_log_sink", "densify"]
+
+
+@pytest.mark.parametrize("name", TIME_SENSITIVE)
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        r = compare(spark, name, QUERIES[name], ORACLE[name], SF0001, con)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r["ok"], r
