@@ -19,7 +19,7 @@ from netquery.plans.registry import load_all  # noqa: E402
 from netquery.session import build_session  # noqa: E402
 
 HEADLINE = [
-    "server_replay", "asof_join", "fanout", "concurrency", "rate_limit", "admin_state",
+    "server_replay", "asof_join", "fanout", "concurrency", "rate_limit", "rate_limit_interval", "admin_state",
     "parse_telemetry", "tick_gaps", "binary_metrics", "roc_auc", "pr_curve", "leaderboard",
     "box_stats", "histogram", "stratified_folds", "densify", "jain_mean", "path_delay",
     "one_hot_long", "scale_no_mean", "resolve_mail", "stream_tick_windows", "stream_sessions",

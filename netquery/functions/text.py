@@ -23,9 +23,23 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_KV = r"(?:^|;)([^;=]*)=([^;]*)"
+
+
 def kv_map(payload) -> Column:
     """`k=v;k=v` -> MAP<STRING,DOUBLE>. Entries without '=' or with a broken
-    number are skipped; a repeated key keeps its last value."""
+    number are skipped; a repeated key keeps its last valid value.
+
+    Fast path (no key repeats, the usual case): keys and values come from one
+    regex, values are cast element-wise and zipped into the map. Only lines
+    with a repeated key take the exact element-by-element path."""
+    keys = F.regexp_extract_all(_c(payload), F.lit(_KV), 1)
+    vals = F.regexp_extract_all(_c(payload), F.lit(_KV), 2).try_cast("array<double>")
+    fast = F.map_filter(F.map_from_arrays(keys, vals), lambda k, v: v.isNotNull())
+    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), fast).otherwise(_kv_map_exact(payload))
+
+
+def _kv_map_exact(payload) -> Column:
     parts = F.filter(F.split(_c(payload), ";"), lambda x: F.instr(x, "=") > 0)
     entries = F.transform(parts, lambda x: F.struct(
         F.substring_index(x, "=", 1).alias("key"),
@@ -43,17 +57,20 @@ def parse_telemetry(df: DataFrame, line: str = "value") -> DataFrame:
     timestamp is not a number (or is out of range) are dropped, as a display
     client skips them. `ts` is the log's whole-second time as TIMESTAMP_NTZ.
 
-    The tag, epoch and map are computed once per line behind a one-row
-    generator: filters on them cannot be pushed below it, so the optimizer
-    does not re-evaluate the parse (or the line's own expression) per use."""
+    The tag, epoch, payload and map are computed once per line behind
+    one-row generators: filters on them cannot be pushed below, so the
+    optimizer does not re-evaluate the parse (or the line's own expression)
+    per use."""
     rest = F.regexp_extract(_c(line), r"DATA(.*)$", 1)
     toks = F.filter(F.split(F.trim(rest), r"\s+"), lambda t: t != "")
     epoch = F.try_element_at(toks, F.lit(1)).try_cast("long")
     payload = F.coalesce(F.try_element_at(toks, F.lit(2)), F.lit(""))
-    parsed = F.struct(tag_message(line).alias("__tag"), epoch.alias("epoch"), kv_map(payload).alias("vars"))
-    out = (df.select("*", F.inline(F.array(parsed)))
+    head = F.struct(tag_message(line).alias("__tag"), epoch.alias("epoch"), payload.alias("__payload"))
+    out = (df.select("*", F.inline(F.array(head)))
            .where((F.col("__tag") == "DATA") & F.col("epoch").between(0, MAX_EPOCH))
-           .drop("__tag")
+           .drop("__tag"))
+    out = (out.select("*", F.inline(F.array(F.struct(kv_map(F.col("__payload")).alias("vars")))))
+           .drop("__payload")
            .withColumn("ts", epoch_to_ntz("epoch")))
     return out
 
