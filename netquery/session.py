@@ -48,12 +48,18 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's spark.checkpoint.dir; only when none is set (local
-    tests) fall back to a fresh scratch folder."""
+    """Use the cluster's spark.checkpoint.dir. Only a local-mode session (tests,
+    bench) without one gets a fresh scratch folder; on a cluster a shared
+    folder must be configured, since a machine-local path would not survive
+    the loss of the machine."""
     d = checkpoint_dir(spark)
     if not d:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's object store)")
         d = tempfile.mkdtemp(prefix="netquery-ckpt-", dir="/tmp")
-    spark.sparkContext.setCheckpointDir(d)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 

@@ -66,3 +66,24 @@ def test_format_data_replies(spark):
     assert [r.r for r in out.collect()] == [
         "DATA 1663524890 TEMP=23.5;HUM=60.2", "DATA 1663524890 TEMP=23.5;HUM=60.2",
         "DATA 1663524890 TEMP=23.5", "DATA 1663524890 HUM=60.2", "ERROR Unknown var"]
+
+
+def test_select_var_on_parsed_map(spark):
+    p = TX.parse_telemetry(_lines(spark, ["DATA 5 TEMP=1.5;HUM=2.5;PRES=3.0"]), "value")
+    got = {v: TX.select_var(p, v).first() for v in (None, "ALL", "TEMP", "HUM", "PRES")}
+    assert got[None].selected == {"TEMP": 1.5, "HUM": 2.5, "PRES": 3.0} and got["ALL"].error is None
+    assert got["TEMP"].selected == {"TEMP": 1.5} and got["HUM"].selected == {"HUM": 2.5}
+    assert got["PRES"].selected is None and got["PRES"].error == "ERROR Unknown var"
+
+
+def test_render_topk_report(spark):
+    import uuid
+    from netquery.session import scratch_path
+    from netquery.sources.sinks import render_topk_md
+    res = spark.createDataFrame([("A", 0.5, 0.9), ("B", 0.80104, 0.8), ("C", 0.7, 0.7)],
+                                "model string, f1 double, accuracy double")
+    path = scratch_path(spark, f"md-{uuid.uuid4().hex}")
+    render_topk_md(res, path, k=2)
+    assert [r.value for r in spark.read.text(path).collect()] == [
+        "# Resumen de Resultados (Top-5)", "", "| Modelo | F1 | Accuracy |", "|---|---:|---:|",
+        "| B | 0.8010 | 0.8000 |", "| C | 0.7000 | 0.7000 |"]
