@@ -280,6 +280,21 @@ def q_model_save_load(spark, sf):
 _E_SPLIT = "CASE WHEN ('0x' || substr(md5(CAST(vec_id AS VARCHAR) || '42' || 'split'), 1, 8))::BIGINT / 4294967296.0 < 0.2 THEN 'test' ELSE 'train' END"
 
 
+@query("knn_embeddings", oracle=f"""
+WITH e AS (SELECT vec_id, CAST(label < 5 AS INTEGER) AS y, CAST(embedding AS DOUBLE[]) AS v, {_E_SPLIT} AS split FROM embeddings),
+p AS (SELECT t.vec_id, r.y, row_number() OVER (PARTITION BY t.vec_id ORDER BY list_distance(t.v, r.v), r.vec_id) AS rk
+      FROM e t JOIN e r ON t.split = 'test' AND r.split = 'train')
+SELECT vec_id, CAST(sum(y) AS BIGINT) AS n_pos, CAST(sum(y) * 2 > count(*) AS INTEGER) AS prediction FROM p WHERE rk <= 5 GROUP BY vec_id""")
+def q_knn_embeddings(spark, sf):
+    """ML12: exact 5-NN over the 64-d embeddings (label < 5 is class 1); the
+    oracle is the brute-force pairwise SQL, which Spark never forms."""
+    from ..models.knn import knn_predict
+    e = table(spark, sf, "embeddings").select(
+        "vec_id", "embedding", (F.col("label") < 5).cast("int").alias("y"),
+        F.when(uniform("vec_id", 42, "split") < 0.2, F.lit("test")).otherwise(F.lit("train")).alias("split"))
+    return knn_predict(e.where(F.col("split") == "train"), e.where(F.col("split") == "test"), "vec_id", "embedding", "y", 5)
+
+
 @query("nb_embeddings", oracle=f"""
 WITH e AS (SELECT vec_id, CAST(label < 5 AS INTEGER) AS y, embedding, {_E_SPLIT} AS split FROM embeddings),
 l AS (SELECT vec_id, y, split, CAST(unnest(embedding) AS DOUBLE) AS x, unnest(generate_series(1, len(embedding))) AS j FROM e),

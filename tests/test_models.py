@@ -103,3 +103,25 @@ def test_detection_run_writes_reports_and_winner(spark, prep):
     best = PipelineModel.load(f"{out}/best_model")
     raw = connection_records(spark, SF0001).where("split = 'test'")
     assert best.transform(raw).count() == raw.count()
+
+
+def test_knn_exact_across_chunks(spark):
+    import numpy as np
+
+    from netquery.models.knn import knn_neighbours, knn_predict
+    rng = np.random.default_rng(9)
+    tr = [(i, rng.normal(size=6).tolist(), int(rng.integers(0, 2))) for i in range(230)]
+    te = [(1000 + j, rng.normal(size=6).tolist(), 0) for j in range(40)]
+    schema = "vid long, v array<double>, y int"
+    TR, TE = spark.createDataFrame(tr, schema), spark.createDataFrame(te, schema)
+    nb = knn_neighbours(TR, TE, "vid", "v", "y", k=5, chunk_rows=37, checkpoint_every=2).collect()
+    got = {}
+    for r in nb:
+        got.setdefault(r.test_key, []).append((r.rank, r.train_key))
+    X = np.array([t[1] for t in tr])
+    for vid, v, _ in te:
+        d = np.sqrt(((X - np.array(v)) ** 2).sum(axis=1))
+        exp = [tr[i][0] for i in sorted(range(len(tr)), key=lambda i: (d[i], tr[i][0]))[:5]]
+        assert [t for _, t in sorted(got[vid])] == exp
+    pred = {r.vid: r.prediction for r in knn_predict(TR, TE, "vid", "v", "y", 5, chunk_rows=50).collect()}
+    assert len(pred) == len(te)
