@@ -45,3 +45,20 @@ def test_results_do_not_depend_on_session_time_zone(spark, con, name):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert r["ok"], r
+
+
+def test_python_workers_import_the_package_from_any_cwd(tmp_path):
+    """Run a mapInPandas-backed query through __spark_entry__ from a foreign
+    directory with a plain session: the package must reach the workers."""
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (f"import sys; sys.path.insert(0, {repo!r})\n"
+            "import __spark_entry__ as E\n"
+            "from pyspark.sql import SparkSession\n"
+            "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+            "print('ROWS', E.queries()['rate_limit_interval'](s, '/root/testdata/sf0.001').count())\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert "ROWS " in out.stdout, out.stderr[-2000:]
