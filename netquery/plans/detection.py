@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions.scalar import safe_div
 from ..operators import metrics as M
 from .registry import query, rnd, table
 
@@ -240,8 +241,8 @@ def q_report_top5_md(spark, sf):
     c = M.confusion_counts(s, by=["lang"]).withColumnRenamed("lang", "model")
     tp, fp, fn, tn = (F.col(x) for x in ("tp", "fp", "fn", "tn"))
     r = c.select("model",
-                 M.safe_div(2 * tp, 2 * tp + fp + fn).alias("f1"),
-                 M.safe_div(tp + tn, tp + fp + fn + tn).alias("accuracy"),
+                 safe_div(2 * tp, 2 * tp + fp + fn).alias("f1"),
+                 safe_div(tp + tn, tp + fp + fn + tn).alias("accuracy"),
                  _ratio_4dp(2 * tp, 2 * tp + fp + fn).alias("f1_text"),
                  _ratio_4dp(tp + tn, tp + fp + fn + tn).alias("accuracy_text"))
     return topk_markdown_lines(r, k=5)

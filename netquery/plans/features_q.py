@@ -30,7 +30,7 @@ def train_columns(train):
     return cats, [FE.dummy_name(c, v) for c in CATEGORICAL_COLUMNS for v in cats[c]]
 
 
-def _sql_dummies(cats_in_train_only=True):
+def _sql_dummies():
     out = []
     for c in CATEGORICAL_COLUMNS:
         for v in _SQL_CATS[c]:

@@ -8,7 +8,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..functions.scalar import epoch_micros
 from ..session import scratch_path
 from ..sources import readers as R
 from ..sources import sinks as K
