@@ -33,14 +33,18 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
                     (F.col("lo") + F.col("bin") * width).alias("upper"), "count")
 
 
-def exact_quantiles(df: DataFrame, col: str, probs, by=()) -> DataFrame:
-    """Exact linear-interpolation quantiles per group without gathering a
-    group's values into one task: values are pre-aggregated to (group, value,
-    count), positions come from the bucketed running count, and each quantile
-    is two conditional minima over the (group, value) rows."""
-    by = list(by)
+def value_counts_by(df: DataFrame, col: str, by=()) -> DataFrame:
+    """(group..., __v, __n): the non-null values of `col` with their counts
+    (partial aggregation: a hot group collapses to its distinct values)."""
     v = F.col(col).cast("double")
-    g = df.where(v.isNotNull()).groupBy(*by, v.alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    return df.where(v.isNotNull()).groupBy(*by, v.alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+
+
+def quantiles_from_counts(g: DataFrame, probs, by=()) -> DataFrame:
+    """Exact linear-interpolation quantiles from (group, __v, __n) rows:
+    positions come from the bucketed running count, and each quantile is two
+    conditional minima over the rows, so no group is gathered into one task."""
+    by = list(by)
     g = running_sum(g, "__v", ["__n"], by=by, suffix="_cum")            # positions < __n_cum
     tot = g.groupBy(*by).agg(F.sum("__n").alias("__total"))
     g = g.join(tot, by) if by else attach_row(g, tot)
@@ -56,24 +60,31 @@ def exact_quantiles(df: DataFrame, col: str, probs, by=()) -> DataFrame:
                                 .alias(f"q{i}") for i in range(len(probs))])
 
 
+def exact_quantiles(df: DataFrame, col: str, probs, by=()) -> DataFrame:
+    """Exact quantiles per group (columns q0, q1, ... and n)."""
+    return quantiles_from_counts(value_counts_by(df, col, by), probs, by)
+
+
 def box_stats(df: DataFrame, by: str, col: str, approx: bool = False, accuracy: int = 10000) -> DataFrame:
     """AG4: quartiles (linear interpolation), 1.5*IQR whiskers (furthest data
-    inside the fences) and the outlier count, per class. `approx=True` uses
-    percentile_approx (bounded memory sketch) for the quartiles."""
+    inside the fences) and the outlier count, per class. Quartiles and
+    whiskers both come from the (class, value, count) table, so the input is
+    scanned once. `approx=True` uses percentile_approx (a bounded sketch)."""
+    g = value_counts_by(df, col, [by])
     if approx:
         q = df.groupBy(by).agg(F.percentile_approx(F.col(col).cast("double"), [0.25, 0.5, 0.75], accuracy).alias("qs"),
                                F.count(col).alias("n"))
         q = q.select(by, "n", F.col("qs")[0].alias("q0"), F.col("qs")[1].alias("q1"), F.col("qs")[2].alias("q2"))
     else:
-        q = exact_quantiles(df, col, [0.25, 0.5, 0.75], [by])
+        q = quantiles_from_counts(g, [0.25, 0.5, 0.75], [by])
     q = q.select(by, "n", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     q = q.withColumn("lo_fence", F.col("q1") - 1.5 * iqr).withColumn("hi_fence", F.col("q3") + 1.5 * iqr)
-    x = df.select(by, F.col(col).cast("double").alias("__x")).join(q.select(by, "lo_fence", "hi_fence"), by)
-    inside = (F.col("__x") >= F.col("lo_fence")) & (F.col("__x") <= F.col("hi_fence"))
-    w = x.groupBy(by).agg(F.min(F.when(inside, F.col("__x"))).alias("lower_whisker"),
-                          F.max(F.when(inside, F.col("__x"))).alias("upper_whisker"),
-                          F.count_if(~inside).alias("outliers"))
+    x = g.join(q.select(by, "lo_fence", "hi_fence"), by)
+    inside = (F.col("__v") >= F.col("lo_fence")) & (F.col("__v") <= F.col("hi_fence"))
+    w = x.groupBy(by).agg(F.min(F.when(inside, F.col("__v"))).alias("lower_whisker"),
+                          F.max(F.when(inside, F.col("__v"))).alias("upper_whisker"),
+                          F.sum(F.when(~inside, F.col("__n")).otherwise(0)).cast("long").alias("outliers"))
     return q.join(w, by).select(by, "n", "q1", "median", "q3", "lower_whisker", "upper_whisker", "outliers")
 
 
