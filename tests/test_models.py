@@ -125,3 +125,24 @@ def test_knn_exact_across_chunks(spark):
         assert [t for _, t in sorted(got[vid])] == exp
     pred = {r.vid: r.prediction for r in knn_predict(TR, TE, "vid", "v", "y", 5, chunk_rows=50).collect()}
     assert len(pred) == len(te)
+
+
+def test_per_model_reports_and_csv_scoring(spark, prep):
+    from netquery.models.tuning import save_model, score_csv
+    from netquery.models.workflow import Candidate, run_detection
+    from netquery.sources.readers import FEATURE_COLUMNS
+    from netquery.sources.sinks import write_csv
+    out = scratch_path(spark, f"rep-{uuid.uuid4().hex}")
+    run_detection(prep, {"Decision Tree(x)": Candidate(CL.decision_tree(max_depth=6), "probability")},
+                  tune_top=0, out_dir=out).collect()
+    cm = spark.read.option("header", True).csv(f"{out}/confusion_matrices/decision_tree_x_cm").collect()
+    assert [r.actual for r in cm] == ["Real_Normal", "Real_Ataque"] and set(cm[0].asDict()) == {"actual", "Pred_Normal", "Pred_Ataque"}
+    rep = spark.read.option("header", True).csv(f"{out}/metrics/decision_tree_x_classification_report")
+    assert rep.count() == 5
+    tree = CL.decision_tree(max_depth=6).fit(prep.train)
+    mpath = f"{out}/model"
+    save_model(prep.pre, tree, mpath)
+    raw = connection_records(spark, SF0001).where("split = 'test'").select(*FEATURE_COLUMNS)
+    write_csv(raw, f"{out}/to_score")
+    scored = score_csv(spark, mpath, f"{out}/to_score", f"{out}/predictions")
+    assert scored.count() == raw.count() and "prediction" in scored.columns
