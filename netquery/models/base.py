@@ -66,11 +66,22 @@ def prepare(records: DataFrame, key: str = "conn_id", split: str = "split", bala
         tr = with_class_weights(tr, "label", "weight")
     else:
         tr = tr.withColumn("weight", F.lit(1.0))
-    tr, te = tr.cache(), te.cache()
+    tr, te = _spread(tr, key).cache(), _spread(te, key).cache()
     n = len(tr.select("features").first()["features"]) if tr.take(1) else 0
     return Prepared(tr, te, pre, n)
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Tree and linear fits aggregate per partition, so a small input read as
+    one file would train on one core. Spread it over the cluster's cores by
+    key (deterministic on recomputation); inputs that already have at least
+    that many partitions, as at scale, are left as they are (no shuffle)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, key)
+    return df
+
+
 def with_score(pred: DataFrame, kind: str) -> DataFrame:
     """Score rule: probability of class 1 if available, else the decision value."""
     if kind == "probability":

@@ -26,14 +26,16 @@ def linear_svc(n_weight: float, C_: float = 1.0, max_iter: int = 100):
 
 def decision_tree(weighted: bool = True, max_depth: int = MAX_TREE_DEPTH, seed: int = 42):
     """ML3: CART tree, balanced class weights."""
-    return C.DecisionTreeClassifier(maxDepth=max_depth, seed=seed, **_w(weighted))
+    return C.DecisionTreeClassifier(maxDepth=max_depth, seed=seed, maxMemoryInMB=1024, cacheNodeIds=True,
+                                    **_w(weighted))
 
 
 def random_forest(num_trees: int = 200, weighted: bool = True, max_depth: int = MAX_TREE_DEPTH,
                   seed: int = 42, bootstrap: bool = True, subset: str = "sqrt"):
     """ML4 (and EN3 with subset='all'): forest of bootstrapped trees."""
     return C.RandomForestClassifier(numTrees=num_trees, maxDepth=max_depth, featureSubsetStrategy=subset,
-                                    bootstrap=bootstrap, seed=seed, maxMemoryInMB=1024, **_w(weighted))
+                                    bootstrap=bootstrap, seed=seed, maxMemoryInMB=1024, cacheNodeIds=True,
+                                    **_w(weighted))
 
 
 def bagging_trees(num_trees: int = 100, max_depth: int = MAX_TREE_DEPTH, seed: int = 42):
@@ -68,4 +70,5 @@ def linear_regression():
 
 def random_forest_regressor(num_trees: int = 100, max_depth: int = MAX_TREE_DEPTH, seed: int = 42):
     """ML15."""
-    return R.RandomForestRegressor(numTrees=num_trees, maxDepth=max_depth, seed=seed, featureSubsetStrategy="1.0")
+    return R.RandomForestRegressor(numTrees=num_trees, maxDepth=max_depth, seed=seed, featureSubsetStrategy="1.0",
+                                   maxMemoryInMB=1024, cacheNodeIds=True)
