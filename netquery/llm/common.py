@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -181,7 +182,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = 16 <<
     """The same rows in slices of at most `limit` bytes of text (or one row)."""
     for b in batches:
         col = b.column(b.schema.get_field_index(text))
-        size = np.asarray(pa.compute.fill_null(pa.compute.binary_length(col), 0), np.int64) if len(col) else np.zeros(0, np.int64)
+        size = np.asarray(pc.fill_null(pc.binary_length(col), 0), np.int64) if len(col) else np.zeros(0, np.int64)
         at, acc = 0, 0
         for i, x in enumerate(size.tolist()):
             if i > at and acc + x > limit:
@@ -190,3 +191,33 @@ def text_slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = 16 <<
             acc += x
         if b.num_rows > at:
             yield b.slice(at, b.num_rows - at)
+
+
+# ---- a bounded filter of row ids --------------------------------------------
+
+BITS = 1 << 25        # bits of a broadcast id filter: 4 MB whatever the table's size
+
+
+def id_bits(ids: DataFrame, key: str = "doc_id") -> np.ndarray:
+    """Flags of id mod BITS, packed into bytes: a filter without false negatives. At
+    most BITS / 32768 rows reach the driver."""
+    pos = F.pmod(F.col(key), F.lit(BITS)) + 1
+    rows = (ids.where(F.col(key).isNotNull()).groupBy(F.bitmap_bucket_number(pos).alias("k"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(pos)).alias("m")).collect())
+    out = np.zeros(BITS // 8, np.uint8)
+    for r in rows:
+        out[(r.k - 1) * 4096:r.k * 4096] = np.frombuffer(bytes(r.m), np.uint8)
+    return out
+
+
+def with_bit(b: pa.RecordBatch, bits: np.ndarray, key: int = 0) -> pa.RecordBatch:
+    """The rows of `b` whose id may be in the filter; rows with a null id are not."""
+    ids = b.column(key)
+    at = np.asarray(pc.fill_null(ids, 0), np.int64) % BITS
+    keep = (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+    return b.filter(pa.array(keep & ~np.asarray(pc.is_null(ids))))
+
+
+def crc_split(key: str, parts: int):
+    """crc32 of the id as text, mod `parts`; a null id counts as the empty text."""
+    return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % parts

@@ -6,13 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup
+from . import exact_dedup, license_scan, mixing, ngram_join, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_toxicity": lambda spark, d: toxicity.op3_toxicity(spark, table(spark, d, "documents"), table(spark, d, "labels")),
     "op4_exact_dedup": lambda spark, d: exact_dedup.op4_exact_dedup(spark, table(spark, d, "documents")),
+    "op7_ngram_jaccard_join": lambda spark, d: ngram_join.op7_ngram_jaccard_join(spark, table(spark, d, "documents")),
+    "op9_license_scan": lambda spark, d: license_scan.op9_license_scan(spark, table(spark, d, "documents")),
+    "op10_mixing": lambda spark, d: mixing.op10_mixing(spark, table(spark, d, "documents")),
 }
 
 ORACLE: dict[str, str] = {
     "op4_exact_dedup": exact_dedup.ORACLE,
+    "op7_ngram_jaccard_join": ngram_join.ORACLE,
+    "op9_license_scan": license_scan.ORACLE,
+    "op10_mixing": mixing.ORACLE,
 }
