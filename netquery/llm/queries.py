@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, license_scan, mixing, ngram_join, toxicity
+from . import exact_dedup, license_scan, mixing, ngram_join, packing, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": lambda spark, d: packing.op1_packing(spark, table(spark, d, "documents")),
     "op3_toxicity": lambda spark, d: toxicity.op3_toxicity(spark, table(spark, d, "documents"), table(spark, d, "labels")),
     "op4_exact_dedup": lambda spark, d: exact_dedup.op4_exact_dedup(spark, table(spark, d, "documents")),
     "op7_ngram_jaccard_join": lambda spark, d: ngram_join.op7_ngram_jaccard_join(spark, table(spark, d, "documents")),

@@ -1,23 +1,25 @@
 """Toxicity by class-conditional Kneser-Ney language models.
 
 Two bigram models, one of toxic and one of ordinary labelled texts, are smoothed
-by absolute discounts down to unigrams of context counts, and these down to one
-backoff distribution that both share: in how many texts of the whole corpus a
-word stands. A rare word that the corpus knows but one class happens to lack is
-then no evidence. A text's evidence is the length-normalised difference of its
-two log-likelihoods, over the whole text and over its most toxic passage of
-`WINDOW` words; passages cover every word. Two weights and a bias turn both into
-a probability; they are fitted on labelled rows that the models have not counted.
-
-Words and word pairs are counted in `BUCKETS` hash buckets, so the tables that
-reach the driver and the tasks have a fixed size, while the counts in them grow
-with the labelled rows and with the corpus.
+by absolute discounts: word pairs back off to words, counted by the texts they
+stand in, and words to one distribution that both classes share: in how many
+texts of the whole corpus a word stands. Expressions that at most `DISCOUNT`
+labelled texts of a class have get their probability from the backoff alone, so
+a rare word that only one class happens to have is no evidence. A text's evidence
+is the length-normalised difference of its two log-likelihoods: over the whole
+text, over its most toxic passage of `WINDOW` words and at its most toxic word;
+all words count. Weights and a bias turn these into a probability; they are fitted on
+labelled rows that the models have not counted.
+
+Words are counted in `BUCKETS` hash buckets and the `PAIRS` most frequent pairs of
+a class by their full hash, so the tables that reach the driver and the tasks have
+a fixed size, while the counts in them grow with the labelled rows and the corpus.
 
 Defined results: null, empty and wordless texts have no evidence and get the
 score of the bias alone; a null id counts as the empty text for the split and
 has no label; of several labels for an id the largest counts; without labels of
-both classes every score is 0; an empty table gives no rows; other columns play
-no part."""
+both classes every score is 0; an empty table gives no rows; repeated rows are
+scored alike; other columns play no part."""
 
 from __future__ import annotations
 
@@ -29,117 +31,120 @@ from pyspark.sql import functions as F
 from .common import crc_split, id_bits, mix, text_bytes, text_slices, with_bit, word_hashes, written
 
 BUCKETS = 1 << 20
+PAIRS = 1 << 18
 WINDOW = 16
-D_WORD, D_PAIR = 0.9, 0.75
+DISCOUNT = 3
 THRESHOLD = 0.3
-CALIBRATION_ROWS = 20_000     # labelled rows that the two weights are fitted on, about; the models count all others
+CALIBRATION_ROWS = 20_000     # about so many labelled rows fit the weights; the models count all others
+FEATURES = ("whole", "passage", "peak")
 
 
 def _tokens(b: pa.RecordBatch, text: int):
-    """(bucket of every word, bucket of the pair that ends in it, word starts a text, first word of every text)."""
+    """(bucket of every word, hash of the pair that ends in it, word starts a text, first word of every text)."""
     h, _, first = word_hashes(*text_bytes(b.column(text)), kind="alnum")
     word = (h % np.uint64(BUCKETS)).astype(np.int64)
     begins = np.zeros(len(h) + 1, bool)
     begins[first] = True
-    before = np.roll(h, 1) if len(h) else h
-    pair = (mix(before * np.uint64(0x9E3779B97F4A7C15) + h) % np.uint64(BUCKETS)).astype(np.int64)
+    pair = mix(np.roll(h, 1) * np.uint64(0x9E3779B97F4A7C15) + h) if len(h) else h
     return word, pair, begins[:-1], first
 
 
-def _distinct_per_text(word: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Every word bucket once for each text that has it."""
-    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    return (np.unique(owner * BUCKETS + word) % BUCKETS) if len(word) else word
+def _texts_with(word: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """In how many texts each word bucket stands."""
+    return np.bincount(np.unique(owner * BUCKETS + word) % BUCKETS, minlength=BUCKETS) if len(word) else np.zeros(BUCKETS, np.int64)
 
 
-def _nonzero(kind: int, counts: np.ndarray, schema: pa.Schema) -> pa.RecordBatch:
-    at = np.flatnonzero(counts)
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(at), kind, np.int32)), pa.array(at.astype(np.int32)), pa.array(counts[at])], schema=schema)
-
-
-_COUNTS = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("n", pa.int64())])
-COUNTS = "kind int, bucket int, n long"
-
+def _word_counts(by_class: bool):
+    """(kind, bucket, n): kind 0 counts texts; by class, kinds 1 and 2."""
+    def run(batches):
+        counts = np.zeros((3, BUCKETS), np.int64)
+        for b in text_slices(batches, "text"):
+            word, _, _, first = _tokens(b, 0)
+            owner = np.repeat(np.arange(b.num_rows), np.diff(first))
+            if not by_class:
+                counts[0] += _texts_with(word, owner)
+                continue
+            label = np.asarray(b.column(1), np.int64)
+            for c in (0, 1):
+                mine = label[owner] == c
+                counts[1 + c] += _texts_with(word[mine], owner[mine])
+        for kind in (1, 2) if by_class else (0,):
+            at = np.flatnonzero(counts[kind])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), kind, np.int32)), pa.array(at.astype(np.int32)), pa.array(counts[kind][at])], ["kind", "bucket", "n"])
+    return run
 
-def _corpus_counts(batches):
-    """kind 0: texts that have the word."""
-    counts = np.zeros(BUCKETS, np.int64)
-    for b in text_slices(batches, "text"):
-        word, _, _, first = _tokens(b, b.schema.get_field_index("text"))
-        counts += np.bincount(_distinct_per_text(word, first), minlength=BUCKETS)
-    yield _nonzero(0, counts, _COUNTS)
 
+def _pair_counts(words):
+    """(label, bucket of the first word, pair, n texts). Pairs with a word that at most
+    DISCOUNT texts of the class have cannot exceed the discount; they count for
+    their first word only (pair null)."""
+    out = pa.schema([("label", pa.int32()), ("bucket", pa.int32()), ("pair", pa.int64()), ("n", pa.int64())])
 
-def _class_counts(batches):
-    """kind 1, 2: texts of class 0, 1 that have the word; kind 3, 4: places of the word pair."""
-    counts = np.zeros((5, BUCKETS), np.int64)
-    for b in text_slices(batches, "text"):
-        toxic = np.asarray(b.column(b.schema.get_field_index("label")), np.int64)
-        word, pair, begins, first = _tokens(b, b.schema.get_field_index("text"))
-        owner = np.repeat(toxic, np.diff(first))
-        for c in (0, 1):
-            mine = owner == c
-            rows = np.flatnonzero(toxic == c)
-            sizes = np.diff(first)[rows]
-            counts[1 + c] += np.bincount(_distinct_per_text(word[mine], np.concatenate([[0], np.cumsum(sizes)])), minlength=BUCKETS)
-            counts[3 + c] += np.bincount(pair[mine & ~begins], minlength=BUCKETS)
-    for kind in range(1, 5):
-        yield _nonzero(kind, counts[kind], _COUNTS)
-
-
-def _context_counts(batches):
-    """kind 5, 6: places of the word as the first of a pair in class 0, 1; kind 7, 8:
-    different pairs that it begins, counted once for each slice and text group."""
-    counts = np.zeros((9, BUCKETS), np.int64)
-    for b in text_slices(batches, "text"):
-        toxic = np.asarray(b.column(b.schema.get_field_index("label")), np.int64)
-        word, pair, begins, first = _tokens(b, b.schema.get_field_index("text"))
-        owner = np.repeat(toxic, np.diff(first))
+    def run(batches):
+        common = words.value > DISCOUNT
+        begun = np.zeros((2, BUCKETS), np.int64)
+        for b in text_slices(batches, "text"):
+            word, pair, begins, first = _tokens(b, 0)
+            label, owner = np.asarray(b.column(1), np.int64), np.repeat(np.arange(b.num_rows), np.diff(first))
+            for c in (0, 1):
+                at = np.flatnonzero((label[owner] == c) & ~begins)
+                if not len(at):
+                    continue
+                order = at[np.lexsort((pair[at], owner[at]))]
+                once = order[np.concatenate([[True], (pair[order[1:]] != pair[order[:-1]]) | (owner[order[1:]] != owner[order[:-1]])])]
+                begun[c] += np.bincount(word[once - 1], minlength=BUCKETS)
+                once = once[common[1 + c][word[once]] & common[1 + c][word[once - 1]]]
+                p, where, n = np.unique(pair[once], return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(p), c, np.int32)), pa.array(word[once[where] - 1].astype(np.int32)), pa.array(p.view(np.int64)), pa.array(n.astype(np.int64))], schema=out)
         for c in (0, 1):
-            at = np.flatnonzero((owner == c) & ~begins)
-            counts[5 + c] += np.bincount(word[at - 1], minlength=BUCKETS)
-            kinds = np.unique(word[at - 1] * BUCKETS + pair[at]) // BUCKETS
-            counts[7 + c] += np.bincount(kinds, minlength=BUCKETS)
-    for kind in range(5, 9):
-        yield _nonzero(kind, counts[kind], _COUNTS)
+            at = np.flatnonzero(begun[c])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), c, np.int32)), pa.array(at.astype(np.int32)), pa.nulls(len(at), pa.int64()), pa.array(begun[c][at])], schema=out)
+    return run
 
 
 class KneserNey:
-    """Tables by bucket: unigram probabilities, pair counts, and what a context gives to its backoff."""
+    """Word probabilities by bucket, pair probabilities by hash, and the weight of a context's backoff, for both classes."""
 
-    def __init__(self, counts: np.ndarray):
-        shared = (counts[0] + 1.0) / (counts[0].sum() + BUCKETS)
-        self.word, self.pair, self.inverse, self.backoff = [], [], [], []
+    def __init__(self, words: np.ndarray, contexts: np.ndarray, pairs: list):
+        shared = (words[0] + 1.0) / (words[0].sum() + BUCKETS)
+        kinds, places = sum(np.count_nonzero(words[c]) for c in (1, 2)), max(1, words[1].sum() + words[2].sum())
+        rest = min(0.9, max(0.1, DISCOUNT * kinds / places))        # what the discounts leave to the shared backoff, alike for both
+        self.word, self.pair, self.high, self.backoff = [], [], [], []
         for c in (0, 1):
-            k, total = counts[1 + c].astype(float), max(1.0, float(counts[1 + c].sum()))
-            self.word.append(((np.maximum(k - D_WORD, 0) + D_WORD * np.count_nonzero(k) * shared) / total
-                              if counts[1 + c].sum() else shared).astype(np.float32))
-            n, kinds = counts[5 + c].astype(float), np.minimum(counts[7 + c], counts[5 + c]).astype(float)
-            self.pair.append(counts[3 + c].astype(np.float32))
-            self.inverse.append(np.where(n > 0, 1 / np.maximum(n, 1), 0).astype(np.float32))
-            self.backoff.append(np.where(n > 0, D_PAIR * kinds / np.maximum(n, 1), 1).astype(np.float32))
+            sure = np.maximum(words[1 + c] - DISCOUNT, 0)
+            self.word.append((1 - rest) * sure / max(1, sure.sum()) + rest * shared)
+            bucket, pair, n = pairs[c]
+            order = np.argsort(pair)
+            bucket, pair, n = bucket[order], pair[order], n[order]
+            high = (n - DISCOUNT) / np.maximum(contexts[c][bucket], n)
+            self.pair.append(pair)
+            self.high.append(high)
+            self.backoff.append(np.maximum(1 - np.bincount(bucket, high, BUCKETS), 0.05).astype(np.float32))
 
     def evidence(self, word: np.ndarray, pair: np.ndarray, begins: np.ndarray) -> np.ndarray:
-        """log P(word | toxic) - log P(word | ordinary) at every word."""
+        """log P(word | before, toxic) - log P(word | before, ordinary) at every word."""
         out = []
         last = np.roll(word, 1) if len(word) else word
         for c in (0, 1):
-            low = self.word[c][word]
-            high = np.maximum(self.pair[c][pair] - D_PAIR, 0) * self.inverse[c][last] + self.backoff[c][last] * low
-            out.append(np.log(np.where(begins, low, np.maximum(high, 1e-12))))
-        return (out[1] - out[0]).astype(np.float64)
-
-    def features(self, b: pa.RecordBatch, text: int, window: int = WINDOW) -> np.ndarray:
-        """Evidence a word of every text: whole, and of its most toxic passage."""
+            p = self.word[c][word]
+            q = self.backoff[c][last] * p
+            if len(self.pair[c]):
+                at = np.minimum(np.searchsorted(self.pair[c], pair), len(self.pair[c]) - 1)
+                q = q + np.where(self.pair[c][at] == pair, self.high[c][at], 0)
+            out.append(np.log(np.where(begins, p, q)))
+        return out[1] - out[0]
+
+    def features(self, b: pa.RecordBatch, text: int) -> np.ndarray:
+        """Evidence a word of every text: whole, of its most toxic passage, and at its most toxic word."""
         word, pair, begins, first = _tokens(b, text)
-        run = np.concatenate([[0.0], np.cumsum(self.evidence(word, pair, begins))])
-        out = np.zeros((len(first) - 1, 2))
+        e = self.evidence(word, pair, begins)
+        run = np.concatenate([[0.0], np.cumsum(e)])
+        out = np.zeros((len(first) - 1, 3))
         for i in range(len(first) - 1):
             lo, hi = first[i], first[i + 1]
             if hi > lo:
-                out[i, 0] = (run[hi] - run[lo]) / (hi - lo)
-                w = min(window, hi - lo)
-                out[i, 1] = (run[lo + w:hi + 1] - run[lo:hi + 1 - w]).max() / window
+                w = min(WINDOW, hi - lo)
+                out[i] = (run[hi] - run[lo]) / (hi - lo), (run[lo + w:hi + 1] - run[lo:hi + 1 - w]).max() / w, e[lo:hi].max()
         return out
 
 
@@ -171,48 +176,60 @@ def labelled(docs: DataFrame, labels: DataFrame, name: str) -> DataFrame:
     return some.join(lab, "doc_id")
 
 
-def fit(docs: DataFrame, labels: DataFrame, train) -> tuple[KneserNey, np.ndarray] | None:
-    """Models and weights from the labelled rows where `train` holds and all texts as
-    shared backoff; None without both classes."""
-    rows = written(labelled(docs.where(train), labels, "toxic"), "labelled")
+def fit(docs: DataFrame, labels: DataFrame, train):
+    """(broadcast models, weights) from the labelled rows where `train` holds, with all
+    texts as shared backoff; None without both classes."""
+    spark = docs.sparkSession
+    rows = written(labelled(docs.where(train), labels, "toxic").select("doc_id", "text", "label"), "labelled")
     n, toxic = rows.agg(F.count(F.lit(1)), F.sum("label")).first()
     if not n or not toxic or toxic == n:
         return None
     # every fourth row, or fewer of many, for the weights
     apart = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * min(0.25, CALIBRATION_ROWS / n))
     counted = rows.where(~apart).select("text", "label")
-    counts = (docs.select("text").mapInArrow(_corpus_counts, COUNTS).unionByName(counted.mapInArrow(_class_counts, COUNTS))
-              .unionByName(counted.mapInArrow(_context_counts, COUNTS)).groupBy("kind", "bucket").agg(F.sum("n").alias("n")))
-    table = np.zeros((9, BUCKETS), np.int64)
-    got = counts.toPandas()                     # at most 9 * BUCKETS rows
-    table[got["kind"].to_numpy(), got["bucket"].to_numpy()] = got["n"].to_numpy()
-    model = KneserNey(table)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    held = rows.where(apart).select("text", "label").mapInArrow(_feature_rows(shared, "label int"), "label int, whole double, passage double").toPandas()
-    x, y = held[["whole", "passage"]].to_numpy(), held["label"].to_numpy(float)
-    return shared, fit_logistic(x, y) if 0 < y.sum() < len(y) else np.array([0.0, 1.0, np.log(toxic / (n - toxic))])
-
-
-def _feature_rows(model, key: str):
-    name = key.split()[0]
-
+    got = (docs.select("text").mapInArrow(_word_counts(False), "kind int, bucket int, n long")
+           .unionByName(counted.mapInArrow(_word_counts(True), "kind int, bucket int, n long"))
+           .groupBy("kind", "bucket").agg(F.sum("n").alias("n")).toPandas())                # at most 3 * BUCKETS rows
+    words = np.zeros((3, BUCKETS), np.int64)
+    words[got["kind"].to_numpy(), got["bucket"].to_numpy()] = got["n"].to_numpy()
+    pairs = written(counted.mapInArrow(_pair_counts(spark.sparkContext.broadcast(words)), "label int, bucket int, pair long, n long")
+                    .groupBy("label", "bucket", "pair").agg(F.sum("n").alias("n")).where(F.col("pair").isNull() | (F.col("n") > DISCOUNT)), "pairs")
+    got = pairs.where("pair IS NULL").toPandas()                                             # at most 2 * BUCKETS rows
+    contexts = np.zeros((2, BUCKETS), np.int64)
+    contexts[got["label"].to_numpy(), got["bucket"].to_numpy()] = got["n"].to_numpy()
+    tops = []
+    for c in (0, 1):
+        top = pairs.where((F.col("label") == c) & F.col("pair").isNotNull()).orderBy(F.col("n").desc(), "pair").limit(PAIRS).toPandas()
+        tops.append((top["bucket"].to_numpy(np.int64), top["pair"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)))
+    model = spark.sparkContext.broadcast(KneserNey(words, contexts, tops))
+    held = rows.where(apart).select("label", "text").mapInArrow(_feature_rows(model), "key int, whole double, passage double, peak double").toPandas()
+    x, y = held[list(FEATURES)].to_numpy(), held["key"].to_numpy(float)
+    if 0 < y.sum() < len(y):
+        return model, fit_logistic(x, y)
+    return model, np.array([0.0, 0.0, 1.0, np.log(toxic / (n - toxic))])
+
+
+def _feature_rows(model):
+    """(key, features) of rows (key, text)."""
     def run(batches):
         for b in text_slices(batches, "text"):
-            f = model.value.features(b, b.schema.get_field_index("text"))
-            yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index(name)), pa.array(f[:, 0]), pa.array(f[:, 1])], [name, "whole", "passage"])
+            f = model.value.features(b, 1)
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(f[:, i]) for i in range(f.shape[1]))], ["key", *FEATURES])
     return run
 
 
-def score(docs: DataFrame, fitted, key: str = "doc_id") -> DataFrame:
+def score(docs: DataFrame, fitted, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, score) of every row."""
-    docs = docs.select(F.col(key).alias("doc_id"), "text")
+    docs = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     if fitted is None:
         return docs.select("doc_id", F.lit(0.0).alias("score"))
     model, w = fitted
     kind = docs.schema["doc_id"].dataType.simpleString()
-    f = docs.mapInArrow(_feature_rows(model, f"doc_id {kind}"), f"doc_id {kind}, whole double, passage double")
-    z = F.col("whole") * float(w[0]) + F.col("passage") * float(w[1]) + float(w[2])
-    return f.select("doc_id", (1 / (1 + F.exp(-z))).alias("score"))
+    f = docs.mapInArrow(_feature_rows(model), f"key {kind}, whole double, passage double, peak double")
+    z = F.lit(float(w[-1]))
+    for name, weight in zip(FEATURES, w, strict=False):
+        z = z + F.col(name) * float(weight)
+    return f.select(F.col("key").alias("doc_id"), (1 / (1 + F.exp(-z))).alias("score"))
 
 
 def op3_toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
