@@ -7,8 +7,10 @@ first pivots are single shingles: a document lies nearest to the pivots {s} of
 its own shingles, ties go to the first in one global order (frequent shingles
 last), and as a linked document can lack at most n - ceil(t n) of n shingles,
 replicating every document to its first n - ceil(t n) + 1 pivots covers the
-boundary. Regions of a few documents are compared at once. In larger ones
-documents become pivots: every member is measured against them, joins the region
+boundary. Each region is cut again around the empty set, from which a document
+lies as far as it has shingles: linked sizes differ by a factor of t at most, so a
+ring of that width and the ring below it as window hold every pair. Regions of a
+few documents are compared at once. In larger ones documents become pivots: every member is measured against them, joins the region
 of the nearest (home) and, by the triangle inequality, all regions whose pivot is
 at most 2 r farther (window), and regions are joined in the same way again.
 Members that are already connected need no further comparison. What is left
@@ -36,10 +38,10 @@ from pyspark.sql import Window as W
 from .common import id_bits, mix, shingles, text_bytes, text_slices, with_bit, word_hashes, written
 from .graph import components
 
-LEAF = 16             # regions of up to so many classes are compared at once
+LEAF = 32             # regions of up to so many classes are compared at once
 PIVOTS = 4            # documents as pivots in a larger region
-LEVELS = 3            # levels of document pivots
-HOT_ENTRIES = 1 << 17  # bound of the broadcast list of frequent shingles
+LEVELS = 2            # levels of document pivots
+HOT_ENTRIES = 1 << 18  # bound of the broadcast list of frequent shingles
 
 
 def text_sets(b: pa.RecordBatch, k: int) -> Iterator[tuple[int | None, np.ndarray]]:
@@ -147,11 +149,13 @@ def _wanted_sets(k: int, bits_b):
 
 
 def _measure(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """`pairs` (a, b, na, nb) with their overlap."""
-    left = sets.select(F.col("c").alias("a"), F.col("s").alias("sa"))
-    right = sets.select(F.col("c").alias("b"), F.col("s").alias("sb"))
-    return (pairs.join(left, "a").join(right, "b")
-            .select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).cast("long").alias("both")))
+    """`pairs` (a, b, na, nb) with their overlap. The smaller set travels to the larger."""
+    swap = F.col("na") > F.col("nb")
+    pairs = pairs.withColumn("x", F.when(swap, F.col("b")).otherwise(F.col("a"))).withColumn("y", F.when(swap, F.col("a")).otherwise(F.col("b")))
+    x = sets.select(F.col("c").alias("x"), F.col("s").alias("sx"))
+    y = sets.select(F.col("c").alias("y"), F.col("s").alias("sy"))
+    return (pairs.join(x, "x").join(y, "y")
+            .select("a", "b", "na", "nb", F.size(F.array_intersect("sx", "sy")).cast("long").alias("both")))
 
 
 def _size_fits(x: str, y: str, percent: int):
@@ -166,21 +170,31 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 
 def _leaf_pairs(regions: DataFrame, percent: int, leaf: int) -> DataFrame:
-    """All pairs of the regions of at most `leaf` classes."""
-    m = regions.where(F.col("k") <= leaf).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("c", "n"))).alias("m"))
+    """All pairs, at least one at home, of the regions of at most `leaf` classes."""
+    m = regions.where(F.col("k") <= leaf).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("c", "n", "home"))).alias("m"))
     pair = F.flatten(F.transform(F.sequence(F.lit(0), F.size("m") - 2), lambda i: F.transform(
         F.slice(F.col("m"), i + 2, F.size("m")), lambda y: F.struct(F.col("m")[i].alias("x"), y.alias("y")))))
-    p = m.where(F.size("m") > 1).select(F.explode(pair).alias("p"))
-    p = p.select(F.col("p.x.c").alias("a"), F.col("p.y.c").alias("b"), F.col("p.x.n").alias("na"), F.col("p.y.n").alias("nb"))
-    return p.where(_size_fits("na", "nb", percent)).distinct()
+    fits = lambda p: (p["x"]["home"] | p["y"]["home"]) & (F.least(p["x"]["n"], p["y"]["n"]) * 100 >= F.greatest(p["x"]["n"], p["y"]["n"]) * percent)
+    p = m.where(F.size("m") > 1).select(F.explode(F.filter(pair, fits)).alias("p"))
+    return p.select(F.col("p.x.c").alias("a"), F.col("p.y.c").alias("b"), F.col("p.x.n").alias("na"), F.col("p.y.n").alias("nb")).distinct()
+
+
+def _rings(regions: DataFrame, percent: int) -> DataFrame:
+    """Every region cut into rings by size: members at home in their own ring, and as window in the next."""
+    ring = F.floor(F.log(F.col("n").cast("double")) / float(-np.log(percent / 100)) + 1e-9)
+    both = F.explode(F.array(F.struct(ring.alias("ring"), F.lit(True).alias("home")), F.struct((ring + 1).alias("ring"), F.lit(False).alias("home")))).alias("x")
+    r = regions.select("key", "c", "n", both).select(F.xxhash64("key", "x.ring").alias("key"), "c", "n", "x.home")
+    return _counted(r).where("homes > 0")
 
 
 def _counted(regions: DataFrame) -> DataFrame:
-    return regions.withColumn("k", F.count(F.lit(1)).over(W.partitionBy("key"))).where("k > 1")
+    """With the size of the region (k) and its members at home; regions of one class go."""
+    key = W.partitionBy("key")
+    return regions.withColumn("k", F.count(F.lit(1)).over(key)).withColumn("homes", F.count(F.when(F.col("home"), 1)).over(key)).where("k > 1")
 
 
 def class_links(docs: DataFrame, k: int = 4, percent: int = 85, leaf: int = LEAF, pivots: int = PIVOTS, levels: int = LEVELS,
-                often: int = 4, hot_least: int = 64) -> tuple[DataFrame, DataFrame]:
+                often: int = 2, hot_least: int = 8) -> tuple[DataFrame, DataFrame]:
     """(documents as doc_id, n, c, links between classes as a, b): enough links that
     classes are connected exactly when they are by all links. `docs`: (doc_id, text)."""
     spark = docs.sparkSession
@@ -188,18 +202,18 @@ def class_links(docs: DataFrame, k: int = 4, percent: int = 85, leaf: int = LEAF
     seen = written(docs.mapInArrow(run, schema), "shingle-survey")
     rows = seen.where(F.col("shingle").isNull()).select("doc_id", "n", "c")
     classes = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("c").agg(F.min("doc_id").alias("doc_id"))
-    total = rows.agg(F.sum("n")).first()[0] or 0
-    # any list keeps the join exact; at most HOT_ENTRIES shingles can have so many hits
+    # any list keeps the join exact; this one holds at most HOT_ENTRIES shingles
     hot = (seen.where(F.col("shingle").isNotNull()).groupBy("shingle").agg(F.sum("hits").alias("hits"))
-           .where(F.col("hits") >= max(hot_least, -(-total // HOT_ENTRIES))).toPandas())
+           .where(F.col("hits") >= hot_least).orderBy(F.col("hits").desc(), "shingle").limit(HOT_ENTRIES).toPandas())
     v, hits = hot["shingle"].to_numpy(np.int64).view(np.uint64), hot["hits"].to_numpy(np.int64)
     by_hash = np.argsort(v)
     v, hits = v[by_hash], hits[by_hash]
     rank = np.empty(len(v), np.int64)
     rank[np.argsort(hits, kind="stable")] = np.arange(len(v))
     run, schema = _regions(k, percent, spark.sparkContext.broadcast((v, rank)))
-    members = docs.mapInArrow(run, schema).withColumnRenamed("anchor", "key")
-    regions = written(_counted(members.repartition("key").dropDuplicates(["key", "c"])), "regions")
+    members = docs.mapInArrow(run, schema).withColumnsRenamed({"anchor": "key"}).withColumn("home", F.lit(True))
+    shared = _counted(members.repartition("key").dropDuplicates(["key", "c"]))
+    regions = written(_rings(written(shared, "shared-pivots"), percent), "regions")
 
     wanted = regions.select("c").distinct()
     bits = spark.sparkContext.broadcast(id_bits(classes.join(wanted, "c", "left_semi")))
@@ -209,7 +223,7 @@ def class_links(docs: DataFrame, k: int = 4, percent: int = 85, leaf: int = LEAF
     done = written(_measure(_leaf_pairs(regions, percent, leaf), sets), "leaf-pairs")
     linked = 100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both"))
     links = done.where(linked).select("a", "b")
-    big = regions.where(F.col("k") > leaf).drop("k")
+    big = regions.where(F.col("k") > leaf).select("key", "c", "n", "home")
     reach = 2 * (100 - percent) / 100 + 1e-9
     for level in range(levels):
         if not big.limit(1).count():
@@ -218,7 +232,7 @@ def class_links(docs: DataFrame, k: int = 4, percent: int = 85, leaf: int = LEAF
         order = W.partitionBy("key").orderBy(F.col("w").desc(), F.xxhash64("c", F.lit(level)))
         chosen = (weight.withColumn("r", F.row_number().over(order)).where(F.col("r") <= pivots)
                   .select("key", F.col("c").alias("p"), F.col("n").alias("np")))
-        star = written(big.join(chosen, "key"), "star")
+        star = written(big.select("key", "c", "n").join(chosen, "key"), "star")
         pairs = _ordered(star.where("c <> p").select(F.col("c").alias("a"), F.col("p").alias("b"), F.col("n").alias("na"), F.col("np").alias("nb")))
         met = written(_measure(pairs, sets), "pivot-pairs")
         links = links.unionByName(met.where(linked).select("a", "b"))
@@ -233,8 +247,8 @@ def class_links(docs: DataFrame, k: int = 4, percent: int = 85, leaf: int = LEAF
         star = written(star.join(size.select("key", "k"), "key"), "voronoi")
         small = written(_measure(_leaf_pairs(star, percent, leaf), sets), "leaf-pairs")
         links = links.unionByName(small.where(linked).select("a", "b"))
-        big = star.where(F.col("k") > leaf).select("key", "c", "n", "d", "label", "home") if level == levels - 1 else star.where(F.col("k") > leaf).select("key", "c", "n")
-    if big.limit(1).count():
+        big = star.where(F.col("k") > leaf)
+    if "d" in big.columns and big.limit(1).count():
         most = big.groupBy("key", "label").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.max_by("label", "m").alias("most"))
         minor = big.join(most, "key").where("label <> most").select("key", F.col("c").alias("a"), F.col("n").alias("na"), F.col("d").alias("da"), F.col("label").alias("la"), F.col("home").alias("ha"))
         other = big.select("key", F.col("c").alias("b"), F.col("n").alias("nb"), F.col("d").alias("db"), F.col("label").alias("lb"), F.col("home").alias("hb"))
