@@ -1,19 +1,19 @@
 """Toxicity by class-conditional Kneser-Ney language models.
 
-Two bigram models, one of toxic and one of ordinary labelled texts, are smoothed
-by absolute discounts: word pairs back off to words, counted by the texts they
-stand in, and words to one distribution that both classes share: in how many
-texts of the whole corpus a word stands. Expressions that at most `DISCOUNT`
-labelled texts of a class have get their probability from the backoff alone, so
-a rare word that only one class happens to have is no evidence. A text's evidence
-is the length-normalised difference of its two log-likelihoods: over the whole
-text, over its most toxic passage of `WINDOW` words and at its most toxic word;
-all words count. Weights and a bias turn these into a probability; they are fitted on
-labelled rows that the models have not counted.
-
-Words are counted in `BUCKETS` hash buckets and the `PAIRS` most frequent pairs of
-a class by their full hash, so the tables that reach the driver and the tasks have
-a fixed size, while the counts in them grow with the labelled rows and the corpus.
+Two models, one of toxic and one of ordinary labelled texts, count words by the
+texts they stand in (their contexts, as Kneser-Ney's lower orders do), take an
+absolute discount off and give what it frees to one backoff distribution that both
+share: in how many texts of the whole corpus a word stands. Expressions that at
+most `DISCOUNT` labelled texts of a class have get their probability from the
+backoff alone, so a rare word that only one class happens to have is no evidence.
+A text's evidence is the length-normalised difference of its two log-likelihoods:
+over the whole text, over its most toxic passage of `WINDOW` words and at its most
+toxic word; all words count. Weights and a bias turn these into a probability;
+they are fitted on labelled rows that the models have not counted.
+
+Words are counted in `BUCKETS` hash buckets, so the tables that reach the driver and
+the tasks have a fixed size, while the counts in them grow with the labelled rows
+and the corpus.
 
 Defined results: null, empty and wordless texts have no evidence and get the
 score of the bias alone; a null id counts as the empty text for the split and
@@ -28,25 +28,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_split, id_bits, mix, text_bytes, text_slices, with_bit, word_hashes, written
+from .common import crc_split, id_bits, text_bytes, text_slices, with_bit, word_hashes, written
 
 BUCKETS = 1 << 20
-PAIRS = 1 << 18
 WINDOW = 16
-DISCOUNT = 3
+DISCOUNT = 4
 THRESHOLD = 0.3
 CALIBRATION_ROWS = 20_000     # about so many labelled rows fit the weights; the models count all others
 FEATURES = ("whole", "passage", "peak")
 
 
 def _tokens(b: pa.RecordBatch, text: int):
-    """(bucket of every word, hash of the pair that ends in it, word starts a text, first word of every text)."""
+    """(bucket of every word, first word of every text)."""
     h, _, first = word_hashes(*text_bytes(b.column(text)), kind="alnum")
-    word = (h % np.uint64(BUCKETS)).astype(np.int64)
-    begins = np.zeros(len(h) + 1, bool)
-    begins[first] = True
-    pair = mix(np.roll(h, 1) * np.uint64(0x9E3779B97F4A7C15) + h) if len(h) else h
-    return word, pair, begins[:-1], first
+    return (h % np.uint64(BUCKETS)).astype(np.int64), first
 
 
 def _texts_with(word: np.ndarray, owner: np.ndarray) -> np.ndarray:
@@ -59,7 +54,7 @@ def _word_counts(by_class: bool):
     def run(batches):
         counts = np.zeros((3, BUCKETS), np.int64)
         for b in text_slices(batches, "text"):
-            word, _, _, first = _tokens(b, 0)
+            word, first = _tokens(b, 0)
             owner = np.repeat(np.arange(b.num_rows), np.diff(first))
             if not by_class:
                 counts[0] += _texts_with(word, owner)
@@ -74,70 +69,21 @@ def _word_counts(by_class: bool):
     return run
 
 
-def _pair_counts(words):
-    """(label, bucket of the first word, pair, n texts). Pairs with a word that at most
-    DISCOUNT texts of the class have cannot exceed the discount; they count for
-    their first word only (pair null)."""
-    out = pa.schema([("label", pa.int32()), ("bucket", pa.int32()), ("pair", pa.int64()), ("n", pa.int64())])
-
-    def run(batches):
-        common = words.value > DISCOUNT
-        begun = np.zeros((2, BUCKETS), np.int64)
-        for b in text_slices(batches, "text"):
-            word, pair, begins, first = _tokens(b, 0)
-            label, owner = np.asarray(b.column(1), np.int64), np.repeat(np.arange(b.num_rows), np.diff(first))
-            for c in (0, 1):
-                at = np.flatnonzero((label[owner] == c) & ~begins)
-                if not len(at):
-                    continue
-                order = at[np.lexsort((pair[at], owner[at]))]
-                once = order[np.concatenate([[True], (pair[order[1:]] != pair[order[:-1]]) | (owner[order[1:]] != owner[order[:-1]])])]
-                begun[c] += np.bincount(word[once - 1], minlength=BUCKETS)
-                once = once[common[1 + c][word[once]] & common[1 + c][word[once - 1]]]
-                p, where, n = np.unique(pair[once], return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(p), c, np.int32)), pa.array(word[once[where] - 1].astype(np.int32)), pa.array(p.view(np.int64)), pa.array(n.astype(np.int64))], schema=out)
-        for c in (0, 1):
-            at = np.flatnonzero(begun[c])
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), c, np.int32)), pa.array(at.astype(np.int32)), pa.nulls(len(at), pa.int64()), pa.array(begun[c][at])], schema=out)
-    return run
-
-
 class KneserNey:
-    """Word probabilities by bucket, pair probabilities by hash, and the weight of a context's backoff, for both classes."""
+    """Evidence of a word by bucket: log P(word | toxic) - log P(word | ordinary)."""
 
-    def __init__(self, words: np.ndarray, contexts: np.ndarray, pairs: list):
+    def __init__(self, words: np.ndarray):
         shared = (words[0] + 1.0) / (words[0].sum() + BUCKETS)
         kinds, places = sum(np.count_nonzero(words[c]) for c in (1, 2)), max(1, words[1].sum() + words[2].sum())
         rest = min(0.9, max(0.1, DISCOUNT * kinds / places))        # what the discounts leave to the shared backoff, alike for both
-        self.word, self.pair, self.high, self.backoff = [], [], [], []
-        for c in (0, 1):
-            sure = np.maximum(words[1 + c] - DISCOUNT, 0)
-            self.word.append((1 - rest) * sure / max(1, sure.sum()) + rest * shared)
-            bucket, pair, n = pairs[c]
-            order = np.argsort(pair)
-            bucket, pair, n = bucket[order], pair[order], n[order]
-            high = (n - DISCOUNT) / np.maximum(contexts[c][bucket], n)
-            self.pair.append(pair)
-            self.high.append(high)
-            self.backoff.append(np.maximum(1 - np.bincount(bucket, high, BUCKETS), 0.05).astype(np.float32))
-
-    def evidence(self, word: np.ndarray, pair: np.ndarray, begins: np.ndarray) -> np.ndarray:
-        """log P(word | before, toxic) - log P(word | before, ordinary) at every word."""
-        out = []
-        last = np.roll(word, 1) if len(word) else word
-        for c in (0, 1):
-            p = self.word[c][word]
-            q = self.backoff[c][last] * p
-            if len(self.pair[c]):
-                at = np.minimum(np.searchsorted(self.pair[c], pair), len(self.pair[c]) - 1)
-                q = q + np.where(self.pair[c][at] == pair, self.high[c][at], 0)
-            out.append(np.log(np.where(begins, p, q)))
-        return out[1] - out[0]
+        sure = [np.maximum(words[c] - DISCOUNT, 0) for c in (1, 2)]
+        ordinary, toxic = (np.log((1 - rest) * s / max(1, s.sum()) + rest * shared) for s in sure)
+        self.evidence = (toxic - ordinary).astype(np.float32)
 
     def features(self, b: pa.RecordBatch, text: int) -> np.ndarray:
         """Evidence a word of every text: whole, of its most toxic passage, and at its most toxic word."""
-        word, pair, begins, first = _tokens(b, text)
-        e = self.evidence(word, pair, begins)
+        word, first = _tokens(b, text)
+        e = self.evidence[word].astype(np.float64)
         run = np.concatenate([[0.0], np.cumsum(e)])
         out = np.zeros((len(first) - 1, 3))
         for i in range(len(first) - 1):
@@ -192,16 +138,7 @@ def fit(docs: DataFrame, labels: DataFrame, train):
            .groupBy("kind", "bucket").agg(F.sum("n").alias("n")).toPandas())                # at most 3 * BUCKETS rows
     words = np.zeros((3, BUCKETS), np.int64)
     words[got["kind"].to_numpy(), got["bucket"].to_numpy()] = got["n"].to_numpy()
-    pairs = written(counted.mapInArrow(_pair_counts(spark.sparkContext.broadcast(words)), "label int, bucket int, pair long, n long")
-                    .groupBy("label", "bucket", "pair").agg(F.sum("n").alias("n")).where(F.col("pair").isNull() | (F.col("n") > DISCOUNT)), "pairs")
-    got = pairs.where("pair IS NULL").toPandas()                                             # at most 2 * BUCKETS rows
-    contexts = np.zeros((2, BUCKETS), np.int64)
-    contexts[got["label"].to_numpy(), got["bucket"].to_numpy()] = got["n"].to_numpy()
-    tops = []
-    for c in (0, 1):
-        top = pairs.where((F.col("label") == c) & F.col("pair").isNotNull()).orderBy(F.col("n").desc(), "pair").limit(PAIRS).toPandas()
-        tops.append((top["bucket"].to_numpy(np.int64), top["pair"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)))
-    model = spark.sparkContext.broadcast(KneserNey(words, contexts, tops))
+    model = spark.sparkContext.broadcast(KneserNey(words))
     held = rows.where(apart).select("label", "text").mapInArrow(_feature_rows(model), "key int, whole double, passage double, peak double").toPandas()
     x, y = held[list(FEATURES)].to_numpy(), held["key"].to_numpy(float)
     if 0 < y.sum() < len(y):
