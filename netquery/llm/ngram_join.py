@@ -40,6 +40,7 @@ from .graph import components
 
 LEAF = 32             # regions of up to so many classes are compared at once
 PIVOTS = 4            # documents as pivots in a larger region
+BINS = 256            # of a set's sketch
 LEVELS = 2            # levels of document pivots
 HOT_ENTRIES = 1 << 18  # bound of the broadcast list of frequent shingles
 
@@ -130,8 +131,8 @@ def _regions(k: int, percent: int, hot_b):
 
 
 def _wanted_sets(k: int, bits_b):
-    """Pass 3: (c, n, s) of the documents whose bit is set."""
-    out = pa.schema([("c", pa.int64()), ("s", pa.list_(pa.int64()))])
+    """Pass 3: (c, s, g) of the documents whose bit is set: the set, and how many of its hashes fall in each of BINS bins."""
+    out = pa.schema([("c", pa.int64()), ("s", pa.list_(pa.int64())), ("g", pa.list_(pa.int32()))])
 
     def run(batches):
         bits = bits_b.value
@@ -144,18 +145,30 @@ def _wanted_sets(k: int, bits_b):
             if cs:
                 lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(s) for s in sets]), pa.int32()),
                                                  pa.array(np.concatenate(sets).view(np.int64)))
-                yield _rows(out, c=np.array(cs, np.uint64).view(np.int64), s=lists)
-    return run, "c long, s array<long>"
+                bins = np.concatenate([np.bincount((s % np.uint64(BINS)).astype(np.int64), minlength=BINS) for s in sets]).astype(np.int32)
+                yield _rows(out, c=np.array(cs, np.uint64).view(np.int64), s=lists, g=pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * BINS, pa.int32()), pa.array(bins)))
+    return run, "c long, s array<long>, g array<int>"
 
 
-def _measure(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """`pairs` (a, b, na, nb) with their overlap. The smaller set travels to the larger."""
+def _beside(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    """`pairs` with the values of `column` of both classes as x and y. The smaller set travels to the larger."""
     swap = F.col("na") > F.col("nb")
-    pairs = pairs.withColumn("x", F.when(swap, F.col("b")).otherwise(F.col("a"))).withColumn("y", F.when(swap, F.col("a")).otherwise(F.col("b")))
-    x = sets.select(F.col("c").alias("x"), F.col("s").alias("sx"))
-    y = sets.select(F.col("c").alias("y"), F.col("s").alias("sy"))
-    return (pairs.join(x, "x").join(y, "y")
-            .select("a", "b", "na", "nb", F.size(F.array_intersect("sx", "sy")).cast("long").alias("both")))
+    pairs = pairs.withColumn("ca", F.when(swap, F.col("b")).otherwise(F.col("a"))).withColumn("cb", F.when(swap, F.col("a")).otherwise(F.col("b")))
+    return (pairs.join(sets.select(F.col("c").alias("ca"), F.col(column).alias("x")), "ca")
+            .join(sets.select(F.col("c").alias("cb"), F.col(column).alias("y")), "cb"))
+
+
+def _measure(pairs: DataFrame, sets: DataFrame, percent: int, name: str) -> tuple[DataFrame, DataFrame]:
+    """(`pairs` with `most`, linked pairs). Sets hashed into bins share at least as much
+    as the sets do, and the Jaccard distance of such multisets is a metric too, never
+    above that of the sets. So `most`, the overlap of the bins, rules pairs out and
+    measures pivots; only what may still be linked has its sets compared."""
+    most = F.aggregate(F.zip_with("x", "y", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
+    near = written(_beside(pairs, sets, "g").select("a", "b", "na", "nb", most.cast("long").alias("most")), name)
+    enough = lambda c: F.col(c) * (100 + percent) >= percent * (F.col("na") + F.col("nb"))
+    both = F.size(F.array_intersect("x", "y")).cast("long").alias("both")
+    links = _beside(near.where(enough("most")), sets, "s").select("a", "b", "na", "nb", both).where(enough("both"))
+    return near, written(links.select("a", "b"), name + "-links")
 
 
 def _size_fits(x: str, y: str, percent: int):
@@ -218,11 +231,9 @@ def class_links(docs: DataFrame, k: int = 4, percent: int = 85, leaf: int = LEAF
     wanted = regions.select("c").distinct()
     bits = spark.sparkContext.broadcast(id_bits(classes.join(wanted, "c", "left_semi")))
     run, schema = _wanted_sets(k, bits)
-    sets = written(docs.mapInArrow(run, schema).join(wanted, "c", "left_semi").dropDuplicates(["c"]), "sets")
+    sets = written(docs.mapInArrow(run, schema), "sets")        # a set may come twice where ids agree mod BITS; its pairs do then, too
 
-    done = written(_measure(_leaf_pairs(regions, percent, leaf), sets), "leaf-pairs")
-    linked = 100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both"))
-    links = done.where(linked).select("a", "b")
+    _, links = _measure(_leaf_pairs(regions, percent, leaf), sets, percent, "leaf-pairs")
     big = regions.where(F.col("k") > leaf).select("key", "c", "n", "home")
     reach = 2 * (100 - percent) / 100 + 1e-9
     for level in range(levels):
@@ -234,10 +245,10 @@ def class_links(docs: DataFrame, k: int = 4, percent: int = 85, leaf: int = LEAF
                   .select("key", F.col("c").alias("p"), F.col("n").alias("np")))
         star = written(big.select("key", "c", "n").join(chosen, "key"), "star")
         pairs = _ordered(star.where("c <> p").select(F.col("c").alias("a"), F.col("p").alias("b"), F.col("n").alias("na"), F.col("np").alias("nb")))
-        met = written(_measure(pairs, sets), "pivot-pairs")
-        links = links.unionByName(met.where(linked).select("a", "b"))
+        met, more = _measure(pairs, sets, percent, "pivot-pairs")
+        links = links.unionByName(more)
         label = components(links)
-        dist = met.select("a", "b", (1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("d"))
+        dist = met.groupBy("a", "b").agg(F.max(1 - F.col("most") / (F.col("na") + F.col("nb") - F.col("most"))).alias("d"))
         star = (star.withColumns({"a": F.least("c", "p"), "b": F.greatest("c", "p")}).join(dist, ["a", "b"], "left")
                 .withColumn("d", F.when(F.col("c") == F.col("p"), 0.0).otherwise(F.col("d"))))
         star = (star.join(label.withColumnRenamed("node", "c"), "c", "left").withColumn("label", F.coalesce("label", "c"))
@@ -245,8 +256,7 @@ def class_links(docs: DataFrame, k: int = 4, percent: int = 85, leaf: int = LEAF
         star = star.select(F.xxhash64("key", "p").alias("key"), "c", "n", "d", "label", (F.col("d") <= F.col("near")).alias("home"))
         size = star.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("k")).where("lo <> hi")
         star = written(star.join(size.select("key", "k"), "key"), "voronoi")
-        small = written(_measure(_leaf_pairs(star, percent, leaf), sets), "leaf-pairs")
-        links = links.unionByName(small.where(linked).select("a", "b"))
+        links = links.unionByName(_measure(_leaf_pairs(star, percent, leaf), sets, percent, "leaf-pairs")[1])
         big = star.where(F.col("k") > leaf)
     if "d" in big.columns and big.limit(1).count():
         most = big.groupBy("key", "label").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.max_by("label", "m").alias("most"))
@@ -254,8 +264,7 @@ def class_links(docs: DataFrame, k: int = 4, percent: int = 85, leaf: int = LEAF
         other = big.select("key", F.col("c").alias("b"), F.col("n").alias("nb"), F.col("d").alias("db"), F.col("label").alias("lb"), F.col("home").alias("hb"))
         pairs = minor.join(other, "key").where((F.col("la") != F.col("lb")) & (F.col("ha") | F.col("hb")) & _size_fits("na", "nb", percent)
                                                & (F.abs(F.col("da") - F.col("db")) <= reach / 2))
-        last = written(_measure(_ordered(pairs.select("a", "b", "na", "nb")), sets), "last-pairs")
-        links = links.unionByName(last.where(linked).select("a", "b"))
+        links = links.unionByName(_measure(_ordered(pairs.select("a", "b", "na", "nb")), sets, percent, "last-pairs")[1])
     return rows, links
 
 
