@@ -125,19 +125,23 @@ def op10_mixing(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return mix(docs)
 
 
-def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", chars: str = "n_chars") -> DataFrame:
     """The mix as documents with the columns of `docs`: a document that the mix
-    takes t words of (size s) comes floor(t / s) times whole and once with its
-    first t mod s words."""
-    taken = mix(docs, key, text).where("taken > 0").select(F.col("doc_id").alias("__k"), "size", "taken").dropDuplicates(["__k", "size"])
-    size = n_words(F.col(text))
-    rows = docs.join(taken, F.col(key).eqNullSafe(F.col("__k")) & (size == F.col("size")))
-    whole, rest = F.floor(F.col("taken") / F.col("size")), F.col("taken") % F.col("size")
-    take = F.concat(F.array_repeat(F.lit(-1).cast("long"), whole.cast("int")), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")))
-    rows = rows.withColumn("__take", F.explode(take))
+    takes t words of (size s) comes floor(t / s) times whole, and once with its
+    first t mod s words where these are some; a column `chars` follows the text."""
+    taken = mix(docs, key, text).where("taken > 0").select(F.col("doc_id").alias("__k"), F.col("size").alias("__s"), F.col("taken").alias("__t"))
+    taken = written(taken.dropDuplicates(["__k", "__s"]), "taken")
+    rows = docs.withColumn("__n", n_words(F.col(text)))
+    rows = rows.join(taken, F.col(key).eqNullSafe(F.col("__k")) & (F.col("__n") == F.col("__s")))
+    whole, rest = F.floor(F.col("__t") / F.col("__s")).cast("int"), F.col("__t") % F.col("__s")
+    takes = F.concat(F.array_repeat(F.lit(-1).cast("long"), whole), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")))
+    rows = rows.withColumn("__take", F.explode(takes))
     words = F.split(F.btrim(F.regexp_replace(F.col(text), WHITE, " ")), " ")
-    cut = F.array_join(F.slice(words, F.lit(1), F.greatest(F.lit(1), F.col("__take")).cast("int")), " ")
-    return rows.withColumn(text, F.when(F.col("__take") < 0, F.col(text)).otherwise(cut)).select(*docs.columns)
+    part = F.array_join(F.slice(words, F.lit(1), F.greatest(F.lit(1), F.col("__take")).cast("int")), " ")
+    rows = rows.withColumn(text, F.when(F.col("__take") < 0, F.col(text)).otherwise(part))
+    if chars in docs.columns:
+        rows = rows.withColumn(chars, F.when(F.col("__take") < 0, F.col(chars)).otherwise(F.length(text)).cast(docs.schema[chars].dataType))
+    return rows.select(*docs.columns)
 
 
 ORACLE = rf"""

@@ -169,6 +169,20 @@ def score(docs: DataFrame, fitted, key: str = "doc_id", text: str = "text") -> D
     return f.select(F.col("key").alias("doc_id"), (1 / (1 + F.exp(-z))).alias("score"))
 
 
+def without_toxic(docs: DataFrame, fitted, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of `docs` that score below `threshold`, with all their columns and without a shuffle."""
+    if fitted is None:
+        return docs
+    model, w = fitted
+    limit = np.log(threshold / (1 - threshold))
+
+    def run(batches):
+        for b in text_slices(batches, text):
+            z = model.value.features(b, b.schema.get_field_index(text)) @ w[:-1] + w[-1]
+            yield b.filter(pa.array(z < limit))
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op3_toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     fitted = fit(docs, labels, crc_split("doc_id", 4) != 2)
     return (score(docs, fitted).select("doc_id", (crc_split("doc_id", 4) == 2).alias("held_out"), "score",
