@@ -16,7 +16,7 @@ ERR_PERMISSION = "ERROR No tienes permisos"
 ERR_RATE = "ERROR Rate limit"
 ERR_UNKNOWN_VAR = "ERROR Unknown var"
 SERVER_VARS = ["TEMP", "HUM"]
-MAX_EPOCH = 2 ** 37  # later epochs are treated as malformed timestamps
+FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799      # of the years 0001 to 9999
 
 
 def _c(c) -> Column:
@@ -43,7 +43,7 @@ def _kv_map_exact(payload) -> Column:
     parts = F.filter(F.split(_c(payload), ";"), lambda x: F.instr(x, "=") > 0)
     entries = F.transform(parts, lambda x: F.struct(
         F.substring_index(x, "=", 1).alias("key"),
-        F.substring(x, F.instr(x, "=") + 1, 1 << 20).try_cast("double").alias("value")))
+        F.substring(x, F.instr(x, "=") + 1, F.length(x)).try_cast("double").alias("value")))
     good = F.filter(entries, lambda e: e["value"].isNotNull())
     last_only = F.filter(good, lambda e, i: ~F.exists(F.slice(good, i + 2, F.size(good) + 1),
                                                        lambda o: o["key"] == e["key"]))
@@ -53,9 +53,10 @@ def _kv_map_exact(payload) -> Column:
 def parse_telemetry(df: DataFrame, line: str = "value") -> DataFrame:
     """TX1 / SS1: `[prefix] DATA <epoch> k=v;k=v` -> epoch, ts, vars.
 
-    Lines tagged other than DATA (ERROR/MOVE take precedence) and lines whose
-    timestamp is not a number (or is out of range) are dropped, as a display
-    client skips them. `ts` is the log's whole-second time as TIMESTAMP_NTZ.
+    Lines tagged other than DATA are dropped (ERROR/MOVE take precedence). A
+    display reads only the readings, so every DATA line stays: `epoch` is null
+    where it is not a whole number, and `ts`, its time as TIMESTAMP_NTZ, also
+    where no timestamp shows it.
 
     The tag, epoch, payload and map are computed once per line behind
     one-row generators: filters on them cannot be pushed below, so the
@@ -67,7 +68,7 @@ def parse_telemetry(df: DataFrame, line: str = "value") -> DataFrame:
     payload = F.coalesce(F.try_element_at(toks, F.lit(2)), F.lit(""))
     head = F.struct(tag_message(line).alias("__tag"), epoch.alias("epoch"), payload.alias("__payload"))
     out = (df.select("*", F.inline(F.array(head)))
-           .where((F.col("__tag") == "DATA") & F.col("epoch").between(0, MAX_EPOCH))
+           .where(F.col("__tag") == "DATA")
            .drop("__tag"))
     out = (out.select("*", F.inline(F.array(F.struct(kv_map(F.col("__payload")).alias("vars")))))
            .drop("__payload")
@@ -77,7 +78,9 @@ def parse_telemetry(df: DataFrame, line: str = "value") -> DataFrame:
 
 def epoch_to_ntz(epoch) -> Column:
     """Whole epoch seconds -> TIMESTAMP_NTZ (UTC wall clock, no session-zone dependence)."""
-    return F.timestamp_add("SECOND", _c(epoch), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    e = _c(epoch)
+    shown = F.when(e.between(FIRST_SECOND, LAST_SECOND), e)
+    return F.timestamp_add("SECOND", shown, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 def explode_vars(df: DataFrame, vars_col: str = "vars") -> DataFrame:

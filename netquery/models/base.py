@@ -54,8 +54,13 @@ class Prepared:
 
 
 def prepare(records: DataFrame, key: str = "conn_id", split: str = "split", balanced: bool = False,
-            numeric=None, cats=None, with_mean: bool = False, label_col: str | None = None) -> Prepared:
-    """Label (PR1), encode, scale on train only, assemble; cache both vectors."""
+            numeric=None, cats=None, with_mean: bool = False, label_col: str | None = None,
+            partitions: int | None = None) -> Prepared:
+    """Label (PR1), encode, scale on train only, assemble; cache both vectors.
+
+    `partitions` deals the vectors to so many partitions by key. A forest's
+    bootstrap depends on the partitioning, so a given number makes fits equal on
+    any machine; None keeps the partitions of the input."""
     df = records.withColumn("label", attack_label("attack") if label_col is None else F.col(label_col))
     train = df.where(F.col(split) == "train")
     test = df.where(F.col(split) == "test")
@@ -66,22 +71,13 @@ def prepare(records: DataFrame, key: str = "conn_id", split: str = "split", bala
         tr = with_class_weights(tr, "label", "weight")
     else:
         tr = tr.withColumn("weight", F.lit(1.0))
-    tr, te = _spread(tr, key).cache(), _spread(te, key).cache()
+    if partitions:
+        tr, te = tr.repartition(partitions, key), te.repartition(partitions, key)
+    tr, te = tr.cache(), te.cache()
     n = len(tr.select("features").first()["features"]) if tr.take(1) else 0
     return Prepared(tr, te, pre, n)
 
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Tree and linear fits aggregate per partition, so a small input read as
-    one file would train on one core. Spread it over the cluster's cores by
-    key (deterministic on recomputation); inputs that already have at least
-    that many partitions, as at scale, are left as they are (no shuffle)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, key)
-    return df
-
-
 def with_score(pred: DataFrame, kind: str) -> DataFrame:
     """Score rule: probability of class 1 if available, else the decision value."""
     if kind == "probability":

@@ -33,7 +33,7 @@ def predict_gaussian_nb(test: DataFrame, model, key: str, vec: str, label: str)
     st, pri = model
     lt = _long(test, key, vec, None)
     v = F.col("var") + F.col("eps")
-    j = lt.join(F.broadcast(st), "j")
+    j = lt.join(st, "j")
     ll = j.groupBy(key, label).agg(F.sum(-0.5 * F.log(2 * math.pi * v) - (F.col("x") - F.col("mu")) ** 2 / (2 * v)).alias("ll"))
-    sc = ll.join(F.broadcast(pri), label).withColumn("s", F.col("ll") + F.col("log_prior"))
+    sc = ll.join(pri, label).withColumn("s", F.col("ll") + F.col("log_prior"))
     return sc.groupBy(key).agg(F.max_by(label, "s").alias("prediction"), (F.max("s") - F.min("s")).alias("margin"))

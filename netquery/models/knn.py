@@ -25,7 +25,6 @@ from ..session import ensure_checkpoint_dir
 def _chunk_scorer(bc, k: int, key: str, vec: str, slice_rows: int = 256):
     def fn(batches):
         ck, cx, cy = bc.value
-        cn = (cx * cx).sum(axis=1)
         kk = min(k, len(ck))
         for pdf in batches:
             if pdf.empty or kk == 0:
@@ -34,14 +33,12 @@ def _chunk_scorer(bc, k: int, key: str, vec: str, slice_rows: int = 256):
             keys = pdf[key].to_numpy()
             out_t, out_r, out_d, out_y = [], [], [], []
             for a in range(0, len(X), slice_rows):
-                xs = X[a:a + slice_rows]
-                d2 = (xs * xs).sum(axis=1)[:, None] - 2.0 * xs @ cx.T + cn[None, :]
-                np.maximum(d2, 0.0, out=d2)
-                idx = np.argpartition(d2, kk - 1, axis=1)[:, :kk] if kk < len(ck) else np.tile(np.arange(len(ck)), (len(xs), 1))
-                for r in range(len(xs)):
-                    for j in idx[r]:
-                        out_t.append(keys[a + r]); out_r.append(ck[j]); out_d.append(math.sqrt(d2[r, j])); out_y.append(cy[j])
-            yield pd.DataFrame({"test_key": out_t, "train_key": out_r, "dist": out_d, "train_label": out_y})
+                for r, x in enumerate(X[a:a + slice_rows]):
+                    d2 = ((cx - x) ** 2).sum(axis=1)                  # differences first: exact for large coordinates too
+                    near = np.flatnonzero(d2 <= np.partition(d2, kk - 1)[kk - 1])
+                    best = near[np.lexsort((ck[near], d2[near]))[:kk]]
+                    out_t.append(np.repeat(keys[a + r:a + r + 1], kk)), out_r.append(ck[best]), out_d.append(np.sqrt(d2[best])), out_y.append(cy[best])
+            yield pd.DataFrame({"test_key": np.concatenate(out_t), "train_key": np.concatenate(out_r), "dist": np.concatenate(out_d), "train_label": np.concatenate(out_y)})
     return fn
 
 

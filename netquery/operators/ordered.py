@@ -20,7 +20,7 @@ _B = "__bucket"
 
 def default_buckets(df: DataFrame) -> int:
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    return max(8, min(4096, 4 * parts))
+    return max(8, 4 * parts)
 
 
 def bucket_splits(df: DataFrame, key: str, n_buckets: int) -> list[float]:

@@ -98,6 +98,6 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 
 def with_class_weights(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
     """Attach the balanced weight as a weightCol; the weight table has one row
-    per class (bounded by the label's cardinality), so it is broadcast."""
+    per class, and Spark broadcasts it if its size allows."""
     w = class_weights(df, label).select(label, F.col("weight").alias(out))
-    return df.join(F.broadcast(w), label, "left")
+    return df.join(w, label, "left")

@@ -77,8 +77,8 @@ toks AS (SELECT event_id, ts, sensor_id, list_filter(string_split_regex(trim(reg
 pe AS (SELECT event_id, sensor_id, TRY_CAST(tok[1] AS BIGINT) AS epoch,
               list_filter(string_split(coalesce(tok[2], ''), ';'), lambda x: strpos(x, '=') > 0) AS kvs FROM toks),
 good AS (SELECT event_id, sensor_id, epoch,
-           list_filter(kvs, lambda x: TRY_CAST(substr(x, strpos(x, '=') + 1) AS DOUBLE) IS NOT NULL) AS kv FROM pe WHERE epoch BETWEEN 0 AND 137438953472),
-parsed AS (SELECT event_id, sensor_id, make_timestamp(epoch * 1000000) AS ts, epoch,
+           list_filter(kvs, lambda x: TRY_CAST(substr(x, strpos(x, '=') + 1) AS DOUBLE) IS NOT NULL) AS kv FROM pe),
+parsed AS (SELECT event_id, sensor_id, CASE WHEN epoch BETWEEN -62135596800 AND 253402300799 THEN make_timestamp(epoch * 1000000) END AS ts, epoch,
    TRY_CAST(substr(list_filter(kv, lambda x: split_part(x, '=', 1) = 'TEMP')[-1], strpos(list_filter(kv, lambda x: split_part(x, '=', 1) = 'TEMP')[-1], '=') + 1) AS DOUBLE) AS temp,
    TRY_CAST(substr(list_filter(kv, lambda x: split_part(x, '=', 1) = 'HUM')[-1], strpos(list_filter(kv, lambda x: split_part(x, '=', 1) = 'HUM')[-1], '=') + 1) AS DOUBLE) AS hum,
    len(list_distinct(list_transform(kv, lambda x: split_part(x, '=', 1)))) AS n_vars FROM good)"""

@@ -92,10 +92,10 @@ _KEY = line_key_sql()
 
 @query("sample_n", oracle=f"""
 SELECT {_KEY} AS row_key, l_extendedprice FROM lineitem
-ORDER BY md5({_KEY} || '42'), {_KEY} LIMIT 1000""")
+ORDER BY md5({_KEY} || '42'), {_KEY} LIMIT 10000""")
 def q_sample_n(spark, sf):
     li = table(spark, sf, "lineitem").select(line_key().alias("row_key"), "l_extendedprice")
-    return SM.sample_n(li, 1000, "row_key", 42)
+    return SM.sample_n(li, 10000, "row_key", 42)
 
 
 @query("scatter_points", oracle=f"""

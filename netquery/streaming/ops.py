@@ -20,12 +20,14 @@ from ..session import scratch_path
 
 
 def events_stream(spark: SparkSession, directory: str, name: str = "events", max_files: int | None = None) -> DataFrame:
-    """A file stream over `<directory>/<name>.parquet` (schema taken from the file)."""
-    schema = spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet").schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    """A file stream over the table `<directory>/<name>.parquet`, one file or a
+    folder of files (schema taken from the table). A pattern that matches just
+    this name serves both: a plain path would have to be a folder."""
+    base = f"{directory.rstrip('/')}/{name}"
+    r = spark.readStream.schema(spark.read.parquet(f"{base}.parquet").schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(directory)
+    return r.parquet(f"{base}.parque[t]")
 
 
 def event_time(ts) -> F.Column:

@@ -148,11 +148,6 @@ def test_per_model_reports_and_csv_scoring(spark, prep):
     assert scored.count() == raw.count() and "prediction" in scored.columns
 
 
-def test_spread_small_training_sets_over_cores(spark):
-    cores = spark.sparkContext.defaultParallelism
-    one = spark.range(200).coalesce(1)
-    spread = B._spread(one, "id")
-    assert spread.rdd.getNumPartitions() == cores
-    assert sorted(r.id for r in spread.collect()) == list(range(200))
-    wide = spark.range(200).repartition(cores + 1, "id")
-    assert B._spread(wide, "id") is wide          # enough partitions already: no extra shuffle
+def test_training_partitions_are_a_given_number(spark):
+    recs = connection_records(spark, SF0001)
+    assert B.prepare(recs, partitions=3).train.rdd.getNumPartitions() == 3

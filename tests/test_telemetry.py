@@ -15,25 +15,29 @@ def _lines(spark, lines):
 
 def test_parse_cases(spark):
     lines = [
-        "DATA 1757301506 TEMP=28.3;HUM=88.6",
-        "[Servidor] DATA 1757301521 TEMP=17.7;HUM=91.5",
-        "DATA 1663524890 TEMP=23.5;HUM=60.2;PRES=1012.5;WIND=15.3",
-        "DATA 1757301536 TEMP=2x9.3;HUM=33.5",          # broken number
-        "DATA 1757301551",                               # empty payload
-        "DATA 1757301566 TEMP=75.0;HUM=140.0",          # over the clamp
-        "DATA 1757301581 TEMP=1.0;TEMP=2.0",             # repeated key: last wins
+        "DATA 1800000005 TEMP=11.2;HUM=47.9",
+        "[Servidor] DATA 1800000020 TEMP=6.4;HUM=20.1",
+        "DATA 1799990000 TEMP=12.5;HUM=33.0;PRES=987.5;WIND=4.5",
+        "DATA 1800000035 TEMP=4z1.0;HUM=52.5",          # broken number
+        "DATA 1800000050",                               # empty payload
+        "DATA 1800000065 TEMP=75.0;HUM=140.0",          # over the clamp
+        "DATA 1800000080 TEMP=1.0;TEMP=2.0",             # repeated key: last wins
         "ERROR Rate limit DATA 1",                       # ERROR takes precedence
         "MOVE_SUCCESS UP",
         "DATA notanumber TEMP=1.0",
+        "DATA -5 TEMP=1.0",
+        "DATA 100000000000000000 TEMP=1.0",
     ]
     p = TEL.with_readings(TX.parse_telemetry(_lines(spark, lines), "value"))
     got = {r.i: r for r in p.collect()}
-    assert set(got) == {0, 1, 2, 3, 4, 5, 6}
-    assert (got[0].epoch, got[0].temp, got[0].hum) == (1757301506, 28.3, 88.6)
-    assert got[0].ts == dt.datetime(2025, 9, 8, 3, 18, 26)
-    assert got[1].temp == 17.7
-    assert got[2].vars == {"TEMP": 23.5, "HUM": 60.2, "PRES": 1012.5, "WIND": 15.3}
-    assert got[3].temp is None and got[3].hum == 33.5
+    assert set(got) == {0, 1, 2, 3, 4, 5, 6, 9, 10, 11}      # every DATA line, with or without a usable time
+    assert (got[9].epoch, got[9].ts, got[9].temp) == (None, None, 1.0)
+    assert (got[10].epoch, got[10].ts) == (-5, dt.datetime(1969, 12, 31, 23, 59, 55)) and (got[11].epoch, got[11].ts) == (10 ** 17, None)
+    assert (got[0].epoch, got[0].temp, got[0].hum) == (1800000005, 11.2, 47.9)
+    assert got[0].ts == dt.datetime(2027, 1, 15, 8, 0, 5)
+    assert got[1].temp == 6.4
+    assert got[2].vars == {"TEMP": 12.5, "HUM": 33.0, "PRES": 987.5, "WIND": 4.5}
+    assert got[3].temp is None and got[3].hum == 52.5
     assert got[4].vars == {}
     assert (got[5].temp_display, got[5].hum_display) == (50.0, 100.0)
     assert got[6].temp == 2.0
@@ -48,7 +52,7 @@ def test_tag_precedence(spark):
 
 def test_log_gaps_and_latest(spark):
     # a log in the reference's form: 440 ticks, 15 s cadence with seven 16 s steps
-    epochs, t = [], 1757301506
+    epochs, t = [], 1800000005
     for k in range(440):
         epochs.append(t)
         t += 16 if k in (47, 100, 150, 200, 250, 300, 350) else 15
@@ -62,10 +66,10 @@ def test_log_gaps_and_latest(spark):
 
 def test_format_data_replies(spark):
     df = spark.createDataFrame([(None,), ("ALL",), ("TEMP",), ("HUM",), ("PRES",)], "v string")
-    out = df.select(TX.format_data(F.lit(1663524890), F.lit(23.5), F.lit(60.2), F.col("v")).alias("r"))
+    out = df.select(TX.format_data(F.lit(1799990000), F.lit(12.5), F.lit(33.0), F.col("v")).alias("r"))
     assert [r.r for r in out.collect()] == [
-        "DATA 1663524890 TEMP=23.5;HUM=60.2", "DATA 1663524890 TEMP=23.5;HUM=60.2",
-        "DATA 1663524890 TEMP=23.5", "DATA 1663524890 HUM=60.2", "ERROR Unknown var"]
+        "DATA 1799990000 TEMP=12.5;HUM=33.0", "DATA 1799990000 TEMP=12.5;HUM=33.0",
+        "DATA 1799990000 TEMP=12.5", "DATA 1799990000 HUM=33.0", "ERROR Unknown var"]
 
 
 def test_select_var_on_parsed_map(spark):
