@@ -13,9 +13,9 @@ ring of that width and the ring below it as window hold every pair. Regions of a
 few documents are compared at once. In larger ones documents become pivots: every member is measured against them, joins the region
 of the nearest (home) and, by the triangle inequality, all regions whose pivot is
 at most 2 r farther (window), and regions are joined in the same way again.
-Members that are already connected need no further comparison. What is left
-after the last level is compared outright, home against window members whose
-distances to the pivot differ by at most r.
+Members that are already connected need no further comparison. Regions whose
+members all lie within 2 r of all pivots cannot be cut; what components they still
+hold after the last level is compared in pairs of bounded blocks.
 
 Equal shingle sets form one class from the start, and only classes are compared.
 Shingles are 64-bit hashes.
@@ -41,7 +41,8 @@ from .graph import components
 LEAF = 32             # regions of up to so many classes are compared at once
 PIVOTS = 4            # documents as pivots in a larger region
 BINS = 256            # of a set's sketch
-LEVELS = 2            # levels of document pivots
+BLOCK_CLASSES, BLOCK_HASHES = 512, 200_000   # of a block of classes that is compared within one task
+LEVELS = 1            # levels of document pivots
 HOT_ENTRIES = 1 << 18  # bound of the broadcast list of frequent shingles
 
 
@@ -206,6 +207,77 @@ def _counted(regions: DataFrame) -> DataFrame:
     return regions.withColumn("k", F.count(F.lit(1)).over(key)).withColumn("homes", F.count(F.when(F.col("home"), 1)).over(key)).where("k > 1")
 
 
+def _blocks(big: DataFrame) -> DataFrame:
+    """(group, block, c, n, label): the classes of the regions left, each once. Regions
+    that share classes form a group; its classes, ordered by component and size, are
+    cut into blocks of at most BLOCK_CLASSES classes and about BLOCK_HASHES hashes."""
+    first = big.groupBy("key").agg(F.min("c").alias("a"))
+    group = components(big.join(first, "key").select("a", F.col("c").alias("b")))
+    m = big.select("c", "n", "label").distinct().join(group.select(F.col("node").alias("c"), F.col("label").alias("group")), "c")
+    each = F.col("n") + BLOCK_HASHES // BLOCK_CLASSES
+    line = F.sum(each).over(W.partitionBy("group").orderBy("label", "n", "c").rowsBetween(W.unboundedPreceding, -1))
+    return m.withColumn("block", F.floor(F.coalesce(line, F.lit(0)) / BLOCK_HASHES))
+
+
+def _links_in(percent: int):
+    """Rows (members x, members y, same) to links that connect what is not yet connected."""
+    def columns(rows: pa.Array):
+        f = rows.flatten()
+        c, label = (f[i].to_numpy() for i in (0, 2))
+        s = f[3]
+        off, values = s.offsets.to_numpy() - s.offsets[0].as_py(), s.flatten().to_numpy()
+        return c, label, [values[off[i]:off[i + 1]] for i in range(len(c))], f[4].flatten().to_numpy().reshape(len(c), BINS)
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                cx, lx, sx, gx = columns(batch.column(0).slice(i, 1).flatten())
+                same = batch.column(2)[i].as_py()
+                cy, ly, sy, gy = (cx, lx, sx, gx) if same else columns(batch.column(1).slice(i, 1).flatten())
+                nx, ny = gx.sum(1), gy.sum(1)
+                root = {int(v): int(v) for v in (*lx, *ly)}
+                out = []
+
+                def find(v):
+                    while root[v] != v:
+                        root[v] = root[root[v]]
+                        v = root[v]
+                    return v
+                for j in range(len(cx)):
+                    first = j + 1 if same else 0
+                    both = ny[first:] + nx[j]
+                    fits = (np.minimum(ny[first:], nx[j]) * 100 >= np.maximum(ny[first:], nx[j]) * percent) & (ly[first:] != lx[j])
+                    at = np.flatnonzero(fits)
+                    if len(at):
+                        most = np.minimum(gy[first:][at], gx[j]).sum(1)
+                        at = at[most * (100 + percent) >= percent * both[at]]
+                    for k in (at + first).tolist():
+                        a, b = find(int(lx[j])), find(int(ly[k]))
+                        if a != b and len(np.intersect1d(sx[j], sy[k], assume_unique=True)) * (100 + percent) >= percent * (nx[j] + ny[k]):
+                            root[max(a, b)] = min(a, b)
+                            out.append((int(cx[j]), int(cy[k])))
+                yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in out], pa.int64()), pa.array([p[1] for p in out], pa.int64())], ["a", "b"])
+    return run
+
+
+def _block_links(big: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the components that are left in regions too dense to cut. Blocks
+    meet in pairs; a pair of blocks inside one component, or of sizes too far apart,
+    needs no meeting. A task holds two blocks and returns at most as many links as
+    they have components."""
+    m = written(_blocks(big), "blocks")
+    some = m.groupBy("group", "block").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.min("n").alias("n0"), F.max("n").alias("n1"))
+    x, y = (some.select("group", *[F.col(c).alias(c + t) for c in ("block", "l0", "l1", "n0", "n1")]) for t in "xy")
+    meet = x.join(y, "group").where("blockx <= blocky AND NOT (l0x = l1x AND l0y = l1y AND l0x = l0y)")
+    meet = meet.where((F.col("n1x") * 100 >= F.col("n0y") * percent) & (F.col("n1y") * 100 >= F.col("n0x") * percent)).select("group", "blockx", "blocky")
+    one = F.struct("c", "n", "label", "s", "g")
+    load = written(m.join(sets, "c").groupBy("group", "block").agg(F.collect_list(one).alias("m")), "block-sets")
+    rows = meet.join(load.select("group", F.col("block").alias("blockx"), F.col("m").alias("mx")), ["group", "blockx"])
+    rows = rows.join(load.select("group", F.col("block").alias("blocky"), F.col("m").alias("my")), ["group", "blocky"])
+    rows = rows.select("mx", F.when(F.col("blockx") != F.col("blocky"), F.col("my")).alias("my"), (F.col("blockx") == F.col("blocky")).alias("same"))
+    return written(rows.mapInArrow(_links_in(percent), "a long, b long"), "block-links")
+
+
 def class_links(docs: DataFrame, k: int = 4, percent: int = 85, leaf: int = LEAF, pivots: int = PIVOTS, levels: int = LEVELS,
                 often: int = 2, hot_least: int = 8) -> tuple[DataFrame, DataFrame]:
     """(documents as doc_id, n, c, links between classes as a, b): enough links that
@@ -258,13 +330,9 @@ def class_links(docs: DataFrame, k: int = 4, percent: int = 85, leaf: int = LEAF
         star = written(star.join(size.select("key", "k"), "key"), "voronoi")
         links = links.unionByName(_measure(_leaf_pairs(star, percent, leaf), sets, percent, "leaf-pairs")[1])
         big = star.where(F.col("k") > leaf)
-    if "d" in big.columns and big.limit(1).count():
-        most = big.groupBy("key", "label").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.max_by("label", "m").alias("most"))
-        minor = big.join(most, "key").where("label <> most").select("key", F.col("c").alias("a"), F.col("n").alias("na"), F.col("d").alias("da"), F.col("label").alias("la"), F.col("home").alias("ha"))
-        other = big.select("key", F.col("c").alias("b"), F.col("n").alias("nb"), F.col("d").alias("db"), F.col("label").alias("lb"), F.col("home").alias("hb"))
-        pairs = minor.join(other, "key").where((F.col("la") != F.col("lb")) & (F.col("ha") | F.col("hb")) & _size_fits("na", "nb", percent)
-                                               & (F.abs(F.col("da") - F.col("db")) <= reach / 2))
-        links = links.unionByName(_measure(_ordered(pairs.select("a", "b", "na", "nb")), sets, percent, "last-pairs")[1])
+    if big.limit(1).count():
+        big = big if "label" in big.columns else big.withColumn("label", F.col("c"))
+        links = links.unionByName(_block_links(big, sets, percent))
     return rows, links
 
 
