@@ -70,15 +70,16 @@ def _word_counts(by_class: bool):
 
 
 class KneserNey:
-    """Evidence of a word by bucket: log P(word | toxic) - log P(word | ordinary)."""
+    """Evidence of a word by bucket: log P(word | toxic) - log P(word | ordinary). Where
+    no class has more texts than the discount takes, both probabilities are the
+    shared backoff and the evidence is 0, so only the other buckets are needed."""
 
-    def __init__(self, words: np.ndarray):
-        shared = (words[0] + 1.0) / (words[0].sum() + BUCKETS)
-        kinds, places = sum(np.count_nonzero(words[c]) for c in (1, 2)), max(1, words[1].sum() + words[2].sum())
-        rest = min(0.9, max(0.1, DISCOUNT * kinds / places))        # what the discounts leave to the shared backoff, alike for both
-        sure = [np.maximum(words[c] - DISCOUNT, 0) for c in (1, 2)]
-        ordinary, toxic = (np.log((1 - rest) * s / max(1, s.sum()) + rest * shared) for s in sure)
-        self.evidence = (toxic - ordinary).astype(np.float32)
+    def __init__(self, bucket: np.ndarray, texts: np.ndarray, classes: np.ndarray, kinds: int, places: int, sure: tuple, total: int):
+        rest = min(0.9, max(0.1, DISCOUNT * kinds / max(1, places)))        # what the discounts leave to the shared backoff, alike for both
+        shared = (texts + 1.0) / (total + BUCKETS)
+        ordinary, toxic = (np.log((1 - rest) * np.maximum(classes[c] - DISCOUNT, 0) / max(1, sure[c]) + rest * shared) for c in (0, 1))
+        self.evidence = np.zeros(BUCKETS, np.float32)
+        self.evidence[bucket] = toxic - ordinary
 
     def features(self, b: pa.RecordBatch, text: int) -> np.ndarray:
         """Evidence a word of every text: whole, of its most toxic passage, and at its most toxic word."""
@@ -133,12 +134,16 @@ def fit(docs: DataFrame, labels: DataFrame, train):
     # every fourth row, or fewer of many, for the weights
     apart = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * min(0.25, CALIBRATION_ROWS / n))
     counted = rows.where(~apart).select("text", "label")
-    got = (docs.select("text").mapInArrow(_word_counts(False), "kind int, bucket int, n long")
-           .unionByName(counted.mapInArrow(_word_counts(True), "kind int, bucket int, n long"))
-           .groupBy("kind", "bucket").agg(F.sum("n").alias("n")).toPandas())                # at most 3 * BUCKETS rows
-    words = np.zeros((3, BUCKETS), np.int64)
-    words[got["kind"].to_numpy(), got["bucket"].to_numpy()] = got["n"].to_numpy()
-    model = spark.sparkContext.broadcast(KneserNey(words))
+    n_of = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("n")).otherwise(0))
+    words = written(docs.select("text").mapInArrow(_word_counts(False), "kind int, bucket int, n long")
+                    .unionByName(counted.mapInArrow(_word_counts(True), "kind int, bucket int, n long"))
+                    .groupBy("bucket").agg(n_of(0).alias("texts"), n_of(1).alias("ordinary"), n_of(2).alias("toxic")), "word-counts")
+    over = lambda c: F.sum(F.greatest(F.col(c) - DISCOUNT, F.lit(0)))
+    t = words.agg(F.sum("texts").alias("total"), F.sum(F.col("ordinary") + F.col("toxic")).alias("places"), over("ordinary").alias("o"), over("toxic").alias("t"),
+                  (F.count_if(F.col("ordinary") > 0) + F.count_if(F.col("toxic") > 0)).alias("kinds")).first()
+    some = words.where((F.col("ordinary") > DISCOUNT) | (F.col("toxic") > DISCOUNT)).toPandas()        # at most BUCKETS rows
+    model = spark.sparkContext.broadcast(KneserNey(some["bucket"].to_numpy(), some["texts"].to_numpy(), some[["ordinary", "toxic"]].to_numpy().T,
+                                                   t["kinds"], t["places"], (t["o"], t["t"]), t["total"]))
     held = rows.where(apart).select("label", "text").mapInArrow(_feature_rows(model), "key int, whole double, passage double, peak double").toPandas()
     x, y = held[list(FEATURES)].to_numpy(), held["key"].to_numpy(float)
     if 0 < y.sum() < len(y):
