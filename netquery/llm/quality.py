@@ -147,7 +147,10 @@ def fit(docs: DataFrame, labels: DataFrame, train) -> Network | float:
     y = got["label"].to_numpy(np.float32)
     if not 0 < y.sum() < len(y):
         return good / n
-    data, off = text_bytes(pa.array(got["text"]))
+    # whole texts, and the first sentences of every third good one, so that a short text is no fault by itself
+    short = [t.partition(".")[0][:100] + "." for t in got["text"][y == 1][::3]]
+    y = np.concatenate([y, np.ones(len(short), np.float32)])
+    data, off = text_bytes(pa.array([*got["text"], *short]))
     x, first = chunks(data, off)
     net = Network()
     net.fit(x, first, y)

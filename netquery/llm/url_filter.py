@@ -5,8 +5,8 @@ host and the domain it is part of, down to two labels). Personalised PageRank
 spreads trust along the edges from hosts with pages that a rule allows, and
 distrust against the edges from hosts with pages that a rule blocks; seeds weigh
 as many pages as the rule decides. A host that distrust reaches more than trust is
-blocked. Everything is DataFrame expressions; a round is one join and one sum,
-and its result a written table of one row for each host reached.
+blocked. Everything is DataFrame expressions; a round is one join and one sum over
+one row for each host reached, and every `CUT` rounds a written table ends the lineage.
 
 Defined results: a null url, or one without ://, has an empty host and path, fits
 no rule and is allowed; a null page has no links; a page whose path is empty fits
@@ -22,7 +22,8 @@ from .common import written
 
 # The rules of the query.
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
-ROUNDS, DAMPING = 10, 0.85
+ROUNDS, DAMPING = 8, 0.85
+CUT = 4                      # rounds between written tables
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 LINK = r"""(?i)href\s*=\s*["']?(?:https?:)?//([^/?#"'\s>]+)"""
@@ -83,10 +84,12 @@ def propagate(seeds: DataFrame, share: DataFrame, rounds: int = ROUNDS, damping:
     whole = seeds.groupBy("kind").agg(F.sum("pages").alias("whole"))
     p = written(seeds.join(whole, "kind").select("kind", "host", (F.col("pages") / F.col("whole")).alias("score")), "seeds")
     score = p
-    for _ in range(rounds):
+    for i in range(rounds):
         moved = score.withColumnRenamed("host", "src").join(share, ["kind", "src"]).select("kind", F.col("dst").alias("host"), (F.col("score") * F.col("share") * damping).alias("score"))
         kept = p.select("kind", "host", (F.col("score") * (1 - damping)).alias("score"))
-        score = written(moved.unionByName(kept).groupBy("kind", "host").agg(F.sum("score").alias("score")), "scores")
+        score = moved.unionByName(kept).groupBy("kind", "host").agg(F.sum("score").alias("score"))
+        if (i + 1) % CUT == 0 or i + 1 == rounds:
+            score = written(score, "scores")
     return score
 
 
