@@ -24,12 +24,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import written
+from .common import text_slices, written
 from .tokens import Ids, default_path
 
 WINDOW = 2048
 END = 1
-SHARD_DOCS = 2048
+SHARD_DOCS = 2048             # at most 65,536
 SHARD_TOKENS = 1 << 22
 TERMS = 32            # of a seed, by weight, that are looked up
 NEIGHBOURS = 64       # retrieved at once
@@ -43,10 +43,8 @@ def tokenised(docs: DataFrame, key: str, text: str, path: str) -> DataFrame:
 
     def run(batches):
         ids, end = Ids(path), np.array([END], "<u2").tobytes()
-        for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([ids.encode(t or "") + end for t in part.column(1).to_pylist()], pa.binary())], ["doc_id", "ids"])
+        for b in text_slices(batches, "text", 2 << 20):
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x + end for x in ids.encode_many(b.column(1).to_pylist())], pa.binary())], ["doc_id", "ids"])
     return docs.mapInArrow(run, f"doc_id {kind.simpleString()}, ids binary")
 
 
@@ -71,9 +69,9 @@ class Shard:
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean: float, window: int = WINDOW):
         self.docs, self.window = docs, window
         size = np.array([len(d) for d in docs])
-        owner = np.repeat(np.arange(len(docs)), size)
-        key, tf = np.unique((owner << 16) | np.concatenate(docs), return_counts=True)
-        doc, term = key >> 16, key & 0xFFFF
+        owner = np.repeat(np.arange(len(docs), dtype=np.uint32), size)
+        key, tf = np.unique((owner << np.uint32(16)) | np.concatenate(docs).astype(np.uint32), return_counts=True)
+        doc, term = (key >> np.uint32(16)).astype(np.int64), (key & np.uint32(0xFFFF)).astype(np.int64)
         w = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[doc] / mean))
         # the terms of most weight of every document
         order = np.lexsort((term, -w, doc))
@@ -158,7 +156,7 @@ def _pack(stats, key_type: pa.DataType, window: int, shard_docs: int, shard_toke
         keys, docs, held = [], [], 0
         for b in batches:
             for key, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                ids = np.frombuffer(x, "<u2").astype(np.int64)
+                ids = np.frombuffer(x, "<u2")
                 if docs and (len(docs) >= shard_docs or held + len(ids) > shard_tokens):
                     n, out = packed(keys, docs, first)
                     yield out

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import chain
 
 import numpy as np
 
-CACHE = 300_000         # words kept by a worker; emptied when full
+CACHE = 400_000         # words and pieces of words kept by a worker; emptied when full
 
 # The cache serves texts of these characters only: for them Unicode normal form, case
 # and character classes are the same everywhere. Other texts go through the library whole.
@@ -27,21 +28,42 @@ class Ids:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        if self.tokenizer.get_vocab_size() > 1 << 16:
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        if len(vocabulary) > 1 << 16:
             raise ValueError("ids of this vocabulary need more than 16 bits")
-        self.words: dict[str, bytes] = {}
-
-    def encode(self, text: str) -> bytes:
-        if "<|" in text or not (text.isascii() and text.isprintable() or _PLAIN.fullmatch(text)):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
-        pieces = _PIECE.findall(text.lower())
-        try:
-            return b"".join(map(self.words.__getitem__, pieces))
-        except KeyError:
-            pass
-        if len(self.words) > CACHE:
+        self.ends = np.zeros(1 << 16, bool)             # ids that end a piece
+        self.ends[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
+        self.words: dict[str, bytes] = {}               # runs without white space
+        self.pieces: dict[str, bytes] = {}              # what the vocabulary's pattern cuts them into
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+
+    def _learn(self, words: list[str]) -> None:
+        """Cache the ids of words, by one call for all new pieces in them."""
+        if len(self.pieces) > CACHE:
+            self.pieces.clear()
+        parts = [_PIECE.findall(w) for w in words]
+        new = list(set(chain.from_iterable(parts)).difference(self.pieces))
+        ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, "<u2")
+        end = np.flatnonzero(self.ends[ids]) + 1
+        if len(end) == len(new):
+            raw, cut = ids.tobytes(), [0, *end.tolist()]
+            self.pieces.update(zip(new, (raw[2 * a:2 * b] for a, b in zip(cut, cut[1:], strict=False)), strict=True))
+        else:                                           # not one end for each piece
+            self.pieces.update((p, self._whole(p)) for p in new)
+        get = self.pieces.__getitem__
+        self.words.update((w, b"".join(map(get, p))) for w, p in zip(words, parts, strict=True))
+
+    def encode_many(self, texts: list[str | None]) -> list[bytes]:
+        plain = [t or "" for t in texts]
+        split = [t.lower().split() if "<|" not in t and (t.isascii() and t.isprintable() or _PLAIN.fullmatch(t)) else None for t in plain]
+        need = set(chain.from_iterable(w for w in split if w is not None))
+        new = list(need.difference(self.words))
+        if len(self.words) + len(new) > CACHE:
             self.words.clear()
-        new = [w for w in dict.fromkeys(pieces) if w not in self.words]
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.words[w] = np.array(e.ids, "<u2").tobytes()
-        return b"".join(map(self.words.__getitem__, pieces))
+            new = list(need)
+        if new:
+            self._learn(new)
+        get = self.words.__getitem__
+        return [self._whole(t) if w is None else b"".join(map(get, w)) for t, w in zip(plain, split, strict=True)]
