@@ -27,21 +27,11 @@ def attack_label(attack="attack") -> Column:
     return (~_c(attack).eqNullSafe(F.lit(NORMAL_LABEL))).cast("int")
 
 
-def with_attack_label(df, attack="attack", out="label", drop=("attack", "difficulty")):
-    """PR1: add the binary label and drop the raw attack/difficulty columns."""
-    df = df.withColumn(out, attack_label(attack))
-    return df.drop(*[c for c in drop if c in df.columns])
-
-
 def importance(a="src_bytes", b="dst_bytes") -> Column:
     """PR2: ln(a + b + 1)."""
     return F.log1p(_c(a).cast("double") + _c(b).cast("double"))
 
 
-def with_importance(df, a="src_bytes", b="dst_bytes", out="importance_score"):
-    return df.withColumn(out, importance(a, b))
-
-
 def clamp(c, lo: float, hi: float) -> Column:
     """PR8: greatest(lo, least(hi, x)); null stays null."""
     return F.greatest(F.lit(float(lo)), F.least(F.lit(float(hi)), _c(c).cast("double")))
@@ -69,8 +59,3 @@ def epoch_micros(ts) -> Column:
     """Microseconds since 1970-01-01 of a timestamp (wall clock for NTZ)."""
     c = _c(ts).cast("timestamp_ntz")
     return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
-
-
-def epoch_seconds(ts) -> Column:
-    """Whole seconds since epoch (the server clock's resolution)."""
-    return F.unix_timestamp(_c(ts))

@@ -154,7 +154,8 @@ def user_entry(ip, port) -> Column:
 
 def user_list(df: DataFrame, by, ip: str = "ip", port: str = "port") -> DataFrame:
     """TX7: `ip:port;ip:port;` per group (sorted for determinism). The group is
-    the set of clients connected at one instant (the server admits at most 10)."""
+    the set of clients connected at one instant, and the text is as long as it: a
+    server that admits few clients has short ones, a table may have long ones."""
     by = [by] if isinstance(by, str) else list(by)
     return df.groupBy(*by).agg(
         F.array_join(F.sort_array(F.collect_list(user_entry(ip, port))), "").alias("users"),

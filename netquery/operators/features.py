@@ -76,14 +76,6 @@ def scale_apply(df: DataFrame, params: dict[str, tuple[float, float]]) -> DataFr
                        if c in params else F.col(c) for c in df.columns])
 
 
-def scale_expr_fit(df: DataFrame, cols: list[str], with_mean: bool = False) -> DataFrame:
-    """FE2/FE3 fit as a one-row DataFrame (lazy form, for plans that stay in SQL)."""
-    aggs = []
-    for c in cols:
-        aggs += [F.avg(F.col(c).cast("double")).alias(f"m_{c}"), F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}")]
-    return df.agg(*aggs)
-
-
 def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
     """FE4: vector column (sparse where mostly zero)."""
     from pyspark.ml.feature import VectorAssembler

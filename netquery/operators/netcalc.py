@@ -22,10 +22,3 @@ def overload_fraction(steps: DataFrame, load: str = "load", capacity=None, by=()
     g = steps.groupBy(*by) if by else steps
     return g.agg(F.avg((F.col(load) > cap).cast("double")).alias("overload_fraction"),
                  F.count(F.lit(1)).alias("steps"))
-
-
-def binomial_pmf(n: int, k: int, p) -> F.Column:
-    """P(X = k) for X ~ Bin(n, p) as a column (p may be a column)."""
-    from math import comb
-    pc = F.col(p) if isinstance(p, str) else F.lit(float(p))
-    return F.lit(float(comb(n, k))) * F.pow(pc, k) * F.pow(1 - pc, n - k)

@@ -22,6 +22,7 @@ from ..models import ensembles as EN
 from ..models import tuning as TU
 from ..operators import features as FE
 from ..operators import metrics as M
+from ..operators.joins import join_predictions
 from ..operators.ordered import attach_row
 from ..session import scratch_path
 from .derived import CONNECTION_SQL, connection_records
@@ -325,7 +326,7 @@ def q_model_save_load(spark, sf):
         "label", (~F.col("attack").eqNullSafe("normal")).cast("double"))
     scored = TU.load_and_score(path, recs)
     first = m.transform(p.test).select("conn_id", F.col("prediction").alias("first"))
-    same = scored.select("conn_id", "prediction").join(first, "conn_id").agg(F.count_if(F.col("prediction") == F.col("first")).alias("same_predictions"))
+    same = join_predictions(scored.select("conn_id", "prediction"), first, "conn_id").agg(F.count_if(F.col("prediction") == F.col("first")).alias("same_predictions"))
     return attach_row(_row(scored, "DecisionTree(reloaded)"), same)
 
 

@@ -45,7 +45,6 @@ def test_path_delay_worksheet(spark):
     assert NC.path_delay(two).first().transmission_s == pytest.approx(8000 / 1e6 + 8000 / 2e6)   # L/R1 + L/R2
 
 
-def test_overload_and_binomial(spark):
+def test_overload(spark):
     df = spark.createDataFrame([(1, 3), (2, 1), (3, 2), (4, 3)], "t int, load int")
     assert NC.overload_fraction(df, "load", 2).first().overload_fraction == pytest.approx(0.5)
-    assert spark.range(1).select(NC.binomial_pmf(3, 3, 0.2).alias("p")).first().p == pytest.approx(0.008)

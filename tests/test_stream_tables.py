@@ -20,3 +20,13 @@ def test_stream_over_a_folder_of_files(spark, files, per_batch):
 def test_stream_over_one_file(spark):
     got = S.run_append(S.events_stream(spark, SF0001).select("event_id"), spark, "one")
     assert got.count() == spark.read.parquet(f"{SF0001}/events.parquet").count()
+
+
+def test_predictions_align_by_unique_key(spark):
+    from netquery.operators.joins import join_predictions
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "row_id int, label int")
+    good = spark.createDataFrame([(2, 1.0), (1, 0.0)], "row_id int, prediction double")
+    assert sorted((r.row_id, r.label, r.prediction) for r in join_predictions(labels, good).collect()) == [(1, 0, 0.0), (2, 1, 1.0)]
+    twice = good.unionByName(good.where("row_id = 1"))
+    with pytest.raises(Exception, match="several predictions"):
+        join_predictions(labels, twice).collect()
