@@ -9,11 +9,11 @@ backoff alone, so a rare word that only one class happens to have is no evidence
 A text's evidence is the length-normalised difference of its two log-likelihoods:
 over the whole text, over its most toxic passage of `WINDOW` words and at its most
 toxic word; all words count. Weights and a bias turn these into a probability;
-they are fitted on labelled rows that the models have not counted.
+they are fitted on labelled rows that the models have not counted. At most
+`LABELLED_ROWS` labelled rows are learnt from; the backoff counts all texts.
 
 Words are counted in `BUCKETS` hash buckets, so the tables that reach the driver and
-the tasks have a fixed size, while the counts in them grow with the labelled rows
-and the corpus.
+the tasks have a fixed size, while the counts in them grow with the corpus.
 
 Defined results: null, empty and wordless texts have no evidence and get the
 score of the bias alone; a null id counts as the empty text for the split and
@@ -28,13 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_split, id_bits, text_bytes, text_slices, with_bit, word_hashes, written
+from .common import crc_split, text_bytes, text_slices, word_hashes, written
 
 BUCKETS = 1 << 20
 WINDOW = 16
 DISCOUNT = 4
 THRESHOLD = 0.3
-CALIBRATION_ROWS = 20_000     # about so many labelled rows fit the weights; the models count all others
+LABELLED_ROWS = 50_000        # at most so many labelled rows are learnt from
+CALIBRATION_ROWS = 12_000     # about so many labelled rows fit the weights; the models count all others
 FEATURES = ("whole", "passage", "peak")
 
 
@@ -109,25 +110,19 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int
     return w
 
 
-def labelled(docs: DataFrame, labels: DataFrame, name: str) -> DataFrame:
-    """(doc_id, text, label) of the documents that have a label `name`. An id filter of
-    fixed size drops the others before anything is shuffled."""
-    spark = docs.sparkSession
-    lab = labels.where(F.col(name).isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(name).cast("int").alias("label"))
-    bits = spark.sparkContext.broadcast(id_bits(lab))
-
-    def wanted(batches):
-        for b in batches:
-            yield with_bit(b, bits.value)
-    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(wanted, "doc_id long, text string")
-    return some.join(lab, "doc_id")
+def labelled(docs: DataFrame, labels: DataFrame, name: str, train, most: int = LABELLED_ROWS) -> DataFrame:
+    """(doc_id, text, label) of documents that have a label `name` and meet `train`: all,
+    or the `most` of smallest hashed ids. So few labels are broadcast, and no text is shuffled."""
+    lab = (labels.where(F.col(name).isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+           .agg(F.max(name).cast("int").alias("label")).where(train).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(lab), "doc_id")
 
 
 def fit(docs: DataFrame, labels: DataFrame, train):
     """(broadcast models, weights) from the labelled rows where `train` holds, with all
     texts as shared backoff; None without both classes."""
     spark = docs.sparkSession
-    rows = written(labelled(docs.where(train), labels, "toxic").select("doc_id", "text", "label"), "labelled")
+    rows = written(labelled(docs, labels, "toxic", train).select("doc_id", "text", "label"), "labelled")
     n, toxic = rows.agg(F.count(F.lit(1)), F.sum("label")).first()
     if not n or not toxic or toxic == n:
         return None
