@@ -41,6 +41,10 @@ def prepared(spark, sf, balanced=True):
     k = (id(spark), sf, balanced)
     p = _CACHE.get(k)
     if p is None or p.train.sparkSession is not spark:
+        for old in _CACHE.values():             # one prepared set at a time stays cached
+            if old.train.sparkSession is spark:
+                old.release()
+        _CACHE.clear()
         p = B.prepare(connection_records(spark, sf), balanced=balanced, partitions=PARTITIONS)
         _CACHE[k] = p
     return p
