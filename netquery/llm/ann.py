@@ -8,8 +8,9 @@ vectors cuts the table into cells, and every cell into leaves. A query visits
 leaves by rising projected distance and verifies their vectors by the true inner
 product, until the projected distance of the next leaf, squared, exceeds the
 chi-square quantile of `CHANCE` times the squared distance of its k-th best so
-far: a nearer vector still unseen is then less likely than 1 - CHANCE. It begins
-in its own cell, whose k-th best bounds the cells it visits next.
+far: a nearer vector still unseen is then less likely than 1 - CHANCE. It visits
+cells in rounds, the nearest first; the k-th best so far decides which cells of the
+next round it still visits, and what they may return.
 
 The planes of the upper tree come from at most `SAMPLE` projected vectors; every
 vector is indexed. Of equal vectors only the k + 1 of smallest id can be among
@@ -34,9 +35,10 @@ from .common import written
 
 DIMS = 8
 CHANCE = 0.98
-CELL, LEAF = 2048, 64        # vectors of a block in a cell, and of a leaf of its tree
+CELL, LEAF = 2048, 128       # vectors of a block in a cell, and of a leaf of its tree
 CELLS = 16_384               # at most so many cells; larger ones hold several blocks
 SAMPLE = 20_000
+ROUNDS = (1, 4, 12)          # nearest cells that a query has visited after each round but the last
 BLOCK = 256                  # queries that visit a block at once
 MEET = "query_id long, vec_id long, score double"
 
@@ -136,26 +138,40 @@ class Block:
         self.low = np.array([self.p[a:b].min(0) for a, b in bounds])
         self.high = np.array([self.p[a:b].max(0) for a, b in bounds])
 
-    def search(self, own: int, q: np.ndarray, pq: np.ndarray, k: int, reach: float, bound: float) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the best k found; `bound`: squared distance of the k-th best known before."""
-        near = box_distance2(pq, self.low, self.high)
-        ids, scores, kth = np.zeros(0, np.int64), np.zeros(0), bound
-        for leaf in np.argsort(near, kind="stable"):
-            if near[leaf] > reach * kth:
-                break
-            a, b = self.bounds[leaf]
-            d = ((self.p[a:b] - pq) ** 2).sum(1)
-            some = np.flatnonzero((d <= reach * kth) & (self.ids[a:b] != own))
-            if not len(some):
-                continue
-            ids = np.concatenate([ids, self.ids[a:b][some]])
-            scores = np.concatenate([scores, (self.x[a:b][some] * q).sum(1)])
-            if len(ids) > k:
-                keep = np.lexsort((ids, -scores))[:k]
-                ids, scores = ids[keep], scores[keep]
-            if len(ids) == k:
-                kth = min(kth, float(self.projection.distance2(scores.min(), q)) * (1 + 1e-9) + 1e-12)
-        return ids, scores
+    def search(self, own: np.ndarray, q: np.ndarray, pq: np.ndarray, k: int, reach: float, floor: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For every query (ids, scores) of the best k found that are not below `floor`,
+        the k-th best score known before. All queries go to their next leaf together;
+        a product of matrices finds what may enter, whose scores are then taken exactly."""
+        near = np.array([box_distance2(p, self.low, self.high) for p in pq])
+        order = np.argsort(near, axis=1, kind="stable")
+        limit = lambda i, score: self.projection.distance2(score, q[i]) * (1 + 1e-9) + 1e-12
+        kth = np.array([limit(i, f) if np.isfinite(f) else np.inf for i, f in enumerate(floor)])
+        floor = floor.copy()
+        out = [(np.zeros(0, np.int64), np.zeros(0)) for _ in q]
+        active = np.arange(len(q))
+        for r in range(len(self.bounds)):
+            leaf = order[active, r]
+            active, leaf = (x[near[active, leaf] <= reach * kth[active]] for x in (active, leaf))
+            for one in np.unique(leaf):
+                rows = active[leaf == one]
+                a, b = self.bounds[one]
+                hit, at = np.nonzero(q[rows] @ self.x[a:b].T >= floor[rows][:, None] - 1e-9 * self.projection.norm)
+                exact = (self.x[a:b][at] * q[rows][hit]).sum(1)
+                cuts = np.searchsorted(hit, np.arange(len(rows) + 1))
+                for j, i in enumerate(rows.tolist()):
+                    some = slice(cuts[j], cuts[j + 1])
+                    ids, scores = self.ids[a:b][at[some]], exact[some]
+                    keep = (ids != own[i]) & (scores >= floor[i])
+                    if not keep.any():
+                        continue
+                    ids, scores = np.concatenate([out[i][0], ids[keep]]), np.concatenate([out[i][1], scores[keep]])
+                    if len(ids) >= k:
+                        keep = np.lexsort((ids, -scores))[:k]
+                        ids, scores = ids[keep], scores[keep]
+                        floor[i] = scores[-1]
+                        kth[i] = limit(i, floor[i])
+                    out[i] = ids, scores
+        return out
 
 
 def _search(shared, k: int):
@@ -167,20 +183,18 @@ def _search(shared, k: int):
                 ids = np.array(r["ids"], np.int64)
                 block = Block(ids, np.frombuffer(r["vectors"]).reshape(len(ids), -1), projection)
                 q = np.array([x["v"] for x in r["queries"]])
-                pq = projection.queries(q)
-                out = [[], [], []]
-                for i, x in enumerate(r["queries"]):
-                    found, scores = block.search(x["query_id"], q[i], pq[i], k, reach, x["bound"])
-                    out[0].append(np.full(len(found), x["query_id"])), out[1].append(found), out[2].append(scores)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["query_id", "vec_id", "score"])
+                own = np.array([x["query_id"] for x in r["queries"]])
+                found = block.search(own, q, projection.queries(q), k, reach, np.array([-np.inf if x["floor"] is None else x["floor"] for x in r["queries"]]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(own, [len(f[0]) for f in found])), pa.array(np.concatenate([f[0] for f in found])),
+                                                  pa.array(np.concatenate([f[1] for f in found]))], ["query_id", "vec_id", "score"])
     return run
 
 
 def _visit(blocks: DataFrame, visits: DataFrame, shared, k: int) -> DataFrame:
-    """Neighbours from every (query, cell) of `visits` (cell, query_id, v, bound)."""
+    """Neighbours from every (query, cell) of `visits` (cell, query_id, v, floor)."""
     place = F.row_number().over(W.partitionBy("cell").orderBy("query_id"))
     groups = (visits.withColumn("g", F.floor((place - 1) / BLOCK)).groupBy("cell", "g")
-              .agg(F.collect_list(F.struct("query_id", "v", "bound")).alias("queries")))           # at most BLOCK each
+              .agg(F.collect_list(F.struct("query_id", "v", "floor")).alias("queries")))           # at most BLOCK each
     return blocks.join(groups, "cell").select("ids", "vectors", "queries").mapInArrow(_search(shared, k), MEET)
 
 
@@ -219,14 +233,12 @@ def nearest(rows: DataFrame, queries, key: str = "vec_id", vector: str = "embedd
     planes = Planes(projection.rows(np.stack(points["v"].to_numpy())), cells)
     shared = spark.sparkContext.broadcast((projection, planes))
 
-    def placed(as_query: bool):
-        def run(batches):
-            p, t = shared.value
-            for b in batches:
-                x = matrix(b.column(1))
-                if len(x):
-                    yield pa.RecordBatch.from_arrays([*b.columns, pa.array(t.cell_of(p.queries(x) if as_query else p.rows(x)))], ["vec_id", "v", "cell"])
-        return run
+    def placed(batches):
+        p, t = shared.value
+        for b in batches:
+            x = matrix(b.column(1))
+            if len(x):
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(t.cell_of(p.rows(x)))], ["vec_id", "v", "cell"])
 
     def blocks_of(pdf):
         import pandas as pd
@@ -234,41 +246,47 @@ def nearest(rows: DataFrame, queries, key: str = "vec_id", vector: str = "embedd
         p = shared.value[0].rows(x)
         return pd.DataFrame({"cell": [pdf["cell"].iloc[0]], "ids": [pdf["vec_id"].to_numpy()], "vectors": [x.tobytes()], "low": [p.min(0)], "high": [p.max(0)]})
     inside = F.floor((F.row_number().over(W.partitionBy("cell").orderBy(F.xxhash64("vec_id"), "vec_id")) - 1) / cell)
-    cut = some.mapInArrow(placed(False), "vec_id long, v array<double>, cell long").withColumn("block", inside)
+    cut = some.mapInArrow(placed, "vec_id long, v array<double>, cell long").withColumn("block", inside)
     blocks = written(cut.groupBy("cell", "block").applyInPandas(blocks_of, "cell long, ids array<long>, vectors binary, low array<double>, high array<double>"), "blocks")
 
-    asked = written(rows.where(queries).mapInArrow(placed(True), "vec_id long, v array<double>, cell long").withColumnRenamed("vec_id", "query_id"), "queries")
+    asked = written(rows.where(queries).withColumnRenamed("vec_id", "query_id"), "queries")
     reach = chi_square_quantile(chance, DIMS)
     first = spark.sparkContext.broadcast((projection, reach))
-    homes = blocks.select("cell").distinct()
-    at_home = asked.join(homes, "cell").select("cell", "query_id", "v", F.lit(float("inf")).alias("bound"))
-    found = written(_best(_visit(blocks, at_home, first, k), k), "found").drop("rank")
-
     boxes = blocks.select("cell", F.posexplode(F.arrays_zip("low", "high")).alias("i", "x")).groupBy("cell", "i").agg(F.min("x.low").alias("low"), F.max("x.high").alias("high")).toPandas()
     boxes = boxes.sort_values(["cell", "i"])                      # at most CELLS boxes
     number = boxes["cell"].to_numpy()[::DIMS]
     edges = spark.sparkContext.broadcast((projection, reach, number, boxes["low"].to_numpy().reshape(-1, DIMS), boxes["high"].to_numpy().reshape(-1, DIMS)))
-    kth = found.groupBy("query_id").agg(F.min("score").alias("kth"), F.count(F.lit(1)).alias("n"))
-    known = asked.join(kth, "query_id", "left").select("query_id", "v", "cell", F.when(F.col("n") >= k, F.col("kth")).alias("kth"))
 
-    def further(batches):
-        p, r, cell_no, low, high = edges.value
-        for b in batches:
-            x = matrix(b.column(1))
-            if not len(x):
-                continue
-            pq = p.queries(x)
-            kth, home = b.column(3).to_pylist(), b.column(2).to_pylist()
-            keep, to, bound = [], [], []
-            for i in range(len(x)):
-                d = math.inf if kth[i] is None else float(p.distance2(kth[i], x[i])) * (1 + 1e-9) + 1e-12
-                hit = cell_no[(box_distance2(pq[i], low, high) <= r * d) & (cell_no != home[i])]
-                keep.append(np.full(len(hit), i)), to.append(hit), bound.append(np.full(len(hit), d))
-            i = np.concatenate(keep)
-            rows = b.take(pa.array(i))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(to)), rows.column(0), rows.column(1), pa.array(np.concatenate(bound))], ["cell", "query_id", "v", "bound"])
-    visits = known.mapInArrow(further, "cell long, query_id long, v array<double>, bound double")
-    found = found.unionByName(_visit(blocks, visits, first, k))
+    def visits_of(begin: int, end: int):
+        """(query, cell) of the begin-th to the (end - 1)-th nearest cells that may still hold a nearer vector."""
+        def run(batches):
+            p, r, cell_no, low, high = edges.value
+            for b in batches:
+                x = matrix(b.column(1))
+                if not len(x):
+                    continue
+                pq, kth = p.queries(x), b.column(2).to_pylist()
+                to = []
+                for i in range(len(x)):
+                    d = box_distance2(pq[i], low, high)
+                    near = np.argsort(d, kind="stable")[begin:end]
+                    limit = math.inf if kth[i] is None else float(p.distance2(kth[i], x[i])) * (1 + 1e-9) + 1e-12
+                    to.append(cell_no[near[d[near] <= r * limit]])
+                rows = b.take(pa.array(np.repeat(np.arange(len(x)), [len(t) for t in to])))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(to)), *rows.columns], ["cell", "query_id", "v", "floor"])
+        return run
+    found, begin = None, 0
+    for end in (*ROUNDS, len(number)):
+        if begin >= len(number):
+            break
+        known = asked.withColumn("floor", F.lit(None).cast("double"))
+        if found is not None:
+            kth = found.groupBy("query_id").agg(F.min("score").alias("floor"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= k).drop("n")
+            known = asked.join(kth, "query_id", "left").select("query_id", "v", "floor")
+        visits = known.mapInArrow(visits_of(begin, end), "cell long, query_id long, v array<double>, floor double")
+        more = _visit(blocks, visits, first, k)
+        found = written(_best(more if found is None else found.unionByName(more), k).drop("rank"), "found")
+        begin = end
     return _best(found, k).select("query_id", "rank", "vec_id", "score")
 
 
