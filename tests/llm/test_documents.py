@@ -120,8 +120,7 @@ def near_texts(seed, families=6, members=14):
     return rows + [(key, ""), (key + 1, None), (key + 2, "a b"), (key + 3, "A  b")]
 
 
-@pytest.mark.parametrize("limits", [{}, {"leaf": 2, "pivots": 2, "levels": 2, "hot_least": 4}, {"leaf": 2, "pivots": 1, "levels": 1, "often": 10 ** 9}])
-@pytest.mark.parametrize("k, percent", [(4, 85), (5, 80)])
+@pytest.mark.parametrize("limits, k, percent", [({}, 4, 85), ({"leaf": 2, "pivots": 2, "levels": 2, "hot_least": 4}, 5, 80), ({"leaf": 2, "pivots": 1, "often": 10 ** 9}, 4, 85)])
 def test_near_groups_equal_brute_force(spark, limits, k, percent):
     rows = near_texts(len(limits) * 10 + k)
     got = ngram_join.near_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), k=k, percent=percent, **limits).collect()

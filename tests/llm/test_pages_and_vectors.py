@@ -5,6 +5,7 @@ from html import unescape
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from netquery.llm import ann, html_extract, url_filter
 
@@ -90,7 +91,7 @@ def test_neighbours_recall(spark):
     want = brute(ids, x, 20)
     got = {}
     df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
-    for r in ann.nearest(df, df.vec_id % 20 == 0, cell=100).collect():
+    for r in ann.nearest(df, F.col("vec_id") % 20 == 0, cell=100).collect():
         got.setdefault(r.query_id, []).append(r)
     assert set(got) == set(want)
     hits = 0
@@ -109,7 +110,7 @@ def test_neighbours_prune_and_find_clusters(spark):
     want = brute(list(range(1500)), x, 5)
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
     got = {}
-    for row in ann.nearest(df, df.vec_id % 20 == 0, k=5, cell=100).collect():
+    for row in ann.nearest(df, F.col("vec_id") % 20 == 0, k=5, cell=100).collect():
         got.setdefault(row.query_id, set()).add(row.vec_id)
     assert sum(len(got[i] & {j for j, _ in want[i]}) for i in want) >= 0.9 * 5 * len(want)
 
