@@ -366,8 +366,10 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     spark = pages.sparkSession
     pages = pages.select(F.col(key).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
     if labeller is None:
-        some = pages.where((F.length("html") > 0) & (F.length("html") <= TRAIN_CHARS)).orderBy(F.xxhash64("page_id"), "page_id", "html").limit(TRAIN_PAGES)
-        labeller = train([r.html for r in some.select("html").collect()])      # at most TRAIN_PAGES pages
+        fit = pages.where((F.length("html") > 0) & (F.length("html") <= TRAIN_CHARS))
+        ids = fit.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(TRAIN_PAGES)       # ids alone reach the driver first
+        some = fit.join(F.broadcast(ids), "page_id").groupBy("page_id").agg(F.min("html").alias("html")).orderBy(F.xxhash64("page_id"), "page_id")
+        labeller = train([r.html for r in some.collect()])                     # at most TRAIN_PAGES pages
     net = spark.sparkContext.broadcast(labeller)
     schema = pa.schema([("page_id", to_arrow_type(pages.schema["page_id"].dataType)), ("url", pa.string()), ("text", pa.string())])
 
