@@ -201,6 +201,19 @@ def _rings(regions: DataFrame, percent: int) -> DataFrame:
     return _counted(r).where("homes > 0")
 
 
+def most_frequent(rows: DataFrame, count: str, most: int) -> DataFrame:
+    """The rows of the highest counts, at most `most`: the limit on the count comes from
+    a table of rows by eighths of their count's logarithm, a few hundred rows."""
+    step = F.floor(F.log2(F.col(count).cast("double")) * 8 + 1e-9)
+    room, least = most, None
+    for r in sorted(rows.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda r: -r.step):
+        room -= r.n
+        if room < 0:
+            break
+        least = r.step
+    return rows.where(step >= least) if least is not None else rows.where("false")
+
+
 def _counted(regions: DataFrame) -> DataFrame:
     """With the size of the region (k) and its members at home; regions of one class go."""
     key = W.partitionBy("key")
@@ -288,8 +301,8 @@ def class_links(docs: DataFrame, k: int = 4, percent: int = 85, leaf: int = LEAF
     rows = seen.where(F.col("shingle").isNull()).select("doc_id", "n", "c")
     classes = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("c").agg(F.min("doc_id").alias("doc_id"))
     # any list keeps the join exact; this one holds at most HOT_ENTRIES shingles
-    hot = (seen.where(F.col("shingle").isNotNull()).groupBy("shingle").agg(F.sum("hits").alias("hits"))
-           .where(F.col("hits") >= hot_least).orderBy(F.col("hits").desc(), "shingle").limit(HOT_ENTRIES).toPandas())
+    often_seen = written(seen.where(F.col("shingle").isNotNull()).groupBy("shingle").agg(F.sum("hits").alias("hits")).where(F.col("hits") >= hot_least), "frequent")
+    hot = most_frequent(often_seen, "hits", HOT_ENTRIES).toPandas()
     v, hits = hot["shingle"].to_numpy(np.int64).view(np.uint64), hot["hits"].to_numpy(np.int64)
     by_hash = np.argsort(v)
     v, hits = v[by_hash], hits[by_hash]
