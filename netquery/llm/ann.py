@@ -12,7 +12,7 @@ far: a nearer vector still unseen is then less likely than 1 - CHANCE. It visits
 cells in rounds, the nearest first; the k-th best so far decides which cells of the
 next round it still visits, and what they may return.
 
-The planes of the upper tree come from at most `SAMPLE` projected vectors; every
+The planes of the upper tree come from about `SAMPLE` projected vectors; every
 vector is indexed. Of equal vectors only the k + 1 of smallest id can be among
 any query's k nearest, so others leave the index without changing a result.
 
@@ -229,7 +229,8 @@ def nearest(rows: DataFrame, queries, key: str = "vec_id", vector: str = "embedd
     some = written(some, "candidates")
     n = some.count()
     cells = min(CELLS, -(-n // cell))
-    points = some.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toPandas()
+    draw = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30))
+    points = some.where(draw < int((1 << 30) * min(1.0, SAMPLE / max(1, n)))).toPandas()        # about SAMPLE rows
     planes = Planes(projection.rows(np.stack(points["v"].to_numpy())), cells)
     shared = spark.sparkContext.broadcast((projection, planes))
 
