@@ -302,10 +302,11 @@ def q_detection_run(spark, sf):
 
 @query("feature_importance", oracle=f"""
 WITH c AS ({CONNECTION_SQL}), t AS (SELECT * FROM c WHERE split = 'train')
-SELECT {len(B.NUMERIC_FEATURES)} + count(DISTINCT protocol_type) + count(DISTINCT service) + count(DISTINCT flag) AS n_features,
+SELECT {len(B.NUMERIC_FEATURES) + len(B.CATEGORICAL_COLUMNS)} + count(DISTINCT protocol_type) + count(DISTINCT service) + count(DISTINCT flag) AS n_features,
        true AS in_range, 1.0::DOUBLE AS total FROM t""")
 def q_feature_importance(spark, sf):
-    """FE5: forest importances by assembled feature name: as many as features, none negative, summing to 1."""
+    """FE5: forest importances by assembled feature name: as many as numeric columns,
+    categories and one slot of unseen values for each categorical column; none negative, summing to 1."""
     p = prepared(spark, sf)
     m = CL.random_forest(MEMBERS["trees"], max_depth=MEMBERS["depth"]).fit(p.train)
     attrs = p.train.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
