@@ -1,7 +1,7 @@
 """Main text of web pages by a recurrent block labeller in numpy.
 
 A page becomes the sequence of its leaf blocks. Each block is a vector: hashed
-tags and class words of its path, hashed words of its text, and a few numbers
+tags and class words of all its open elements, hashed words of its text, and a few numbers
 (length, links, place). A bidirectional LSTM reads the whole sequence in both
 directions and labels every block with the page's context as article or not.
 Article blocks are joined in page order.
@@ -22,9 +22,12 @@ gives no rows; other columns play no part."""
 
 from __future__ import annotations
 
+import functools
 import html as entities
 import re
 import zlib
+from collections import Counter
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +41,6 @@ TRAIN_PAGES, TRAIN_CHARS, LAYOUTS = 150, 30_000, 500
 PATH, OWN, WORDS, NUMBERS = 128, 32, 32, 8
 DIM = PATH + OWN + WORDS + NUMBERS
 HIDDEN, EPOCHS, BATCH, RATE = 16, 6, 16, 8e-3
-FIRST, LAST = 6, 10             # elements from the root and up to the block that a path keeps
 
 RAW = "script|style|noscript|template|title|textarea|select|button|iframe|object|svg|math|canvas|audio|video"
 TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)|<[!?][^>]*+>"
@@ -49,12 +51,56 @@ BLOCK = frozenset("address article aside blockquote body caption center dd detai
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("ul ol dl table body html article section div main nav aside".split())
+INNER = ("nav", "aside", "form", "footer")              # parts that are not text of the article around them
 
 
-def blocks(page: str | None) -> list[tuple[str, str, float]]:
+class Path(NamedTuple):
+    """The open elements above a block, however many."""
+    bits: int                    # bit k: a tag or name of an element has slot k
+    own: str                     # tag and names of the innermost element
+    marked: bool                 # an article element is open
+    article: bool                # and no element of INNER
+
+
+ROOT = Path(0, "", False, False)
+
+
+class Elements:
+    """Open elements with counts that change as one opens or closes, so a path costs the same at any depth."""
+
+    def __init__(self):
+        self.stack, self.names, self.open = [], [], Counter()
+        self.slots, self.bits = [0] * PATH, 0
+
+    def push(self, tag: str, name: str) -> None:
+        self.stack.append(tag)
+        self.names.append(name)
+        self.open[tag] += 1
+        for w in name.split(" "):
+            k = _slot(w, PATH)
+            self.slots[k] += 1
+            self.bits |= 1 << k
+
+    def pop(self) -> str:
+        tag = self.stack.pop()
+        self.open[tag] -= 1
+        for w in self.names.pop().split(" "):
+            k = _slot(w, PATH)
+            self.slots[k] -= 1
+            if not self.slots[k]:
+                self.bits ^= 1 << k
+        return tag
+
+    def path(self) -> Path:
+        marked = self.open["article"] > 0
+        return Path(self.bits, self.names[-1], marked, marked and not any(self.open[t] for t in INNER)) if self.names else ROOT
+
+
+def blocks(page: str | None) -> list[tuple[str, Path, float]]:
     """(text, path, share of characters in links) of a page's leaf blocks in page order."""
-    out, stack, names = [], [], []
-    parts, link, path, links = [], 0, "", 0
+    out, opened = [], Elements()
+    stack = opened.stack
+    parts, link, path, links = [], 0, ROOT, 0
     at, skip = 0, 0
 
     def flush():
@@ -64,21 +110,20 @@ def blocks(page: str | None) -> list[tuple[str, str, float]]:
             if text:
                 out.append((text, path, min(1.0, link / max(1, len(text)))))
             parts.clear()
-        link, path = 0, ""
+        link, path = 0, ROOT
 
     def take(piece):
         nonlocal link, path
         if not skip and piece:
-            if not path and not piece.isspace():
-                path = "\n".join(names if len(names) <= FIRST + LAST else names[:FIRST] + names[-LAST:])
+            if path == ROOT and not piece.isspace():
+                path = opened.path()
             parts.append(piece)
             if links:
                 link += len(piece)
 
     def pop():
         nonlocal links, skip
-        tag = stack.pop()
-        names.pop()
+        tag = opened.pop()
         links -= tag == "a"
         skip -= tag == "head"
 
@@ -95,14 +140,14 @@ def blocks(page: str | None) -> list[tuple[str, str, float]]:
         elif tag == "br":
             take(" ")
         if m[2] or m[5]:
-            if tag in stack:
+            if opened.open[tag]:
                 while stack[-1] != tag:
                     pop()
                 pop()
             continue
         if tag in BLOCK:
             while stack and stack[-1] not in BLOCK or stack and stack[-1] == "p":      # a block ends a paragraph and what is open in it
-                if stack[-1] != "p" and "p" not in stack:
+                if stack[-1] != "p" and not opened.open["p"]:
                     break
                 pop()
             if tag in CLOSES:
@@ -114,14 +159,13 @@ def blocks(page: str | None) -> list[tuple[str, str, float]]:
                     if stack[k] in SCOPE:
                         break
         if tag == "body" and skip:
-            while "head" in stack:
+            while opened.open["head"]:
                 pop()
         if tag in VOID or (m[4] or m[7] or "").endswith("/") and tag not in BLOCK:
             continue
         attrs = m[4] or m[7] or ""
         words = [] if not attrs else re.findall(r"[a-z]+", " ".join(a or b or c for a, b, c in NAMES.findall(attrs)).lower())
-        stack.append(tag)
-        names.append(" ".join([tag, *words]))
+        opened.push(tag, " ".join([tag, *words]))
         links += tag == "a"
         skip += tag == "head"
     take(page[at:])
@@ -129,29 +173,27 @@ def blocks(page: str | None) -> list[tuple[str, str, float]]:
     return out
 
 
+@functools.lru_cache(maxsize=1 << 16)
 def _slot(word: str, size: int) -> int:
     return zlib.crc32(word.encode()) % size
 
 
-def path_vector(path: str) -> np.ndarray:
+def path_vector(path: Path) -> np.ndarray:
     v = np.zeros(PATH + OWN, np.float32)
-    elements = path.split("\n") if path else []
-    for e in elements:
-        for w in e.split(" "):
-            v[_slot(w, PATH)] = 1
-    if elements:
-        for w in elements[-1].split(" "):
+    v[:PATH] = np.unpackbits(np.frombuffer(path.bits.to_bytes(PATH // 8, "little"), np.uint8), bitorder="little")
+    if path.own:
+        for w in path.own.split(" "):
             v[PATH + _slot("own " + w, OWN)] = 1
     return v
 
 
-def vectors(page: list[tuple[str, str, float]]) -> np.ndarray:
+def vectors(page: list[tuple[str, Path, float]]) -> np.ndarray:
     """blocks x DIM."""
     n = len(page)
     x = np.zeros((n, DIM), np.float32)
     if not n:
         return x
-    known: dict[str, np.ndarray] = {}
+    known: dict[Path, np.ndarray] = {}
     for i, (_, path, _) in enumerate(page):
         if path not in known:
             known[path] = path_vector(path)
@@ -287,7 +329,14 @@ OTHER_PARTS = {
 }
 
 
-def _layout(r: np.random.Generator, sentences: list[str]) -> list[tuple[str, str, float, int]]:
+def _path(elements: list[str]) -> Path:
+    opened = Elements()
+    for e in elements:
+        opened.push(e.split(" ")[0], e)
+    return opened.path()
+
+
+def _layout(r: np.random.Generator, sentences: list[str]) -> list[tuple[str, Path, float, int]]:
     """Blocks (text, path, link share, article) of one random page."""
     def say(least, most):
         return " ".join(sentences[j] for j in r.integers(0, len(sentences), int(r.integers(least, most + 1))))
@@ -336,7 +385,7 @@ def _layout(r: np.random.Generator, sentences: list[str]) -> list[tuple[str, str
     for kind in ("side", "advert", "comments", "form", "notice", "footer"):
         if r.random() < 0.55:
             part(kind)
-    return [(t, "\n".join(p), k, y) for t, p, k, y in out]
+    return [(t, _path(p), k, y) for t, p, k, y in out]
 
 
 def train(pages: list[str], seed: int = 1) -> Labeller:
@@ -346,10 +395,8 @@ def train(pages: list[str], seed: int = 1) -> Labeller:
     sentences = sentences or ["Some words stand here.", "More of them follow, with a comma.", "Home", "About us"]
     data = []
     for p in parsed:
-        marked = [any(e.split(" ")[0] == "article" for e in path.split("\n")) for _, path, _ in p]
-        inner = [any(e.split(" ")[0] in ("nav", "aside", "form", "footer") for e in path.split("\n")) for _, path, _ in p]
-        if any(marked):
-            data.append((vectors(p), np.array(marked, np.float32) * ~np.array(inner)))
+        if any(path.marked for _, path, _ in p):
+            data.append((vectors(p), np.array([path.article for _, path, _ in p], np.float32)))
     for _ in range(LAYOUTS):
         p = _layout(r, sentences)
         x = vectors([(t, path, k) for t, path, k, _ in p])

@@ -30,6 +30,17 @@ def test_blocks_of_a_page():
     assert [t for t, _, _ in html_extract.blocks(deep)] == ["x"]
 
 
+def test_elements_in_the_middle_of_deep_paths_count():
+    page = lambda *es: html_extract.blocks("<html><body>" + "<div>" * 8 + "".join(f"<{e}>" for e in es) + "<div>" * 40 + "<p>Some text, with words.")
+    some = [page("article"), page("nav"), page("article", "aside"), page("div")]
+    for i, a in enumerate(some):
+        for b in some[:i]:
+            assert (html_extract.vectors(a) != html_extract.vectors(b)).any()
+    assert [p[0][1].article for p in some] == [True, False, False, False]
+    after = html_extract.blocks("<body>" + "<div>" * 20 + "<nav class=x><p>in</p></nav>" + "<div>" * 20 + "<p>Some text</p>")
+    assert after[1][1].bits == html_extract.blocks("<body>" + "<div>" * 40 + "<p>Some text</p>")[0][1].bits      # closed elements leave nothing
+
+
 def test_extraction_equals_marked_articles(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     got = {r.page_id: r for r in html_extract.op2_html_extract(spark, pages).collect()}
