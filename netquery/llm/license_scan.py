@@ -1,7 +1,10 @@
 """Licence scan: exact set-similarity join of text blocks with licence templates.
 
 A block is a sentence or line, a template a set of tokens, and a block meets a
-template when it holds at least `THRESHOLD` of the template's tokens. Tokens are
+template when it holds at least `THRESHOLD` of the template's tokens. So does every
+window of as many words as the template has, over the words of a line (`wrapped`:
+of the whole text), whatever sentence ends and semicolons stand in it; windows inside
+a reported block are left out, of windows that overlap the fullest is reported. Tokens are
 ordered by their frequency in all texts, rarest first; only blocks with a token
 of a template's prefix can meet it (prefix filter), blocks of fewer words or
 template tokens than needed cannot (length filter), nor blocks whose remaining
@@ -16,6 +19,7 @@ gives no rows; other columns play no part."""
 
 from __future__ import annotations
 
+import bisect
 import math
 
 import numpy as np
@@ -58,6 +62,7 @@ class _Templates:
         self.labels = sorted(templates)
         self.sets = [sorted(place[w] for w in set(templates[x].split())) for x in self.labels]
         self.need = [math.ceil(threshold * len(s) - 1e-9) for s in self.sets]
+        self.lengths = [len(templates[x].split()) for x in self.labels]
 
     def hits(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(word index, token id) of the words that are template tokens."""
@@ -89,15 +94,55 @@ class _Templates:
         return out
 
 
-def _blocks(data: np.ndarray, off: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    def windows(self, at: np.ndarray, token: np.ndarray, segment: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """(template, first word, last word, common tokens) of the windows inside a segment
+        that meet a template, of overlapping ones the fullest and then the first. `at` and
+        `token` are the words that are template tokens, `segment` the segment of every word.
+        A window that meets still does so when it is moved to begin with such a word."""
+        out = []
+        sizes = np.bincount(segment)
+        for t, (members, need, length) in enumerate(zip(self.sets, self.need, self.lengths, strict=True)):
+            place = np.full(len(self.words), -1)
+            place[members] = np.arange(len(members))
+            p = place[token]
+            rare = at[(p >= 0) & (p <= len(members) - need)]                          # prefix
+            rare = rare[sizes[segment[rare]] >= need]                                 # length
+            if not len(rare):
+                continue
+            a, p = at[p >= 0], p[p >= 0]
+            seg = segment[a]
+            following = np.searchsorted(rare, a)
+            begin = np.flatnonzero(np.append(rare, rare[-1] + 2 * len(segment) + length)[following] - a < length)
+            end = np.minimum(np.searchsorted(a, a[begin] + length), np.searchsorted(seg, seg[begin], "right"))
+            fits = end - begin >= need                                                # position
+            begin, end = begin[fits], end[fits]
+            some: list[tuple[int, int, int]] = []
+            for k in range(0, len(begin), 1 << 18):                                   # bounds the work arrays
+                b, e = begin[k:k + (1 << 18)], end[k:k + (1 << 18)]
+                n = e - b
+                hit = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - b, n)
+                pairs = np.unique(np.repeat(np.arange(len(b)), n) * len(members) + p[hit])
+                w, common = np.unique(pairs // len(members), return_counts=True)
+                w, common = w[common >= need], common[common >= need]
+                some += zip((-common).tolist(), a[b[w]].tolist(), a[e[w] - 1].tolist(), strict=True)
+            taken: list[tuple[int, int]] = []
+            for c, lo, hi in sorted(some):
+                k = bisect.bisect(taken, (lo, hi))
+                if not (k and taken[k - 1][1] >= lo or k < len(taken) and taken[k][0] <= hi):
+                    taken.insert(k, (lo, hi))
+                    out.append((t, lo, hi, -c))
+        return out
+
+
+def _blocks(data: np.ndarray, off: np.ndarray, starts: np.ndarray, stops: bytes = b".!?;") -> np.ndarray:
     """Block number of every word, given the words' first bytes: a new block begins
-    with every text, behind a line feed, and behind . ! ? ; before white space."""
+    with every text, behind a line feed, and behind one of `stops` before white space."""
     if not len(starts):
         return starts
     space = np.zeros(256, bool)
     space[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
     stop = np.zeros(256, bool)
-    stop[[0x2E, 0x21, 0x3F, 0x3B]] = True
+    stop[list(stops)] = True
     cut = data == 0x0A
     cut[:-1] |= stop[data[:-1]] & space[data[1:]]
     begins = np.zeros(len(data) + 1, np.int32)
@@ -116,7 +161,7 @@ def _vocabulary_counts(t: _Templates):
     return run
 
 
-def _scan(t: _Templates, phrases: dict[str, str], key_type: pa.DataType):
+def _scan(t: _Templates, phrases: dict[str, str], key_type: pa.DataType, wrapped: bool):
     spans = pa.list_(pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("containment", pa.float64())]))
     schema = pa.schema([("doc_id", key_type), ("n_words", pa.int64()), ("places", pa.list_(pa.struct([("label", pa.string()), ("first_word", pa.int64())]))), ("spans", spans)])
     sought = [([np.uint64(hash_word(w)) for w in p.split()], label) for p, label in phrases.items()]
@@ -137,6 +182,7 @@ def _scan(t: _Templates, phrases: dict[str, str], key_type: pa.DataType):
                 for i in np.flatnonzero(ok).tolist():
                     places[owner[i]].append({"label": label, "first_word": i - int(first[owner[i]])})
             found: list[list] = [[] for _ in range(b.num_rows)]
+            spans_of: list[tuple[int, int, int, int]] = []
             block = _blocks(data, off, start)
             if len(block):
                 i, token = t.hits(h)
@@ -144,25 +190,32 @@ def _scan(t: _Templates, phrases: dict[str, str], key_type: pa.DataType):
                 pairs = np.unique(block[i].astype(np.int64) * n + token)
                 sizes = np.bincount(block)
                 opens = np.searchsorted(block, np.arange(len(sizes)))
+                met = set()
                 for k, blocks, common in t.meet(pairs // n, pairs % n, sizes):
                     for x, c in zip(blocks.tolist(), common.tolist(), strict=True):
-                        lo, hi = int(opens[x]), int(opens[x] + sizes[x]) - 1
-                        d = int(owner[lo])
-                        found[d].append({"label": t.labels[k], "first_word": lo - int(first[d]), "last_word": hi - int(first[d]), "containment": c / len(t.sets[k])})
+                        met.add((k, x))
+                        spans_of.append((k, int(opens[x]), int(opens[x] + sizes[x]) - 1, c))
+                for k, lo, hi, c in t.windows(i, token, owner if wrapped else _blocks(data, off, start, b"")):
+                    if block[lo] != block[hi] or (k, int(block[lo])) not in met:
+                        spans_of.append((k, lo, hi, c))
+            for k, lo, hi, c in spans_of:
+                d = int(owner[lo])
+                found[d].append({"label": t.labels[k], "first_word": lo - int(first[d]), "last_word": hi - int(first[d]), "containment": c / len(t.sets[k])})
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(first).astype(np.int64)), pa.array(places, schema.field(2).type), pa.array(found, spans)], schema=schema)
     return run
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: dict[str, str] = TEMPLATES,
-         threshold: float = THRESHOLD, phrases: dict[str, str] = PHRASES) -> DataFrame:
-    """One row per input row: doc_id, n_words, places (phrases: label, first_word) and
-    spans (blocks that meet a template: label, first_word, last_word, containment)."""
+         threshold: float = THRESHOLD, phrases: dict[str, str] = PHRASES, wrapped: bool = False) -> DataFrame:
+    """One row per input row: doc_id, n_words, places (phrases: label, first_word) and spans
+    (blocks and windows that meet a template: label, first_word, last_word, containment).
+    `wrapped`: windows run on across line feeds."""
     docs = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     plain = _Templates(templates, threshold, {})
     counts = docs.select("text").mapInArrow(_vocabulary_counts(plain), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     ranked = _Templates(templates, threshold, {r.word: r.n for r in counts.collect()})      # one row for each template token
     kind = docs.schema["doc_id"].dataType
-    return docs.mapInArrow(_scan(ranked, phrases, to_arrow_type(kind)), f"doc_id {kind.simpleString()}, n_words long, places array<struct<label string, first_word long>>, "
+    return docs.mapInArrow(_scan(ranked, phrases, to_arrow_type(kind), wrapped), f"doc_id {kind.simpleString()}, n_words long, places array<struct<label string, first_word long>>, "
                            "spans array<struct<label string, first_word long, last_word long, containment double>>")
 
 

@@ -159,6 +159,46 @@ def test_template_filters_lose_nothing():
     assert got == want and want
 
 
+GPL = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License"
+GRANT = "# Permission is hereby granted, free of charge, to any person obtaining a copy\n# of this software and associated documentation files"
+
+
+def test_notices_across_sentence_ends_and_lines(spark):
+    cut = "Redistribution and use in source and binary forms, with or without modification; are permitted. provided that the following conditions are met: x"
+    rows = [(1, f"Some words. {GPL}. More words."), (2, f"Some words here.\n{GRANT} of it."), (3, cut), (4, GPL.replace("modify", "modify;").replace("software", "tool")),
+            (5, "Released under it; the license"), (6, GPL + " " + GPL + "\n" + GPL.replace(" can", "\n * can")), (7, GPL.replace("this", "that").replace("terms of", "rules, of"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.op9_license_scan(spark, df).collect()}
+    assert [got[i].labels for i in (1, 3, 4, 5)] == ["gpl,gpl-notice", "bsd", "gpl,gpl-notice", ""] and got[3].score == 1.0
+    spans = {r.doc_id: [(s.label, s.first_word, s.last_word) for s in r.spans] for r in license_scan.scan(df, wrapped=True).collect()}
+    assert spans[1] == [("gpl-notice", 2, 23)] and spans[2] == [("mit-grant", 3, 22)]
+    assert sorted((a, b) for label, a, b in spans[6] if label == "gpl-notice") == [(0, 21), (5, 26), (22, 43), (44, 65)]
+
+
+def test_template_windows_lose_nothing():
+    r = random.Random(6)
+    t = license_scan._Templates(license_scan.TEMPLATES, 0.7, {w: r.randint(0, 9) for x in license_scan.TEMPLATES.values() for w in x.split()})
+    words, segment = [], []
+    for k in range(300):
+        x = r.choice(list(license_scan.TEMPLATES.values())).split()
+        x = [w if r.random() < 0.9 else r.choice([*t.words, "other"]) for w in x for _ in range(1 + (r.random() < 0.05))]
+        words += x
+        segment += [k // r.choice([1, 2])] * len(x)
+    segment = np.maximum.accumulate(np.array(segment))
+    place = {w: i for i, w in enumerate(t.words)}
+    at = np.array([i for i, w in enumerate(words) if w in place])
+    found = t.windows(at, np.array([place[words[i]] for i in at]), segment)
+    ids = [place.get(w, -1) for w in words]
+    for k, (s, need, length) in enumerate(zip(t.sets, t.need, t.lengths, strict=True)):
+        got = [(lo, hi, c) for x, lo, hi, c in found if x == k]
+        assert all(hi - lo < length and segment[lo] == segment[hi] and len(set(s) & set(ids[lo:hi + 1])) == c >= need for lo, hi, c in got)
+        for lo in range(len(words)):
+            w = [x for x, g in zip(ids[lo:lo + length], segment[lo:lo + length], strict=True) if g == segment[lo]]
+            if len(set(s) & set(w)) >= need:
+                assert any(a < lo + len(w) and lo <= b for a, b, _ in got)
+    assert found
+
+
 # ---- mixing ----------------------------------------------------------------
 
 def test_sainte_lague_equals_quotients(spark):
