@@ -4,9 +4,13 @@ Hosts are linked by the absolute links of their pages and by the domain tree (a
 host and the domain it is part of, down to two labels). Personalised PageRank
 spreads trust along the edges from hosts with pages that a rule allows, and
 distrust against the edges from hosts with pages that a rule blocks; seeds weigh
-as many pages as the rule decides. A host that distrust reaches more than trust is
-blocked. Everything is DataFrame expressions; a round is one join and one sum over
-one row for each host reached, and every `CUT` rounds a written table ends the lineage.
+as many pages as the rule decides. `judge` goes on until none of the last `CUT` rounds
+reached a new host and they changed less than `TOLERANCE` of the mass, summed over all
+hosts; the registered query ends after `ROUNDS`, as its oracle does, so hosts further
+than that from every seed are allowed there.
+A host that distrust reaches more than trust, by the relative `MARGIN`, is blocked.
+Everything is DataFrame expressions; a round is one join and one sum over one row
+for each host reached, and every `CUT` rounds a written table ends the lineage.
 
 Defined results: a null url, or one without ://, has an empty host and path, fits
 no rule and is allowed; a null page has no links; a page whose path is empty fits
@@ -22,7 +26,9 @@ from .common import written
 
 # The rules of the query.
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
-ROUNDS, DAMPING = 8, 0.85
+ROUNDS, DAMPING = 8, 0.85     # ROUNDS: of the registered query and its oracle
+TOLERANCE = 1e-6             # of each kind's mass
+MARGIN = 1e-9                # of a host's trust
 CUT = 4                      # rounds between written tables
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -78,22 +84,31 @@ def shares(e: DataFrame) -> DataFrame:
     return both.join(whole, ["kind", "src"]).select("kind", "src", "dst", (F.col("weight") / F.col("whole")).alias("share"))
 
 
-def propagate(seeds: DataFrame, share: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """(kind, host, score) after `rounds` rounds from `seeds` (kind, host, pages). What
-    reaches a host without edges stays there."""
+def propagate(seeds: DataFrame, share: DataFrame, rounds: int | None = None, tolerance: float = TOLERANCE, damping: float = DAMPING) -> DataFrame:
+    """(kind, host, score) spread from `seeds` (kind, host, pages) in `rounds` rounds, or
+    without a number until it has settled. What reaches a host without edges stays there."""
     whole = seeds.groupBy("kind").agg(F.sum("pages").alias("whole"))
     p = written(seeds.join(whole, "kind").select("kind", "host", (F.col("pages") / F.col("whole")).alias("score")), "seeds")
-    score = p
-    for i in range(rounds):
-        moved = score.withColumnRenamed("host", "src").join(share, ["kind", "src"]).select("kind", F.col("dst").alias("host"), (F.col("score") * F.col("share") * damping).alias("score"))
-        kept = p.select("kind", "host", (F.col("score") * (1 - damping)).alias("score"))
-        score = moved.unionByName(kept).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-        if (i + 1) % CUT == 0 or i + 1 == rounds:
-            score = written(score, "scores")
+    score, done, settled = p, 0, False
+    while not settled and done != rounds:
+        last = score.select("kind", "host", F.lit(0.0).alias("score"), F.col("score").alias("before"))
+        n = CUT if rounds is None else min(CUT, rounds - done)
+        for i in range(n):
+            moved = score.withColumnRenamed("host", "src").join(share, ["kind", "src"]).select("kind", F.col("dst").alias("host"), (F.col("score") * F.col("share") * damping).alias("score"))
+            kept = p.select("kind", "host", (F.col("score") * (1 - damping)).alias("score"))
+            both = moved.unionByName(kept)
+            if rounds is None and i + 1 == n:
+                both = both.withColumn("before", F.lit(0.0)).unionByName(last)
+            score = both.groupBy("kind", "host").agg(*[F.sum(c).alias(c) for c in both.columns[2:]])
+        score, done = written(score, "scores"), done + n
+        if rounds is None:
+            change = score.groupBy("kind").agg(F.sum(F.abs(F.col("score") - F.col("before"))).alias("c"), F.max((F.col("score") > 0) & (F.col("before") == 0)).alias("new")).collect()     # two rows at most
+            settled = all(r.c < tolerance and not r.new for r in change)
+            score = score.drop("before")
     return score
 
 
-def judge(pages: DataFrame, rules=RULES, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+def judge(pages: DataFrame, rules=RULES, key: str = "page_id", url: str = "url", html: str = "html", rounds: int | None = None) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, trust, distrust."""
     spark = pages.sparkSession
     rows = pages.select(F.col(key).alias("page_id"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
@@ -103,15 +118,15 @@ def judge(pages: DataFrame, rules=RULES, key: str = "page_id", url: str = "url",
                     .select("page_id", "host", "path", F.col("r.rule").alias("rule"), F.col("r.rule_verdict").alias("decided")), "ruled")
     seeds = ruled.where("rule IS NOT NULL").groupBy(F.when(F.col("decided") == "allow", "trust").otherwise("distrust").alias("kind"), "host").agg(F.count(F.lit(1)).alias("pages"))
     share = written(shares(written(edges(pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html"))), "edges")), "shares")
-    score = propagate(seeds, share)
+    score = propagate(seeds, share, rounds)
     level = score.groupBy("host").agg(F.sum(F.when(F.col("kind") == "trust", F.col("score"))).alias("trust"), F.sum(F.when(F.col("kind") == "distrust", F.col("score"))).alias("distrust"))
     out = ruled.join(level, "host", "left").withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ("trust", "distrust")})
-    method = F.when(F.col("distrust") > F.col("trust") + 1e-9, "block").otherwise("allow")
+    method = F.when((F.col("distrust") > 0) & (F.col("distrust") > F.col("trust") * (1 + MARGIN)), "block").otherwise("allow")
     return out.select("page_id", "host", "path", "rule", F.coalesce("decided", method).alias("verdict"), "trust", "distrust")
 
 
 def op5_url_filter(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    return judge(pages).select("page_id", "host", "path", "rule", "verdict")
+    return judge(pages, rounds=ROUNDS).select("page_id", "host", "path", "rule", "verdict")
 
 
 def _oracle() -> str:

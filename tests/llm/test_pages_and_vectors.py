@@ -86,6 +86,23 @@ def test_distrust_flows_against_links(spark):
     assert got[2].distrust > got[2].trust and got[4].trust > 0 and got[4].distrust == 0
 
 
+def test_distrust_reaches_far_and_small_hosts(spark):
+    link = lambda h: f'<a href="https://{h}/p">x</a>'
+    hosts = ["bad.com", *[f"h{i}.net" for i in range(13)]]
+    rows = [(0, "http://bad.com/de/x", "")] + [(i, f"http://{h}/x", link(hosts[i - 1])) for i, h in enumerate(hosts) if i]         # distrust goes up the chain
+    got = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i].verdict == "block" and got[i].distrust > 0 == got[i].trust for i in range(14))
+    seeds = spark.createDataFrame([("distrust", "s", 1)], "kind string, host string, pages long")
+    share = spark.createDataFrame([("distrust", "s", "t", 1.0), ("distrust", "t", "s", 1.0)], "kind string, src string, dst string, share double")
+    score = {r.host: r.score for r in url_filter.propagate(seeds, share).collect()}
+    assert abs(score["s"] - 1 / 1.85) < 1e-6 and abs(score["t"] - 0.85 / 1.85) < 1e-6
+    pages = spark.createDataFrame([(0, "http://small.net/x", link("tail.com")), (1, "http://tail.com/de/x", ""), (-1, "http://large.net/x", link("tail.com") * 2000)], "page_id long, url string, html string")
+    e = spark.range(2_000_000).selectExpr("id + 2 AS page_id", "'http://bad.com/de/x' AS url", "CAST(NULL AS string) AS html")
+    for rest in (None, e):                       # the verdict does not depend on the other blocked pages
+        judged = url_filter.op5_url_filter(spark, pages if rest is None else pages.unionByName(rest)).where("page_id IN (0, 1)").collect()
+        assert [r.verdict for r in judged] == ["block", "block"]
+
+
 def brute(ids, x, k):
     out = {}
     for i in ids:
