@@ -12,8 +12,8 @@ toxic word; all words count. Weights and a bias turn these into a probability;
 they are fitted on labelled rows that the models have not counted. At most
 `LABELLED_ROWS` labelled rows are learnt from; the backoff counts all texts.
 
-Words are counted in `BUCKETS` hash buckets, so the tables that reach the driver and
-the tasks have a fixed size, while the counts in them grow with the corpus.
+Words are counted in Spark by their full 64-bit hash. Only words that bear evidence,
+all of them words of the labelled rows, reach the driver and the tasks.
 
 Defined results: null, empty and wordless texts have no evidence and get the
 score of the bias alone; a null id counts as the empty text for the split and
@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 
 from .common import crc_split, text_bytes, text_slices, word_hashes, written
 
-BUCKETS = 1 << 20
 WINDOW = 16
 DISCOUNT = 4
 THRESHOLD = 0.3
@@ -40,52 +39,58 @@ FEATURES = ("whole", "passage", "peak")
 
 
 def _tokens(b: pa.RecordBatch, text: int):
-    """(bucket of every word, first word of every text)."""
+    """(hash of every word, first word of every text)."""
     h, _, first = word_hashes(*text_bytes(b.column(text)), kind="alnum")
-    return (h % np.uint64(BUCKETS)).astype(np.int64), first
+    return h, first
 
 
-def _texts_with(word: np.ndarray, owner: np.ndarray) -> np.ndarray:
-    """In how many texts each word bucket stands."""
-    return np.bincount(np.unique(owner * BUCKETS + word) % BUCKETS, minlength=BUCKETS) if len(word) else np.zeros(BUCKETS, np.int64)
+def _texts_with(word: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(word hash, in how many texts it stands) of every distinct word."""
+    order = np.lexsort((owner, word))
+    w, o = word[order], owner[order]
+    once = np.ones(len(w), bool)
+    once[1:] = (w[1:] != w[:-1]) | (o[1:] != o[:-1])
+    return np.unique(w[once], return_counts=True)
 
 
 def _word_counts(by_class: bool):
-    """(kind, bucket, n): kind 0 counts texts; by class, kinds 1 and 2."""
+    """(kind, word, n) of every slice of texts: kind 0 counts texts; by class, kinds 1 and 2."""
     def run(batches):
-        counts = np.zeros((3, BUCKETS), np.int64)
         for b in text_slices(batches, "text"):
             word, first = _tokens(b, 0)
             owner = np.repeat(np.arange(b.num_rows), np.diff(first))
-            if not by_class:
-                counts[0] += _texts_with(word, owner)
-                continue
-            label = np.asarray(b.column(1), np.int64)
-            for c in (0, 1):
-                mine = label[owner] == c
-                counts[1 + c] += _texts_with(word[mine], owner[mine])
-        for kind in (1, 2) if by_class else (0,):
-            at = np.flatnonzero(counts[kind])
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), kind, np.int32)), pa.array(at.astype(np.int32)), pa.array(counts[kind][at])], ["kind", "bucket", "n"])
+            label = np.asarray(b.column(1), np.int64)[owner] if by_class else np.full(len(owner), -1)
+            for c in (0, 1) if by_class else (-1,):
+                w, n = _texts_with(word[label == c], owner[label == c])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(w), 1 + c, np.int32)), pa.array(w.view(np.int64)), pa.array(n.astype(np.int64))], ["kind", "word", "n"])
     return run
 
 
 class KneserNey:
-    """Evidence of a word by bucket: log P(word | toxic) - log P(word | ordinary). Where
+    """Evidence of a word: log P(word | toxic) - log P(word | ordinary). Where
     no class has more texts than the discount takes, both probabilities are the
-    shared backoff and the evidence is 0, so only the other buckets are needed."""
+    shared backoff and the evidence is 0, so only the other words are needed."""
 
-    def __init__(self, bucket: np.ndarray, texts: np.ndarray, classes: np.ndarray, kinds: int, places: int, sure: tuple, total: int):
+    def __init__(self, word: np.ndarray, texts: np.ndarray, classes: np.ndarray, kinds: int, places: int, sure: tuple, total: int, words: int):
         rest = min(0.9, max(0.1, DISCOUNT * kinds / max(1, places)))        # what the discounts leave to the shared backoff, alike for both
-        shared = (texts + 1.0) / (total + BUCKETS)
+        shared = (texts + 1.0) / (total + words)
         ordinary, toxic = (np.log((1 - rest) * np.maximum(classes[c] - DISCOUNT, 0) / max(1, sure[c]) + rest * shared) for c in (0, 1))
-        self.evidence = np.zeros(BUCKETS, np.float32)
-        self.evidence[bucket] = toxic - ordinary
+        h = word.astype(np.int64).view(np.uint64)
+        order = np.argsort(h)
+        self.words, self.evidence = h[order], (toxic - ordinary)[order].astype(np.float32)
+
+    def of(self, h: np.ndarray) -> np.ndarray:
+        """Evidence of words by their hashes; 0 of all that are not among `words`."""
+        if not len(self.words):
+            return np.zeros(len(h))
+        h, back = np.unique(h, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
+        return np.where(self.words[at] == h, self.evidence[at], 0).astype(np.float64)[back]
 
     def features(self, b: pa.RecordBatch, text: int) -> np.ndarray:
         """Evidence a word of every text: whole, of its most toxic passage, and at its most toxic word."""
         word, first = _tokens(b, text)
-        e = self.evidence[word].astype(np.float64)
+        e = self.of(word)
         run = np.concatenate([[0.0], np.cumsum(e)])
         out = np.zeros((len(first) - 1, 3))
         for i in range(len(first) - 1):
@@ -132,15 +137,15 @@ def fit(docs: DataFrame, labels: DataFrame, train):
     apart = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * min(0.25, CALIBRATION_ROWS / n))
     counted = rows.where(~apart).select("text", "label")
     n_of = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("n")).otherwise(0))
-    words = written(docs.select("text").mapInArrow(_word_counts(False), "kind int, bucket int, n long")
-                    .unionByName(counted.mapInArrow(_word_counts(True), "kind int, bucket int, n long"))
-                    .groupBy("bucket").agg(n_of(0).alias("texts"), n_of(1).alias("ordinary"), n_of(2).alias("toxic")), "word-counts")
+    words = written(docs.select("text").mapInArrow(_word_counts(False), "kind int, word long, n long")
+                    .unionByName(counted.mapInArrow(_word_counts(True), "kind int, word long, n long"))
+                    .groupBy("word").agg(n_of(0).alias("texts"), n_of(1).alias("ordinary"), n_of(2).alias("toxic")), "word-counts")
     over = lambda c: F.sum(F.greatest(F.col(c) - DISCOUNT, F.lit(0)))
     t = words.agg(F.sum("texts").alias("total"), F.sum(F.col("ordinary") + F.col("toxic")).alias("places"), over("ordinary").alias("o"), over("toxic").alias("t"),
-                  (F.count_if(F.col("ordinary") > 0) + F.count_if(F.col("toxic") > 0)).alias("kinds")).first()
-    some = words.where((F.col("ordinary") > DISCOUNT) | (F.col("toxic") > DISCOUNT)).toPandas()        # at most BUCKETS rows
-    model = spark.sparkContext.broadcast(KneserNey(some["bucket"].to_numpy(), some["texts"].to_numpy(), some[["ordinary", "toxic"]].to_numpy().T,
-                                                   t["kinds"], t["places"], (t["o"], t["t"]), t["total"]))
+                  (F.count_if(F.col("ordinary") > 0) + F.count_if(F.col("toxic") > 0)).alias("kinds"), F.count(F.lit(1)).alias("words")).first()
+    some = words.where((F.col("ordinary") > DISCOUNT) | (F.col("toxic") > DISCOUNT)).toPandas()        # words of the labelled rows
+    model = spark.sparkContext.broadcast(KneserNey(some["word"].to_numpy(), some["texts"].to_numpy(), some[["ordinary", "toxic"]].to_numpy().T,
+                                                   t["kinds"], t["places"], (t["o"], t["t"]), t["total"], t["words"]))
     held = rows.where(apart).select("label", "text").mapInArrow(_feature_rows(model), "key int, whole double, passage double, peak double").toPandas()
     x, y = held[list(FEATURES)].to_numpy(), held["key"].to_numpy(float)
     if 0 < y.sum() < len(y):

@@ -331,6 +331,19 @@ def held_out(spark, query, table_dir, name, threshold):
     return hit(0), hit(1)
 
 
+def test_words_that_share_low_hash_bits_are_told_apart(spark):
+    seen = {}
+    for i in range(30_000):
+        a = seen.setdefault(common.hash_word(f"w{i}") % (1 << 20), i)
+        if a != i:
+            break
+    rows = [(k, f"plain words stand here {'w%d' % a if k % 2 else 'fine'}") for k in range(200)] + [(1000, f"w{i}"), (1001, f"w{a}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model, _ = toxicity.fit(docs, spark.createDataFrame([(k, k % 2) for k in range(200)], "doc_id long, toxic int"), "true")
+    other, known = model.value.features(pa.record_batch({"text": [f"w{i}", f"w{a}"]}), 0)
+    assert known[2] > 1 and other[2] == 0
+
+
 def test_toxicity_held_out(spark):
     d = "/root/testdata/sf0.1"
     clean, toxic = held_out(spark, toxicity.op3_toxicity(spark, spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")), d, "toxic", 0.3)
