@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, exact_dedup, html_extract, license_scan, mixing, ngram_join, packing, quality, toxicity, url_filter
+from . import (ann, exact_dedup, html_extract, license_scan, mixing, ngram_join, packing, periodic, quality, spelling,
+               token_counts, toxicity, url_filter)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,6 +21,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nearest_neighbours": lambda spark, d: ann.op8_nearest_neighbours(spark, table(spark, d, "embeddings")),
     "op9_license_scan": lambda spark, d: license_scan.op9_license_scan(spark, table(spark, d, "documents")),
     "op10_mixing": lambda spark, d: mixing.op10_mixing(spark, table(spark, d, "documents")),
+    "op11_spelling_variants": lambda spark, d: spelling.op11_spelling_variants(spark, table(spark, d, "documents")),
+    "op12_periodic_runs": lambda spark, d: periodic.op12_periodic_runs(spark, table(spark, d, "documents")),
+    "op13_token_counts": lambda spark, d: token_counts.op13_token_counts(spark, table(spark, d, "documents")),
 }
 
 ORACLE: dict[str, str] = {
