@@ -15,8 +15,10 @@ read when it is labelled.
 
 Defined results: null, empty and blank html, and pages without an article block,
 give an empty text; unclosed and misnested tags are closed as browsers do for
-paragraphs, list items and table cells; character references are decoded, white
-space in a block becomes one space; without usable training pages the layouts
+paragraphs, list items and table cells; a script or style without end runs to the end
+of the page, any other element whose content is hidden counts only if its end tag
+follows; character references are decoded, white space in a block becomes one space,
+blocks are joined by an empty line; without usable training pages the layouts
 are set from a few fixed words; repeated rows are extracted alike; an empty table
 gives no rows; other columns play no part."""
 
@@ -42,9 +44,11 @@ PATH, OWN, WORDS, NUMBERS = 128, 32, 32, 8
 DIM = PATH + OWN + WORDS + NUMBERS
 HIDDEN, EPOCHS, BATCH, RATE = 16, 6, 16, 8e-3
 
-RAW = "script|style|noscript|template|title|textarea|select|button|iframe|object|svg|math|canvas|audio|video"
-TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)|<[!?][^>]*+>"
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>"
                    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>", re.S | re.I)
+RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())      # their content is no markup, and no text of the page
+UNSEEN = frozenset("head template select button svg".split())                            # neither is the text of these
+CONTROL = frozenset("div option legend hr".split())                                      # blocks that do not end an open button or select
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 "
                   "h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
@@ -96,6 +100,11 @@ class Elements:
         return Path(self.bits, self.names[-1], marked, marked and not any(self.open[t] for t in INNER)) if self.names else ROOT
 
 
+@functools.lru_cache(maxsize=64)
+def _end_tag(tag: str) -> re.Pattern:
+    return re.compile(rf"</{tag}(?=[\s/>])[^>]*+>", re.I)
+
+
 def blocks(page: str | None) -> list[tuple[str, Path, float]]:
     """(text, path, share of characters in links) of a page's leaf blocks in page order."""
     out, opened = [], Elements()
@@ -125,26 +134,43 @@ def blocks(page: str | None) -> list[tuple[str, Path, float]]:
         nonlocal links, skip
         tag = opened.pop()
         links -= tag == "a"
-        skip -= tag == "head"
+        skip -= tag in UNSEEN
 
     page = page or ""
-    for m in TOKEN.finditer(page):
+    last_end: dict[str, int] = {}
+
+    def ends_later(tag):
+        """Whether an end tag of this name stands anywhere behind."""
+        if tag not in last_end:
+            last_end[tag] = max((m.start() for m in _end_tag(tag).finditer(page, at)), default=-1)
+        return last_end[tag] >= at
+
+    while m := TOKEN.search(page, at):
         take(page[at:m.start()])
         at = m.end()
-        tag = m[3] or m[6]
+        tag = m[2] or m[5]
         if not tag:
             continue
         tag = tag.lower()
+        if tag in RAW and not (m[1] or m[4]):
+            if ends_later(tag):
+                at = _end_tag(tag).search(page, at).end()
+            elif tag in ("script", "style"):                                    # code without an end runs to the end of the page
+                at = len(page)
+            continue
         if tag in BLOCK:
             flush()
         elif tag == "br":
             take(" ")
-        if m[2] or m[5]:
+        if m[1] or m[4]:
             if opened.open[tag]:
                 while stack[-1] != tag:
                     pop()
                 pop()
             continue
+        if tag in BLOCK and skip:                                               # an article's block does not stand in these
+            while opened.open["svg"] and not opened.open["foreignobject"] or tag not in CONTROL and (opened.open["button"] or opened.open["select"]):
+                pop()
         if tag in BLOCK:
             while stack and stack[-1] not in BLOCK or stack and stack[-1] == "p":      # a block ends a paragraph and what is open in it
                 if stack[-1] != "p" and not opened.open["p"]:
@@ -161,13 +187,13 @@ def blocks(page: str | None) -> list[tuple[str, Path, float]]:
         if tag == "body" and skip:
             while opened.open["head"]:
                 pop()
-        if tag in VOID or (m[4] or m[7] or "").endswith("/") and tag not in BLOCK:
+        attrs = m[3] or m[6] or ""
+        if tag in VOID or attrs.endswith("/") and tag not in BLOCK or tag in UNSEEN and tag != "head" and not ends_later(tag):
             continue
-        attrs = m[4] or m[7] or ""
         words = [] if not attrs else re.findall(r"[a-z]+", " ".join(a or b or c for a, b, c in NAMES.findall(attrs)).lower())
         opened.push(tag, " ".join([tag, *words]))
         links += tag == "a"
-        skip += tag == "head"
+        skip += tag in UNSEEN
     take(page[at:])
     flush()
     return out
@@ -424,7 +450,7 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
         for b in text_slices(batches, "html", 4 << 20):
             parsed = [blocks(p) for p in b.column(2).to_pylist()]
             flags = net.value.label([vectors(p) for p in parsed])
-            text = ["\n".join(t for (t, _, _), f in zip(p, y, strict=True) if f) for p, y in zip(parsed, flags, strict=True)]
+            text = ["\n\n".join(t for (t, _, _), f in zip(p, y, strict=True) if f) for p, y in zip(parsed, flags, strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1).cast(pa.string()), pa.array(text, pa.string())], schema=schema)
     return pages.mapInArrow(run, f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string")
 

@@ -30,6 +30,28 @@ def test_blocks_of_a_page():
     assert [t for t, _, _ in html_extract.blocks(deep)] == ["x"]
 
 
+def test_no_text_is_lost_behind_raw_and_hidden_elements():
+    say = lambda h: [t for t, _, _ in html_extract.blocks(h)]
+    for between in ("<svg width='1'/>", "<svg><title>T</title><text>no</text></svg>", "<video-player></video-player>", "<title-bar>", "<button>", "<select>", "<textarea>",
+                    "<svg>", "<button>OK</button>", "<math/>", "<iframe>", "<template>", "<BUTTON class='a>b'><div>go</div></Button >", "<script>1 < 2 </p></script >", "<style/>p{}</style>",
+                    "<select><option>no</option></select>", "<template><p>no</p></template>"):
+        assert say(f"<body><p>A</p>{between}<p>B</p></body>") == ["A", "B"], between
+    assert say("<p>A <math><mi>x</mi></math> end</p>") == ["A x end"] and say("<p>A <noscript>n</noscript><object>o</object> <audio>s</audio></p>") == ["A no s"]
+    assert say("<p>A <button>no <p>B</p></button>C") == ["A", "B", "C"]
+    assert say("<p>A</p><script>x") == ["A"] and say("<title>x<p>A") == ["x", "A"]
+    many = "<button>" * 20_000 + "<p>A</p>" + "<textarea>" * 20_000 + "<p>B</p>" + "<svg>" * 20_000 + "C"
+    assert say(many) == ["A", "B", "C"]
+
+
+def test_a_long_page_keeps_all_blocks(spark):
+    parts = [f"Sentence {i} of a long article, with some words." for i in range(20_000)]
+    page = "<html><body><nav><a href=x>Go</a></nav><article>" + "".join(f"<p>{p}</p>" for p in parts) + "</article><footer>Legal</footer></body></html>"
+    small = [f"<html><body><nav><a href='/{i}'>Go</a></nav><article><h1>Head line {i}</h1><p>Some text, with words. More text here.</p></article></body></html>" for i in range(40)]
+    pages = spark.createDataFrame([(i, "u", h) for i, h in enumerate([page, *small])], "page_id long, url string, html string")
+    got = html_extract.op2_html_extract(spark, pages).where("page_id = 0").first()
+    assert got.text == "\n\n".join(parts) and got.n_chars == len(got.text)
+
+
 def test_elements_in_the_middle_of_deep_paths_count():
     page = lambda *es: html_extract.blocks("<html><body>" + "<div>" * 8 + "".join(f"<{e}>" for e in es) + "<div>" * 40 + "<p>Some text, with words.")
     some = [page("article"), page("nav"), page("article", "aside"), page("div")]
@@ -47,7 +69,7 @@ def test_extraction_equals_marked_articles(spark):
     for r in pages.collect():
         a = re.search(r"<article>(.*?)(</article>|$)", r.html, re.S)[1]
         parts = [" ".join(unescape(re.sub(r"<[^>]*>", "", x.replace("<br>", " "))).split()) for x in re.split(r"</?(?:p|h1)>", a)]
-        assert got[r.page_id].text == "\n".join(x for x in parts if x)
+        assert got[r.page_id].text == "\n\n".join(x for x in parts if x)
         assert got[r.page_id].n_chars == len(got[r.page_id].text) and got[r.page_id].url == r.url
 
 
