@@ -55,8 +55,8 @@ class Prepared:
 
 def prepare(records: DataFrame, key: str = "conn_id", split: str = "split", balanced: bool = False,
             numeric=None, cats=None, with_mean: bool = False, label_col: str | None = None,
-            partitions: int | None = None) -> Prepared:
-    """Label (PR1), encode, scale on train only, assemble; cache both vectors.
+            partitions: int | None = None, keep: tuple[str, ...] = ()) -> Prepared:
+    """Label (PR1), encode, scale on train only, assemble; cache both vectors, with the columns `keep`.
 
     `partitions` deals the vectors to so many partitions by key. A forest's
     bootstrap depends on the partitioning, so a given number makes fits equal on
@@ -65,8 +65,8 @@ def prepare(records: DataFrame, key: str = "conn_id", split: str = "split", bala
     train = df.where(F.col(split) == "train")
     test = df.where(F.col(split) == "test")
     pre = fit_preprocessing(train, numeric, cats, with_mean)
-    tr = pre.transform(train).select(key, "features", F.col("label").cast("double").alias("label"))
-    te = pre.transform(test).select(key, "features", F.col("label").cast("double").alias("label"))
+    tr = pre.transform(train).select(key, *keep, "features", F.col("label").cast("double").alias("label"))
+    te = pre.transform(test).select(key, *keep, "features", F.col("label").cast("double").alias("label"))
     if balanced:
         tr = with_class_weights(tr, "label", "weight")
     else:
@@ -87,11 +87,11 @@ def with_score(pred: DataFrame, kind: str) -> DataFrame:
     return pred.withColumn("score", F.lit(None).cast("double"))
 
 
-def evaluate(pred: DataFrame, name: str, has_score: bool = True) -> DataFrame:
-    """One leaderboard row: model, accuracy, precision, recall, f1, roc_auc."""
+def evaluate(pred: DataFrame, name: str, has_score: bool = True, cells: bool = False) -> DataFrame:
+    """One leaderboard row: model, accuracy, precision, recall, f1, roc_auc; with `cells` also the confusion cells tp, fp, fn, tn."""
     p = pred.select(F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"),
                     *(["score"] if has_score else []))
-    m = M.binary_metrics(p).select(F.lit(name).alias("model"), "accuracy", "precision", "recall", "f1")
+    m = M.binary_metrics(p).select(F.lit(name).alias("model"), "accuracy", "precision", "recall", "f1", *(["tp", "fp", "fn", "tn"] if cells else []))
     if has_score:
         return attach_row(m, M.roc_auc(p))
     return m.withColumn("roc_auc", F.lit(None).cast("double"))

@@ -1,11 +1,13 @@
-"""Built-in Spark ML estimators configured as the reference's models
-(ML1-ML4, ML6, ML8, ML10, ML11, EN3, ML14, ML15)."""
+"""Estimators configured as the reference's models: Spark ML's own (ML1-ML4, ML6, ML8,
+EN3, ML14) and those of `own` (ML5, ML7, ML9-ML11, ML13, ML15)."""
 
 from __future__ import annotations
 
 from pyspark.ml import classification as C
 from pyspark.ml import regression as R
 
+from . import own as O
+
 MAX_TREE_DEPTH = 30      # Spark's limit; the reference grows trees without a depth limit
 
 
@@ -48,14 +50,34 @@ def gradient_boosting(max_iter: int = 100, step: float = 0.1, max_depth: int = 3
     return C.GBTClassifier(maxIter=max_iter, stepSize=step, maxDepth=max_depth, seed=seed)
 
 
-def lightgbm_like(max_iter: int = 300, step: float = 0.1, max_depth: int = 5, seed: int = 42):
-    """ML10 re-aimed: level-wise GBT in place of leaf-wise boosting."""
-    return C.GBTClassifier(maxIter=max_iter, stepSize=step, maxDepth=max_depth, seed=seed)
+def extra_trees(num_trees: int = 300, weighted: bool = True, max_depth: int = 0, groups: int = 10, seed: int = 42):
+    """ML5."""
+    return O.ExtraTreesClassifier(numTrees=num_trees, maxDepth=max_depth, groups=groups, seed=seed, **_w(weighted))
 
 
-def catboost_like(max_iter: int = 300, step: float = 0.1, max_depth: int = 6, seed: int = 42):
-    """ML11 re-aimed: depth-6 GBT (inputs are already one-hot encoded)."""
-    return C.GBTClassifier(maxIter=max_iter, stepSize=step, maxDepth=max_depth, seed=seed)
+def adaboost(max_iter: int = 50, step: float = 1.0, seed: int = 42):
+    """ML7: the reference library's defaults."""
+    return O.AdaBoostClassifier(maxIter=max_iter, stepSize=step, seed=seed)
+
+
+def lda():
+    """ML9."""
+    return O.LinearDiscriminant()
+
+
+def rbf_svc(components: int = 200, max_iter: int = 100, seed: int = 42):
+    """ML13."""
+    return O.FourierSVC(components=components, maxIter=max_iter, seed=seed)
+
+
+def lightgbm_like(max_iter: int = 300, step: float = 0.1, num_leaves: int = 31, min_rows: int = 20):
+    """ML10: leaf-wise boosting on histograms."""
+    return O.LeafwiseBoostingClassifier(maxIter=max_iter, stepSize=step, numLeaves=num_leaves, minRows=min_rows)
+
+
+def catboost_like(max_iter: int = 300, step: float = 0.1, max_depth: int = 6, cats: list[str] | None = None, key: str | None = None, seed: int = 42):
+    """ML11: symmetric trees over numeric features and, with `cats`, raw categorical columns by ordered target statistics."""
+    return O.OrderedBoostingClassifier(maxIter=max_iter, stepSize=step, maxDepth=max_depth, catCols=list(cats or []), keyCol=key, seed=seed)
 
 
 def gaussian_nb():
@@ -68,7 +90,6 @@ def linear_regression():
     return R.LinearRegression(regParam=0.0, standardization=False)
 
 
-def random_forest_regressor(num_trees: int = 100, max_depth: int = MAX_TREE_DEPTH, seed: int = 42):
-    """ML15."""
-    return R.RandomForestRegressor(numTrees=num_trees, maxDepth=max_depth, seed=seed, featureSubsetStrategy="1.0",
-                                   maxMemoryInMB=1024, cacheNodeIds=True)
+def random_forest_regressor(num_trees: int = 100, max_depth: int = 0, groups: int = 4, seed: int = 42):
+    """ML15: bootstrapped trees over all features, without a depth limit by default."""
+    return O.ForestRegressor(numTrees=num_trees, maxDepth=max_depth, groups=groups, seed=seed)

@@ -20,6 +20,7 @@ from ..models import classifiers as CL
 from ..models import custom as CU
 from ..models import ensembles as EN
 from ..models import tuning as TU
+from ..models.workflow import reference_candidates
 from ..operators import features as FE
 from ..operators import metrics as M
 from ..operators.joins import join_predictions
@@ -28,24 +29,25 @@ from ..session import scratch_path
 from .derived import CONNECTION_SQL, connection_records
 from .registry import query, rnd, table
 
-# Fits use the reference's parameters (also where these are the defaults of classifiers.py and
-# custom.py). The members of composite runs, which fit each of them several times (stacking,
-# tuning, detection, importances), are smaller: see README, Deviations.
+# Queries of one model, voting, bagging, importances and the grid searches of TU2 use the reference's parameters. Runs
+# that fit dozens of forests (stacking, the tuning of TU1, evaluate_many, detection_run) take PART of its numbers
+# of trees and stages, everything else as it is: see README, Deviations, with figures.
 PARTITIONS = 16
-MEMBERS = dict(trees=20, depth=12, iterations=100, stack_trees=10, stack_stages=10)
+PART = 0.1
 
 _CACHE: dict = {}
 
 
-def prepared(spark, sf, balanced=True):
-    k = (id(spark), sf, balanced)
+def prepared(spark, sf, balanced=True, raw=False):
+    """Train and test vectors; `raw`: numeric features alone, and the categorical columns as they are."""
+    k = (id(spark), sf, balanced, raw)
     p = _CACHE.get(k)
     if p is None or p.train.sparkSession is not spark:
         for old in _CACHE.values():             # one prepared set at a time stays cached
             if old.train.sparkSession is spark:
                 old.release()
         _CACHE.clear()
-        p = B.prepare(connection_records(spark, sf), balanced=balanced, partitions=PARTITIONS)
+        p = B.prepare(connection_records(spark, sf), balanced=balanced, partitions=PARTITIONS, **(dict(cats=[], keep=tuple(B.CATEGORICAL_COLUMNS)) if raw else {}))
         _CACHE[k] = p
     return p
 
@@ -134,13 +136,15 @@ def q_model_lda(spark, sf):
 @query("model_lightgbm_like", oracle=_contract("LightGBM"))
 def q_model_lightgbm_like(spark, sf):
     p = prepared(spark, sf)
-    return _row(CL.lightgbm_like().fit(p.train).transform(p.test), "LightGBM")
+    return _row(CL.lightgbm_like().fit(p.train).transform(p.test), "LightGBM", "keep")
 
 
 @query("model_catboost_like", oracle=_contract("CatBoost"))
 def q_model_catboost_like(spark, sf):
-    p = prepared(spark, sf)
-    return _row(CL.catboost_like().fit(p.train).transform(p.test), "CatBoost")
+    """ML11 with the three categorical columns raw."""
+    p = prepared(spark, sf, balanced=False, raw=True)
+    m = CL.catboost_like(cats=B.CATEGORICAL_COLUMNS, key="conn_id").fit(p.train)
+    return _row(m.transform(p.test), "CatBoost", "keep")
 
 
 @query("model_rbf_svc", oracle=_contract("SVC_RBF"))
@@ -194,27 +198,16 @@ def q_regression_forest(spark, sf):
 def q_ensemble_voting(spark, sf):
     p = prepared(spark, sf)
     n = B.n_weight(p.train)
-    members = {"lr": CL.logistic_regression(n, max_iter=MEMBERS["iterations"], weighted=False).fit(p.train),
-               "rf": CL.random_forest(MEMBERS["trees"], weighted=False, max_depth=MEMBERS["depth"]).fit(p.train),
-               "et": CU.fit_extra_trees(p.train, MEMBERS["trees"], 3, MEMBERS["depth"],
-                                        weighted=False)}
-    v = EN.hard_vote(members, p.test, "conn_id")
-    return _row(v, "Voting(hard)", None)
+    m = EN.fit_voting(p.train, {"lr": CL.logistic_regression(n, weighted=False), "rf": CL.random_forest(weighted=False), "et": CL.extra_trees(weighted=False)})
+    return _row(m.transform(p.test), "Voting(hard)", None)
 
 
 @query("ensemble_stacking", oracle=_contract("Stacking"))
 def q_ensemble_stacking(spark, sf):
+    """EN2: 5 folds x 3 members and their refits; forest and boosting of PART of the reference's sizes."""
     p = prepared(spark, sf)
-    ests = {"rf": lambda: CL.random_forest(MEMBERS["stack_trees"], weighted=False, max_depth=MEMBERS["depth"]),
-            "gb": lambda: CL.gradient_boosting(MEMBERS["stack_stages"]),
-            "lda": lambda: _LDAEstimator()}
-    m = EN.fit_stacking(p.train, ests, "conn_id", folds=5)
-    return _row(m.transform(p.test), "Stacking", None)
-
-
-class _LDAEstimator:
-    def fit(self, df):
-        return CU.fit_lda(df)
+    make = reference_candidates(B.n_weight(p.train), key="conn_id", part=PART)["Stacking"].make
+    return _row(make(p.train).transform(p.test), "Stacking", None)
 
 
 @query("ensemble_bagging", oracle=_contract("Bagging(Tree)"))
@@ -229,75 +222,89 @@ def q_tune_randomized(spark, sf):
     """TU1 on the logistic regression grid (C over a log grid), 8 draws, 3 folds, F1."""
     p = prepared(spark, sf)
     n = B.n_weight(p.train)
-    est = CL.logistic_regression(n, max_iter=MEMBERS["iterations"])
+    est = CL.logistic_regression(n)
     grid = {"regParam": [1.0 / (c * n) for c in [10 ** (-3 + 4 * i / 9) for i in range(10)]]}
     cv = TU.randomized_search(est, grid, p.train, "conn_id", n_iter=8, folds=3, parallelism=4)
     return _row(cv.bestModel.transform(p.test), "LogReg(tuned)")
 
 
+@query("tune_randomized_forests", oracle=_contract("RandomForest(tuned)", "ExtraTrees(tuned)"))
+def q_tune_randomized_forests(spark, sf):
+    """TU1 on the reference's forest grids (trees, depth, split size), with PART of its numbers of trees: 8 draws, 3 folds, F1."""
+    p = prepared(spark, sf)
+    c = reference_candidates(B.n_weight(p.train), part=PART)
+    out = []
+    for name in ("RandomForest", "ExtraTrees"):
+        cv = TU.randomized_search(c[name].make, c[name].grid, p.train, "conn_id", n_iter=8, folds=3, parallelism=4)
+        out.append(_row(cv.bestModel.transform(p.test), f"{name}(tuned)", c[name].kind))
+    return out[0].unionByName(out[1])
+
+
 @query("tune_grid", oracle=_contract("RandomForest(grid)"))
 def q_tune_grid(spark, sf):
-    """TU2: 2 x 2 forest grid, 2 folds, accuracy."""
+    """TU2: the reference's 2 x 2 forest grid, 2 folds, accuracy."""
     p = prepared(spark, sf, balanced=False)
-    est = CL.random_forest(5, weighted=False, max_depth=MEMBERS["depth"])
-    cv = TU.grid_search(est, {"numTrees": [5, 10], "maxDepth": [MEMBERS["depth"], 6]}, p.train, "conn_id", folds=2)
+    cv = TU.grid_search(CL.random_forest(weighted=False), {"numTrees": [50, 100], "maxDepth": [CL.MAX_TREE_DEPTH, 10]}, p.train, "conn_id", folds=2, parallelism=4)
     return _row(cv.bestModel.transform(p.test), "RandomForest(grid)")
 
 
+@query("tune_grid_regressor", oracle=_reg_contract("RandomForestRegressor(grid)"))
+def q_tune_grid_regressor(spark, sf):
+    """TU2, regressor: the reference's 2 x 2 grid, 2 folds, R^2."""
+    tr, te = _regression_frames(spark, sf, True)
+    cv = TU.grid_search(CL.random_forest_regressor(), {"numTrees": [50, 100], "maxDepth": [0, 10]}, tr, "conn_id", folds=2, regression=True)
+    return _reg_row(cv.bestModel.transform(te), "RandomForestRegressor(grid)")
+
+
 def _board(results, *more):
-    """Contract of a leaderboard row: metrics in range, and F1 the harmonic mean of precision and recall."""
-    fine = F.lit(True)
-    for c in ("accuracy", "precision", "recall", "f1"):
-        fine = fine & F.col(c).between(0.0, 1.0)
-    pr = F.col("precision") + F.col("recall")
-    return results.select("model", *more, fine.alias("metrics_in_range"), (F.abs(F.col("f1") * pr - 2 * F.col("precision") * F.col("recall")) < 1e-9).alias("f1_fits"))
+    """Contract of leaderboard rows with their confusion cells: rows and attacks scored, every metric recomputed from the
+    cells, and more hits than the majority class has (Gaussian naive Bayes left out, whose inputs are correlated)."""
+    n, attacks, hits = F.expr("tp + fp + fn + tn"), F.expr("tp + fn"), F.expr("tp + tn")
+    near = lambda c, v: F.abs(F.col(c) - F.coalesce(v, F.lit(0.0))) < 1e-9
+    fits = (near("accuracy", F.try_divide(hits, n)) & near("precision", F.expr("try_divide(tp, tp + fp)")) & near("recall", F.expr("try_divide(tp, tp + fn)"))
+            & near("f1", F.expr("try_divide(2 * tp, 2 * tp + fp + fn)")))
+    return results.select("model", *more, n.alias("n_test"), attacks.alias("n_attack"), fits.alias("metrics_fit"),
+                          ((hits > F.greatest(attacks, n - attacks)) | (F.col("model") == "GaussianNB")).alias("beats_majority"))
+
+
+def _board_contract(rows):
+    """The same from the tables: rows (model, phase) with the test rows and attacks."""
+    phase = any("," in r for r in rows)
+    return f"""
+WITH c AS ({CONNECTION_SQL}), t AS (SELECT count(*) AS n, count(*) FILTER (attack IS DISTINCT FROM 'normal') AS a FROM c WHERE split = 'test')
+SELECT m.*, n AS n_test, a AS n_attack, true AS metrics_fit, true AS beats_majority FROM t, (VALUES {', '.join(f'({r})' for r in rows)}) AS m(model{', phase' if phase else ''})"""
+
+
+_BASE = ["LogReg", "LinearSVC", "DecisionTree", "RandomForest", "ExtraTrees", "GradBoost", "AdaBoost", "GaussianNB", "LDA", "LightGBM", "CatBoost"]
+_ENSEMBLES = ["Voting(hard)", "Stacking", "Bagging(Tree)"]
 
 
-@query("evaluate_many", oracle="""
-SELECT model, true AS metrics_in_range, true AS f1_fits
-FROM (VALUES ('LogReg'), ('LinearSVC'), ('DecisionTree'), ('RandomForest'), ('ExtraTrees'), ('GradBoost'), ('AdaBoost'), ('GaussianNB'), ('LDA'), ('LightGBM'), ('CatBoost')) AS m(model)""")
+@query("evaluate_many", oracle=_board_contract([f"'{m}'" for m in _BASE]))
 def q_evaluate_many(spark, sf):
     """TU3: evaluate the reference's eleven base models in one run and rank them (F1, accuracy)."""
     p = prepared(spark, sf)
-    n = B.n_weight(p.train)
-    t, d, i = MEMBERS["trees"], MEMBERS["depth"], MEMBERS["stack_stages"]
-    ests = {"LogReg": (CL.logistic_regression(n), "probability"),
-            "LinearSVC": (CL.linear_svc(n), "raw"),
-            "DecisionTree": (CL.decision_tree(), "probability"),
-            "RandomForest": (CL.random_forest(t, max_depth=d), "probability"),
-            "ExtraTrees": (lambda df: CU.fit_extra_trees(df, t, 3, d), "keep"),
-            "GradBoost": (CL.gradient_boosting(i), "probability"),
-            "AdaBoost": (lambda df: CU.fit_adaboost(df, n_estimators=i), "keep"),
-            "GaussianNB": (CL.gaussian_nb(), "probability"),
-            "LDA": (CU.fit_lda, "keep"),
-            "LightGBM": (CL.lightgbm_like(i), "probability"),
-            "CatBoost": (CL.catboost_like(i), "probability")}
-    return _board(TU.evaluate_many(ests, p.train, p.test))
-
-
-@query("detection_run", oracle="""
-SELECT model, phase, true AS metrics_in_range, true AS f1_fits
-FROM (VALUES ('LogReg', 'base'), ('DecisionTree', 'base'), ('GaussianNB', 'base'), ('LDA', 'base'), ('RandomForest', 'base'), ('Bagging(Tree)', 'ensembles')) AS m(model, phase)""")
+    c = reference_candidates(B.n_weight(p.train), key="conn_id", part=PART)
+    return _board(TU.evaluate_many({n: (c[n].make, c[n].kind) for n in _BASE}, p.train, p.test, cells=True))
+
+
+@query("detection_run", oracle=f"""SELECT *, true AS tuned_fit FROM ({_board_contract([f"'{m}', 'base'" for m in _BASE] + [f"'{m}', 'ensembles'" for m in _ENSEMBLES])})""")
 def q_detection_run(spark, sf):
-    """The reference's main flow with fast members: base models, ensembles,
-    merged leaderboard, tuning of the top three that have a grid, report
-    files and the persisted winner (written under the checkpoint folder)."""
-    from ..models.workflow import Candidate, run_detection
+    """The reference's main flow: eleven base models, three ensembles, merged leaderboard, tuning of those of the
+    best three that have a grid, report files and the persisted winner, which is loaded again (all under the
+    checkpoint folder). tuned_fit: every tuned row is of one of the best three, and its metrics fit."""
+    from pyspark.ml import PipelineModel
+
+    from ..models.workflow import run_detection
     p = prepared(spark, sf)
-    n = B.n_weight(p.train)
-    lr = CL.logistic_regression(n, max_iter=MEMBERS["iterations"])
-    cands = {
-        "LogReg": Candidate(lr, "probability", {"regParam": [1.0 / (c * n) for c in (0.01, 0.1, 1.0, 10.0)]}),
-        "DecisionTree": Candidate(CL.decision_tree(max_depth=CL.MAX_TREE_DEPTH), "probability"),
-        "GaussianNB": Candidate(CL.gaussian_nb(), "probability"),
-        "LDA": Candidate(CU.fit_lda, "keep"),
-        "RandomForest": Candidate(CL.random_forest(5, max_depth=8), "probability",
-                                  {"numTrees": [5, 10], "maxDepth": [6, 8]}),
-        "Bagging(Tree)": Candidate(CL.bagging_trees(5, max_depth=8), None, phase="ensembles"),
-    }
+    cands = reference_candidates(B.n_weight(p.train), key="conn_id", part=PART)
     out = scratch_path(spark, f"detection-{uuid.uuid4().hex}")
-    final = run_detection(p, cands, "all", tune_top=3, n_iter=4, folds=3, out_dir=out)
-    return _board(final, "phase").where(F.col("phase") != "tuned")      # which models are tuned depends on the ranking
+    final = run_detection(p, cands, "all", tune_top=3, n_iter=8, folds=3, out_dir=out, cells=True)
+    PipelineModel.load(f"{out}/best_model")
+    board = _board(final, "phase")
+    top = [r.model for r in M.topk(final.where("phase <> 'tuned'"), 3).select("model").collect()]
+    may = [f"{m}(tuned)" for m in top if cands[m].grid]
+    tuned = board.where("phase = 'tuned'").agg((F.coalesce(F.every(F.col("model").isin(may) & F.col("metrics_fit")), F.lit(True)) & (F.count(F.lit(1)) == len(may))).alias("tuned_fit"))
+    return attach_row(board.where("phase <> 'tuned'"), tuned)
 
 
 @query("feature_importance", oracle=f"""
@@ -308,7 +315,7 @@ def q_feature_importance(spark, sf):
     """FE5: forest importances by assembled feature name: as many as numeric columns,
     categories and one slot of unseen values for each categorical column; none negative, summing to 1."""
     p = prepared(spark, sf)
-    m = CL.random_forest(MEMBERS["trees"], max_depth=MEMBERS["depth"]).fit(p.train)
+    m = CL.random_forest().fit(p.train)
     attrs = p.train.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
     names = [None] * p.n_features
     for group in attrs.values():
@@ -335,6 +342,45 @@ def q_model_save_load(spark, sf):
     return attach_row(_row(scored, "DecisionTree(reloaded)"), same)
 
 
+_OWN = ["ExtraTrees", "AdaBoost", "LDA", "LightGBM", "CatBoost", "SVC_RBF", "Voting(hard)", "Stacking"]
+
+
+@query("model_save_load_own", oracle=f"SELECT *, n_test AS same_predictions FROM ({_contract(*_OWN)})")
+def q_model_save_load_own(spark, sf):
+    """IO7 for the library's own models: each is saved behind the preprocessing as one PipelineModel, loaded again, scores
+    raw records, and gives the unsaved model's predictions. What is tested is persistence, so forests and boosting are of PART of their sizes."""
+    p = prepared(spark, sf)
+    n = B.n_weight(p.train)
+    c = {**{k: v.make for k, v in reference_candidates(n, key="conn_id", part=PART / 5).items()}, "SVC_RBF": CL.rbf_svc(50, 20)}
+    recs = connection_records(spark, sf).where("split = 'test'").withColumn("label", (~F.col("attack").eqNullSafe("normal")).cast("double"))
+    out = []
+    for name in _OWN:
+        m = c[name].fit(p.train) if hasattr(c[name], "fit") else c[name](p.train)
+        path = scratch_path(spark, f"model-{uuid.uuid4().hex}")
+        TU.save_model(p.pre, m, path)
+        scored = TU.load_and_score(path, recs)
+        first = m.transform(p.test).select("conn_id", F.col("prediction").alias("first"))
+        same = join_predictions(scored.select("conn_id", "prediction"), first, "conn_id").agg(F.count_if(F.col("prediction") == F.col("first")).alias("same_predictions"))
+        out.append(attach_row(_row(scored, name, None), same))
+    return M.union_results(*out)
+
+
+@query("score_persisted_csv", oracle=f"""
+WITH c AS ({CONNECTION_SQL}) SELECT count(*) AS n_scored, count(*) AS n_predicted, true AS both_classes, sum(src_bytes)::BIGINT AS src_bytes FROM c WHERE split = 'test'""")
+def q_score_persisted_csv(spark, sf):
+    """IO2 + IO7 + IO5: raw records as a headered CSV, scored by a persisted winner (boosted trees) into a predictions CSV."""
+    from ..sources.readers import FEATURE_COLUMNS
+    from ..sources.sinks import write_csv
+    p = prepared(spark, sf)
+    out = scratch_path(spark, f"scoring-{uuid.uuid4().hex}")
+    TU.save_model(p.pre, CL.lightgbm_like(30).fit(p.train), f"{out}/model")
+    write_csv(connection_records(spark, sf).where("split = 'test'").select(*FEATURE_COLUMNS), f"{out}/records")
+    scored = TU.score_csv(spark, f"{out}/model", f"{out}/records", f"{out}/predictions")
+    y = F.col("prediction").cast("int")
+    return scored.agg(F.count(F.lit(1)).alias("n_scored"), F.count_if(y.isin(0, 1)).alias("n_predicted"), (F.count_distinct(y) == 2).alias("both_classes"),
+                      F.sum(F.col("src_bytes").cast("long")).alias("src_bytes"))
+
+
 _E_SPLIT = "CASE WHEN ('0x' || substr(md5(CAST(vec_id AS VARCHAR) || '42' || 'split'), 1, 8))::BIGINT / 4294967296.0 < 0.2 THEN 'test' ELSE 'train' END"
 
 
