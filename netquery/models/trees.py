@@ -42,8 +42,10 @@ EPS = 1e-12
 
 @dataclass
 class Bins:
-    """Cut points of every feature: bin = number of cuts below the value; NaN is in the last bin."""
+    """Cut points of the features `keep` (None: all): bin = number of cuts below the value; NaN is in the last bin. Features
+    without a cut, which are the same in all training rows, are left out."""
     cuts: list[np.ndarray]
+    keep: list[int] | None = None
 
     @property
     def width(self) -> int:
@@ -51,9 +53,9 @@ class Bins:
         return max(2, max((len(c) for c in self.cuts), default=0) + 1)
 
     def of(self, x: np.ndarray) -> np.ndarray:
-        out = np.empty(x.shape, np.uint8)
-        for j, c in enumerate(self.cuts):
-            out[:, j] = np.searchsorted(c, x[:, j], "left")
+        out = np.empty((len(x), len(self.cuts)), np.uint8)
+        for k, (j, c) in enumerate(zip(self.keep or range(len(self.cuts)), self.cuts, strict=True)):
+            out[:, k] = np.searchsorted(c, x[:, j], "left")
         return out
 
 
@@ -63,7 +65,8 @@ def fit_bins(train: DataFrame, bins: int = 64, features: str = "features") -> Bi
     rows = (train.select(F.posexplode(vector_to_array(features)).alias("j", "x")).groupBy("j")
             .agg(F.percentile_approx(F.when(~F.isnan("x"), F.col("x")), at, 10000).alias("q")).collect())     # a row for each feature
     cuts = {r.j: np.unique(np.array(r.q or [0.0], np.float64))[:-1] for r in rows}
-    return Bins([cuts[j] for j in range(len(cuts))])
+    keep = [j for j in sorted(cuts) if len(cuts[j])] or [0]
+    return Bins([cuts.get(j, np.zeros(0)) for j in keep], keep)
 
 
 def _matrix(col: pa.Array) -> np.ndarray:
@@ -343,9 +346,18 @@ def grow_best_first(rule: Rule, bins: Bins, path: int, depth: int, x: np.ndarray
     width = bins.width
     out = _Nodes()
     out.add(sums.sum(0), path)
-    zero = np.zeros(len(x), np.int64)
+    columns, parts = [np.ascontiguousarray(x[:, f]).astype(np.int64) for f in range(x.shape[1])], [np.ascontiguousarray(sums[:, k]) for k in range(3)]
     best = {}
 
+    def histogram(rows):
+        h = np.empty((len(columns), width, 3))
+        weights = [s[rows] for s in parts]
+        for f, c in enumerate(columns):
+            at = c[rows]
+            for k in range(3):
+                h[f, :, k] = np.bincount(at, weights[k], width)
+        return h
+
     def look(node, rows, h, d):
         if _done(rule, np.asarray(out.sums[node]), d):
             return
@@ -355,21 +367,21 @@ def grow_best_first(rule: Rule, bins: Bins, path: int, depth: int, x: np.ndarray
             best[node] = (float(gain[f]), f, int(at[f]), left[f], rows, h, d)
 
     rows = np.arange(len(x))
-    look(0, rows, _histograms(x, sums, zero, 1, width)[0], depth)
+    look(0, rows, histogram(rows), depth)
     for _ in range(rule.leaves - 1):
         if not best:
             break
         node = max(best, key=lambda i: (best[i][0], -i))
         gain, f, cut, left, rows, h, d = best.pop(node)
         a = out.split(node, f, cut, left, gain)
-        right = x[rows, f] > cut
-        parts = rows[~right], rows[right]
-        small = int(len(parts[1]) < len(parts[0]))
+        right = columns[f][rows] > cut
+        sides = rows[~right], rows[right]
+        small = int(len(sides[1]) < len(sides[0]))
         hs = [None, None]
-        hs[small] = _histograms(x[parts[small]], sums[parts[small]], zero[:len(parts[small])], 1, width)[0]
+        hs[small] = histogram(sides[small])
         hs[1 - small] = h - hs[small]
         for side in (0, 1):
-            look(a + side, parts[side], hs[side], d + 1)
+            look(a + side, sides[side], hs[side], d + 1)
     return out
 
 
@@ -753,7 +765,7 @@ class Ensemble:
     def rows(self) -> Iterator[dict]:
         """The model as table rows: cuts of each feature (tree -1), and the nodes of each tree."""
         for j, c in enumerate(self.bins.cuts):
-            yield {"tree": -1, "part": j, "feature": [], "bin": [], "left": [], "value": c.tolist()}
+            yield {"tree": -1, "part": j, "feature": [self.bins.keep[j] if self.bins.keep else j], "bin": [], "left": [], "value": c.tolist()}
         for i, t in enumerate(self.trees):
             yield {"tree": i, "part": 0, "feature": t.feature.tolist(), "bin": t.bin.tolist(), "left": t.left.tolist(), "value": t.value.tolist()}
 
@@ -763,5 +775,6 @@ class Ensemble:
     def of(rows, base: float, scale: float) -> Ensemble:
         rows = sorted(rows, key=lambda r: (r["tree"], r["part"]))
         cuts = [np.array(r["value"], np.float64) for r in rows if r["tree"] < 0]
+        keep = [r["feature"][0] for r in rows if r["tree"] < 0]
         trees = [Tree(np.array(r["feature"], np.int32), np.array(r["bin"], np.int16), np.array(r["left"], np.int32), np.array(r["value"], np.float64)) for r in rows if r["tree"] >= 0]
-        return Ensemble(Bins(cuts), trees, base, scale)
+        return Ensemble(Bins(cuts, keep), trees, base, scale)

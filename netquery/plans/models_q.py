@@ -29,11 +29,12 @@ from ..session import scratch_path
 from .derived import CONNECTION_SQL, connection_records
 from .registry import query, rnd, table
 
-# Queries of one model, voting, bagging, importances and the grid searches of TU2 use the reference's parameters. Runs
-# that fit dozens of forests (stacking, the tuning of TU1, evaluate_many, detection_run) take PART of its numbers
-# of trees and stages, everything else as it is: see README, Deviations, with figures.
+# Queries of one model, voting, bagging and importances use the reference's parameters. Runs that fit a dozen
+# forests and more (stacking, searches, evaluate_many, detection_run) take PART of its numbers of trees and stages
+# and ITERATIONS steps of the linear models, everything else as it is: see README, Deviations, with figures.
 PARTITIONS = 16
-PART = 0.1
+PART = 0.05
+ITERATIONS = 50
 
 _CACHE: dict = {}
 
@@ -204,9 +205,9 @@ def q_ensemble_voting(spark, sf):
 
 @query("ensemble_stacking", oracle=_contract("Stacking"))
 def q_ensemble_stacking(spark, sf):
-    """EN2: 5 folds x 3 members and their refits; forest and boosting of PART of the reference's sizes."""
+    """EN2: 5 folds x 3 members and their refits; forest and boosting of twice PART of the reference's sizes."""
     p = prepared(spark, sf)
-    make = reference_candidates(B.n_weight(p.train), key="conn_id", part=PART)["Stacking"].make
+    make = reference_candidates(B.n_weight(p.train), key="conn_id", part=2 * PART)["Stacking"].make
     return _row(make(p.train).transform(p.test), "Stacking", None)
 
 
@@ -222,7 +223,7 @@ def q_tune_randomized(spark, sf):
     """TU1 on the logistic regression grid (C over a log grid), 8 draws, 3 folds, F1."""
     p = prepared(spark, sf)
     n = B.n_weight(p.train)
-    est = CL.logistic_regression(n)
+    est = CL.logistic_regression(n, max_iter=2 * ITERATIONS)
     grid = {"regParam": [1.0 / (c * n) for c in [10 ** (-3 + 4 * i / 9) for i in range(10)]]}
     cv = TU.randomized_search(est, grid, p.train, "conn_id", n_iter=8, folds=3, parallelism=4)
     return _row(cv.bestModel.transform(p.test), "LogReg(tuned)")
@@ -242,17 +243,17 @@ def q_tune_randomized_forests(spark, sf):
 
 @query("tune_grid", oracle=_contract("RandomForest(grid)"))
 def q_tune_grid(spark, sf):
-    """TU2: the reference's 2 x 2 forest grid, 2 folds, accuracy."""
+    """TU2: the reference's 2 x 2 forest grid, with a tenth of its trees, 2 folds, accuracy."""
     p = prepared(spark, sf, balanced=False)
-    cv = TU.grid_search(CL.random_forest(weighted=False), {"numTrees": [50, 100], "maxDepth": [CL.MAX_TREE_DEPTH, 10]}, p.train, "conn_id", folds=2, parallelism=4)
+    cv = TU.grid_search(CL.random_forest(weighted=False), {"numTrees": [5, 10], "maxDepth": [CL.MAX_TREE_DEPTH, 10]}, p.train, "conn_id", folds=2, parallelism=4)
     return _row(cv.bestModel.transform(p.test), "RandomForest(grid)")
 
 
 @query("tune_grid_regressor", oracle=_reg_contract("RandomForestRegressor(grid)"))
 def q_tune_grid_regressor(spark, sf):
-    """TU2, regressor: the reference's 2 x 2 grid, 2 folds, R^2."""
+    """TU2, regressor: the reference's 2 x 2 grid, with a tenth of its trees, 2 folds, R^2."""
     tr, te = _regression_frames(spark, sf, True)
-    cv = TU.grid_search(CL.random_forest_regressor(), {"numTrees": [50, 100], "maxDepth": [0, 10]}, tr, "conn_id", folds=2, regression=True)
+    cv = TU.grid_search(CL.random_forest_regressor(groups=1), {"numTrees": [5, 10], "maxDepth": [0, 10]}, tr, "conn_id", folds=2, regression=True)
     return _reg_row(cv.bestModel.transform(te), "RandomForestRegressor(grid)")
 
 
@@ -283,7 +284,7 @@ _ENSEMBLES = ["Voting(hard)", "Stacking", "Bagging(Tree)"]
 def q_evaluate_many(spark, sf):
     """TU3: evaluate the reference's eleven base models in one run and rank them (F1, accuracy)."""
     p = prepared(spark, sf)
-    c = reference_candidates(B.n_weight(p.train), key="conn_id", part=PART)
+    c = reference_candidates(B.n_weight(p.train), key="conn_id", part=PART, iterations=ITERATIONS)
     return _board(TU.evaluate_many({n: (c[n].make, c[n].kind) for n in _BASE}, p.train, p.test, cells=True))
 
 
@@ -296,9 +297,9 @@ def q_detection_run(spark, sf):
 
     from ..models.workflow import run_detection
     p = prepared(spark, sf)
-    cands = reference_candidates(B.n_weight(p.train), key="conn_id", part=PART)
+    cands = reference_candidates(B.n_weight(p.train), key="conn_id", part=PART, iterations=ITERATIONS)
     out = scratch_path(spark, f"detection-{uuid.uuid4().hex}")
-    final = run_detection(p, cands, "all", tune_top=3, n_iter=8, folds=3, out_dir=out, cells=True)
+    final = run_detection(p, cands, "all", tune_top=3, n_iter=2, folds=2, out_dir=out, cells=True)
     PipelineModel.load(f"{out}/best_model")
     board = _board(final, "phase")
     top = [r.model for r in M.topk(final.where("phase <> 'tuned'"), 3).select("model").collect()]
@@ -348,10 +349,10 @@ _OWN = ["ExtraTrees", "AdaBoost", "LDA", "LightGBM", "CatBoost", "SVC_RBF", "Vot
 @query("model_save_load_own", oracle=f"SELECT *, n_test AS same_predictions FROM ({_contract(*_OWN)})")
 def q_model_save_load_own(spark, sf):
     """IO7 for the library's own models: each is saved behind the preprocessing as one PipelineModel, loaded again, scores
-    raw records, and gives the unsaved model's predictions. What is tested is persistence, so forests and boosting are of PART of their sizes."""
+    raw records, and gives the unsaved model's predictions. What is tested is persistence, so forests and boosting are small."""
     p = prepared(spark, sf)
     n = B.n_weight(p.train)
-    c = {**{k: v.make for k, v in reference_candidates(n, key="conn_id", part=PART / 5).items()}, "SVC_RBF": CL.rbf_svc(50, 20)}
+    c = {**{k: v.make for k, v in reference_candidates(n, key="conn_id", part=PART / 3, iterations=ITERATIONS).items()}, "SVC_RBF": CL.rbf_svc(50, 20)}
     recs = connection_records(spark, sf).where("split = 'test'").withColumn("label", (~F.col("attack").eqNullSafe("normal")).cast("double"))
     out = []
     for name in _OWN:

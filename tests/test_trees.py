@@ -57,8 +57,8 @@ def brute_extra_tree(x, s, bins, rule, tree, path, depth=0):
         leaf = {i: b / (a + b) for i in idx}
         if a <= 0 or b <= 0 or len(idx) < 2:
             return leaf
-        order = sorted(range(P), key=lambda f: int(T._draw(rule.seed, tree, np.array([path], np.uint64), np.array([f]))[0]))
-        for at in range(0, P, rule.tries):
+        order = sorted(range(x.shape[1]), key=lambda f: int(T._draw(rule.seed, tree, np.array([path], np.uint64), np.array([f]))[0]))
+        for at in range(0, x.shape[1], rule.tries):
             best = None
             for f in order[at:at + rule.tries]:
                 v = x[idx, f]
@@ -82,7 +82,7 @@ def brute_best(x, g, h, idx, bins, least):
     """(gain, feature, bin) by trying every cut."""
     part = lambda i: g[i].sum() ** 2 / h[i].sum()
     best = None
-    for f in range(P):
+    for f in range(x.shape[1]):
         for cut in range(len(bins.cuts[f])):
             a, b = idx[x[idx, f] <= cut], idx[x[idx, f] > cut]
             if len(a) >= least and len(b) >= least:
@@ -209,7 +209,7 @@ def test_adaboost_equals_brute_force(data):
     w, total, votes = np.ones(len(y)), 0.0, np.zeros(len(y))
     for _ in range(5):
         best = None
-        for f in range(P):
+        for f in range(x.shape[1]):
             for cut in range(len(m.ensemble.bins.cuts[f])):
                 left = x[:, f] <= cut
                 score = sum(((w[i] * (1 - y[i])).sum() ** 2 + (w[i] * y[i]).sum() ** 2) / w[i].sum() for i in (left, ~left) if i.any())
