@@ -43,6 +43,8 @@ PIVOTS = 4            # documents as pivots in a larger region
 BINS = 256            # of a set's sketch
 BLOCK_CLASSES, BLOCK_HASHES = 512, 200_000   # of a block of classes that is compared within one task
 LEVELS = 1            # levels of document pivots
+SLICE = 4 << 20       # bytes of text whose shingles a task holds at once
+COUNTED = 2 << 20     # shingles that the survey counts together
 HOT_ENTRIES = 1 << 18  # bound of the broadcast list of frequent shingles
 
 
@@ -77,24 +79,32 @@ def _rows(schema: pa.Schema, **cols) -> pa.RecordBatch:
 
 def _survey(k: int, often: int):
     """Pass 1: a row (doc_id, n, c) for each document, and a row (shingle, hits) for
-    each shingle that at least `often` different sets of a slice have."""
+    each shingle that at least `often` different sets of about COUNTED shingles have."""
     out = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("c", pa.int64()), ("shingle", pa.int64()), ("hits", pa.int64())])
 
+    def counted(sets):
+        v, m = np.unique(np.concatenate(list(sets.values())), return_counts=True)
+        v, m = v[m >= often], m[m >= often]
+        none = pa.nulls(len(v), pa.int64())
+        return _rows(out, doc_id=none, n=none, c=none, shingle=v.view(np.int64), hits=m.astype(np.int64))
+
     def run(batches):
-        for b in text_slices(batches, "text"):
-            keys, ns, cs, sets = [], [], [], {}
+        sets, held = {}, 0
+        for b in text_slices(batches, "text", SLICE):
+            keys, ns, cs = [], [], []
             for key, s in text_sets(b, k):
                 sig = signature(s)
                 keys.append(key), ns.append(len(s)), cs.append(sig)
-                if len(s):
-                    sets[sig] = s
+                if len(s) and sig not in sets:
+                    sets[sig] = s.copy()
+                    held += len(s)
             yield _rows(out, doc_id=keys, n=ns, c=np.array(cs, np.uint64).view(np.int64), shingle=pa.nulls(len(keys), pa.int64()),
                         hits=pa.nulls(len(keys), pa.int64()))
-            if sets:
-                v, m = np.unique(np.concatenate(list(sets.values())), return_counts=True)
-                v, m = v[m >= often], m[m >= often]
-                none = pa.nulls(len(v), pa.int64())
-                yield _rows(out, doc_id=none, n=none, c=none, shingle=v.view(np.int64), hits=m.astype(np.int64))
+            if held > COUNTED:
+                yield counted(sets)
+                sets, held = {}, 0
+        if sets:
+            yield counted(sets)
     return run, "doc_id long, n long, c long, shingle long, hits long"
 
 
@@ -118,7 +128,7 @@ def _regions(k: int, percent: int, hot_b):
 
     def run(batches):
         hot, rank = hot_b.value
-        for b in text_slices(batches, "text"):
+        for b in text_slices(batches, "text", SLICE):
             seen, anchors, cs, ns = set(), [], [], []
             for key, s in text_sets(b, k):
                 if key is None or not len(s) or (sig := int(signature(s))) in seen:
@@ -137,7 +147,7 @@ def _wanted_sets(k: int, bits_b):
 
     def run(batches):
         bits = bits_b.value
-        for b in text_slices(batches, "text"):
+        for b in text_slices(batches, "text", SLICE):
             b = with_bit(b, bits)
             cs, sets = [], []
             for _, s in text_sets(b, k):
