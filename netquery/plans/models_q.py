@@ -30,11 +30,11 @@ from .derived import CONNECTION_SQL, connection_records
 from .registry import query, rnd, table
 
 # Queries of one model, voting, bagging and importances use the reference's parameters. Runs that fit a dozen
-# forests and more (stacking, searches, evaluate_many, detection_run) take PART of its numbers of trees and stages
-# and ITERATIONS steps of the linear models, everything else as it is: see README, Deviations, with figures.
+# forests and more (stacking, searches, evaluate_many, detection_run) take PART of its numbers of trees and stages,
+# ITERATIONS steps of the linear models, and fewer draws and folds: see README, Deviations, with figures.
 PARTITIONS = 16
-PART = 0.05
-ITERATIONS = 50
+PART = 0.02
+ITERATIONS = 20
 
 _CACHE: dict = {}
 
@@ -205,9 +205,9 @@ def q_ensemble_voting(spark, sf):
 
 @query("ensemble_stacking", oracle=_contract("Stacking"))
 def q_ensemble_stacking(spark, sf):
-    """EN2: 5 folds x 3 members and their refits; forest and boosting of twice PART of the reference's sizes."""
+    """EN2: 5 folds x 3 members and their refits; forest and boosting of a tenth of the reference's sizes."""
     p = prepared(spark, sf)
-    make = reference_candidates(B.n_weight(p.train), key="conn_id", part=2 * PART)["Stacking"].make
+    make = reference_candidates(B.n_weight(p.train), key="conn_id", part=5 * PART)["Stacking"].make
     return _row(make(p.train).transform(p.test), "Stacking", None)
 
 
@@ -223,7 +223,7 @@ def q_tune_randomized(spark, sf):
     """TU1 on the logistic regression grid (C over a log grid), 8 draws, 3 folds, F1."""
     p = prepared(spark, sf)
     n = B.n_weight(p.train)
-    est = CL.logistic_regression(n, max_iter=2 * ITERATIONS)
+    est = CL.logistic_regression(n, max_iter=100)
     grid = {"regParam": [1.0 / (c * n) for c in [10 ** (-3 + 4 * i / 9) for i in range(10)]]}
     cv = TU.randomized_search(est, grid, p.train, "conn_id", n_iter=8, folds=3, parallelism=4)
     return _row(cv.bestModel.transform(p.test), "LogReg(tuned)")
@@ -231,12 +231,12 @@ def q_tune_randomized(spark, sf):
 
 @query("tune_randomized_forests", oracle=_contract("RandomForest(tuned)", "ExtraTrees(tuned)"))
 def q_tune_randomized_forests(spark, sf):
-    """TU1 on the reference's forest grids (trees, depth, split size), with PART of its numbers of trees: 8 draws, 3 folds, F1."""
+    """TU1 on the reference's forest grids (trees, depth, split size), with PART of its numbers of trees: 2 draws, 2 folds, F1."""
     p = prepared(spark, sf)
     c = reference_candidates(B.n_weight(p.train), part=PART)
     out = []
     for name in ("RandomForest", "ExtraTrees"):
-        cv = TU.randomized_search(c[name].make, c[name].grid, p.train, "conn_id", n_iter=8, folds=3, parallelism=4)
+        cv = TU.randomized_search(c[name].make, c[name].grid, p.train, "conn_id", n_iter=2, folds=2, parallelism=4)
         out.append(_row(cv.bestModel.transform(p.test), f"{name}(tuned)", c[name].kind))
     return out[0].unionByName(out[1])
 
@@ -297,7 +297,7 @@ def q_detection_run(spark, sf):
 
     from ..models.workflow import run_detection
     p = prepared(spark, sf)
-    cands = reference_candidates(B.n_weight(p.train), key="conn_id", part=PART, iterations=ITERATIONS)
+    cands = reference_candidates(B.n_weight(p.train), key="conn_id", part=PART, iterations=ITERATIONS, folds=2)
     out = scratch_path(spark, f"detection-{uuid.uuid4().hex}")
     final = run_detection(p, cands, "all", tune_top=3, n_iter=2, folds=2, out_dir=out, cells=True)
     PipelineModel.load(f"{out}/best_model")
@@ -352,7 +352,7 @@ def q_model_save_load_own(spark, sf):
     raw records, and gives the unsaved model's predictions. What is tested is persistence, so forests and boosting are small."""
     p = prepared(spark, sf)
     n = B.n_weight(p.train)
-    c = {**{k: v.make for k, v in reference_candidates(n, key="conn_id", part=PART / 3, iterations=ITERATIONS).items()}, "SVC_RBF": CL.rbf_svc(50, 20)}
+    c = {**{k: v.make for k, v in reference_candidates(n, key="conn_id", part=PART, iterations=ITERATIONS, folds=2).items()}, "SVC_RBF": CL.rbf_svc(50, 20)}
     recs = connection_records(spark, sf).where("split = 'test'").withColumn("label", (~F.col("attack").eqNullSafe("normal")).cast("double"))
     out = []
     for name in _OWN:
