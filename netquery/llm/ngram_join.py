@@ -249,7 +249,8 @@ def _links_in(percent: int):
         c, label = (f[i].to_numpy() for i in (0, 2))
         s = f[3]
         off, values = s.offsets.to_numpy() - s.offsets[0].as_py(), s.flatten().to_numpy()
-        return c, label, [values[off[i]:off[i + 1]] for i in range(len(c))], f[4].flatten().to_numpy().reshape(len(c), BINS)
+        sets = [values[off[i]:off[i + 1]] for i in range(len(c))]
+        return c, label, sets, np.stack([np.bincount((v.view(np.uint64) % np.uint64(BINS)).astype(np.int64), minlength=BINS) for v in sets]).astype(np.int32)
 
     def run(batches):
         for batch in batches:
@@ -291,13 +292,15 @@ def _block_links(big: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     m = written(_blocks(big), "blocks")
     some = m.groupBy("group", "block").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.min("n").alias("n0"), F.max("n").alias("n1"))
     x, y = (some.select("group", *[F.col(c).alias(c + t) for c in ("block", "l0", "l1", "n0", "n1")]) for t in "xy")
-    meet = x.join(y, "group").where("blockx <= blocky AND NOT (l0x = l1x AND l0y = l1y AND l0x = l0y)")
+    meet = x.join(y, "group").where("blockx < blocky AND NOT (l0x = l1x AND l0y = l1y AND l0x = l0y)")
     meet = meet.where((F.col("n1x") * 100 >= F.col("n0y") * percent) & (F.col("n1y") * 100 >= F.col("n0x") * percent)).select("group", "blockx", "blocky")
-    one = F.struct("c", "n", "label", "s", "g")
-    load = written(m.join(sets, "c").groupBy("group", "block").agg(F.collect_list(one).alias("m")), "block-sets")
+    one = F.struct("c", "n", "label", "s")
+    load = written(m.join(sets.select("c", "s"), "c").groupBy("group", "block").agg(F.collect_list(one).alias("m"), (F.min("label") < F.max("label")).alias("open")), "block-sets")
+    # within a block nothing is joined: its content lies in the row
+    same = load.where("open").select(F.col("m").alias("mx"), F.lit(None).cast(load.schema["m"].dataType).alias("my"), F.lit(True).alias("same"))
     rows = meet.join(load.select("group", F.col("block").alias("blockx"), F.col("m").alias("mx")), ["group", "blockx"])
     rows = rows.join(load.select("group", F.col("block").alias("blocky"), F.col("m").alias("my")), ["group", "blocky"])
-    rows = rows.select("mx", F.when(F.col("blockx") != F.col("blocky"), F.col("my")).alias("my"), (F.col("blockx") == F.col("blocky")).alias("same"))
+    rows = same.unionByName(rows.select("mx", "my", F.lit(False).alias("same")))
     return written(rows.mapInArrow(_links_in(percent), "a long, b long"), "block-links")
 
 
