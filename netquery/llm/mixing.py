@@ -9,7 +9,7 @@ rounds as the quota asks for.
 Defined results: a null or blank text has size 0 and is never taken; a null
 source is a source of its own, last in order; sources without words have target
 0; an empty table gives an empty mix; rows that repeat are separate members of
-their source; other columns play no part."""
+their source, in order of id, size and text; other columns play no part."""
 
 from __future__ import annotations
 
@@ -19,11 +19,12 @@ from pyspark.sql import Window as W
 
 from .common import WHITE, global_rank, written
 
-BLOCK = 16              # words of a block
+BLOCK = 1               # words of a block: larger ones round small sources away
 SHARD_DOCS = 2048       # documents of a shard, on average
 REPEATS = 3             # a source gives at most so many times its size
 WEIGHTS = (5, 2, 1)     # of the sources in order, repeating
 SEED = "mix-1"
+CUTS = 1 << 18          # cut rows (about 100 bytes each) that are broadcast; more are joined by shard
 
 
 def n_words(text: Column) -> Column:
@@ -92,9 +93,18 @@ def apportion_within(df: DataFrame, group: str, key: str, votes: str, seats: str
             .drop("__low", "__high", "__total", "__n", "__left", "__won"))
 
 
-def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: tuple = WEIGHTS,
-        block: int = BLOCK, repeats: int = REPEATS, shard_docs: int = SHARD_DOCS, seed: str = SEED) -> DataFrame:
-    """One row per input row: doc_id, size, source_size, target, taken."""
+def _draw(key: Column, seed: str) -> Column:
+    return F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(key.cast("string"), F.lit(""))))
+
+
+def _shard(draw: Column, shards: Column) -> Column:
+    return F.conv(F.substring(draw, 17, 8), 16, 10).cast("long") % shards
+
+
+def _plan(docs: DataFrame, key: str, text: str, source: str, weights: tuple, block: int, repeats: int, shard_docs: int,
+          seed: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sources with quota and number of shards, rows with their place and the words
+    before them in their shard, shards with the words they give)."""
     rows = written(docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), n_words(F.col(text)).alias("size")), "sizes")
     src = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("members"))
     src = global_rank(src, [F.col("source").asc_nulls_last()], "source_rank")
@@ -104,44 +114,79 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     src = apportion(src, "source_rank", "target", seats).withColumnRenamed("quota", "source_quota")
     src = written(src.withColumn("shards", F.greatest(F.lit(1), F.ceil(F.col("members") / shard_docs))), "source-quotas")
 
-    draw = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     s = src.withColumnRenamed("source", "__s")
-    placed = (rows.join(s, F.col("source").eqNullSafe(F.col("__s"))).withColumn("draw", draw)
-              .withColumn("shard", F.conv(F.substring("draw", 17, 8), 16, 10).cast("long") % F.col("shards"))
+    placed = (rows.join(s, F.col("source").eqNullSafe(F.col("__s"))).withColumn("draw", _draw(F.col("doc_id"), seed))
+              .withColumn("shard", _shard(F.col("draw"), F.col("shards")))
               .select("doc_id", "size", "source_rank", "source_size", "target", "source_quota", "shard", "draw"))
     cells = placed.groupBy("source_rank", "shard").agg(F.sum("size").alias("cell_size"), F.first("source_quota").alias("source_quota"))
     cells = apportion_within(cells, "source_rank", "shard", "cell_size", "source_quota")
-    cells = written(cells.select("source_rank", "shard", "cell_size",
-                                 F.least(F.col("quota") * block, F.col("cell_size") * repeats).alias("cell_taken")), "cells")
+    taken = F.least(F.col("quota") * block, F.col("cell_size") * repeats)
+    rounds = F.when(F.col("cell_size") > 0, F.floor(taken / F.col("cell_size"))).otherwise(0)
+    cells = written(cells.select("source_rank", "shard", rounds.alias("rounds"), (taken - rounds * F.col("cell_size")).alias("rest")), "cells")
     line = W.partitionBy("source_rank", "shard").orderBy("draw", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("size").over(line), F.lit(0))
-    rounds = F.when(F.col("cell_size") > 0, F.floor(F.col("cell_taken") / F.col("cell_size"))).otherwise(0)
-    part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("cell_taken") - rounds * F.col("cell_size") - F.col("before")))
-    return (placed.withColumn("before", before).join(cells, ["source_rank", "shard"])
-            .select("doc_id", "size", "source_size", "target", (rounds * F.col("size") + part).cast("long").alias("taken")))
+    return src, placed.withColumn("before", F.coalesce(F.sum("size").over(line), F.lit(0))), cells
+
+
+def _part(size: Column, left: Column) -> Column:
+    return F.greatest(F.lit(0), F.least(size, left))
+
+
+def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: tuple = WEIGHTS,
+        block: int = BLOCK, repeats: int = REPEATS, shard_docs: int = SHARD_DOCS, seed: str = SEED) -> DataFrame:
+    """One row per input row: doc_id, size, source_size, target, taken."""
+    _, placed, cells = _plan(docs, key, text, source, weights, block, repeats, shard_docs, seed)
+    taken = F.col("rounds") * F.col("size") + _part(F.col("size"), F.col("rest") - F.col("before"))
+    return placed.join(cells, ["source_rank", "shard"]).select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
 def op10_mixing(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return mix(docs)
 
 
-def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", chars: str = "n_chars") -> DataFrame:
+def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", chars: str = "n_chars", source: str = "source", weights: tuple = WEIGHTS,
+          block: int = BLOCK, repeats: int = REPEATS, shard_docs: int = SHARD_DOCS, seed: str = SEED, cuts: int = CUTS) -> DataFrame:
     """The mix as documents with the columns of `docs`: a document that the mix
     takes t words of (size s) comes floor(t / s) times whole, and once with its
-    first t mod s words where these are some; a column `chars` follows the text."""
-    taken = mix(docs, key, text).where("taken > 0").select(F.col("doc_id").alias("__k"), F.col("size").alias("__s"), F.col("taken").alias("__t"))
-    taken = written(taken.dropDuplicates(["__k", "__s"]), "taken")
-    rows = docs.withColumn("__n", n_words(F.col(text)))
-    rows = rows.join(taken, F.col(key).eqNullSafe(F.col("__k")) & (F.col("__n") == F.col("__s")))
-    whole, rest = F.floor(F.col("__t") / F.col("__s")).cast("int"), F.col("__t") % F.col("__s")
-    takes = F.concat(F.array_repeat(F.lit(-1).cast("long"), whole), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")))
+    first t mod s words where these are some; a column `chars` follows the text.
+
+    The line of a shard is cut at one draw: rows before it come one round more
+    than those behind it, so texts are not shuffled; only those of the draw
+    itself (one document for each shard) are, to share what is left."""
+    src, placed, cells = _plan(docs, key, text, source, weights, block, repeats, shard_docs, seed)
+    draws = placed.groupBy("source_rank", "shard", "draw").agg(F.sum("size").alias("words"), F.min("before").alias("before"))
+    left = F.col("rest") - F.col("before")
+    cut = draws.join(cells, ["source_rank", "shard"]).where((left >= 0) & (left < F.col("words")))
+    cut = cut.select("source_rank", "shard", "rounds", F.col("draw").alias("__cut"), left.alias("__left"))
+    cut = cut.join(src.select("source_rank", F.col("source").alias("__source"), F.col("shards").alias("__shards")), "source_rank")
+    cut = written(cut.select("__source", "__shards", F.col("shard").alias("__shard"), F.col("rounds").alias("__rounds"), "__cut", "__left"), "cuts")
+    sources = written(src.select(F.col("source").alias("__s"), F.col("shards").alias("__n")), "shards")
+    small = F.broadcast if cut.count() <= cuts else lambda x: x
+    few = F.broadcast if sources.count() <= cuts else lambda x: x
+
+    names = [f"__c{i}" for i in range(len(docs.columns))]       # columns of docs may have any name
+    name = dict(zip(docs.columns, names, strict=True))
+    rows = docs.toDF(*names).withColumn("__draw", _draw(F.col(name[key]), seed))
+    rows = rows.join(few(sources), F.col(name[source]).eqNullSafe(F.col("__s"))).withColumn("__at", _shard(F.col("__draw"), F.col("__n")))
+    rows = rows.join(small(cut), F.col(name[source]).eqNullSafe(F.col("__source")) & (F.col("__at") == F.col("__shard")))
+    t = F.col(name[text])
+    whole = rows.where(F.col("__draw") != F.col("__cut")).withColumn("__size", n_words(t)).where("__size > 0")
+    whole = whole.withColumn("__whole", F.col("__rounds") + F.when(F.col("__draw") < F.col("__cut"), 1).otherwise(0)).withColumn("__part", F.lit(0))
+    at = rows.where(F.col("__draw") == F.col("__cut")).withColumn("__size", n_words(t)).where("__size > 0")
+    line = W.partitionBy("__cut", "__shard", "__source").orderBy(name[key], "__size", t).rowsBetween(W.unboundedPreceding, -1)
+    part = _part(F.col("__size"), F.col("__left") - F.coalesce(F.sum("__size").over(line), F.lit(0)))
+    at = at.withColumn("__part", part).withColumn("__whole", F.col("__rounds") + F.floor(F.col("__part") / F.col("__size")))
+    at = at.withColumn("__part", F.col("__part") % F.col("__size"))
+    keep = [*names, F.col("__whole").cast("int").alias("__whole"), F.col("__part").cast("long").alias("__part")]
+    rows = whole.select(*keep).unionByName(at.select(*keep))
+    takes = F.concat(F.array_repeat(F.lit(0).cast("long"), F.col("__whole")), F.filter(F.array("__part"), lambda x: x > 0))
     rows = rows.withColumn("__take", F.explode(takes))
-    words = F.split(F.btrim(F.regexp_replace(F.col(text), WHITE, " ")), " ")
-    part = F.array_join(F.slice(words, F.lit(1), F.greatest(F.lit(1), F.col("__take")).cast("int")), " ")
-    rows = rows.withColumn(text, F.when(F.col("__take") < 0, F.col(text)).otherwise(part))
-    if chars in docs.columns:
-        rows = rows.withColumn(chars, F.when(F.col("__take") < 0, F.col(chars)).otherwise(F.length(text)).cast(docs.schema[chars].dataType))
-    return rows.select(*docs.columns)
+    words = F.split(F.btrim(F.regexp_replace(t, WHITE, " ")), " ")
+    first = F.array_join(F.slice(words, F.lit(1), F.greatest(F.lit(1), F.col("__take")).cast("int")), " ")
+    rows = rows.withColumn(name[text], F.when(F.col("__take") == 0, t).otherwise(first))
+    if chars in name:
+        n = F.col(name[chars])
+        rows = rows.withColumn(name[chars], F.when(F.col("__take") == 0, n).otherwise(F.length(t)).cast(docs.schema[chars].dataType))
+    return rows.select(*[F.col(name[c]).alias(c) for c in docs.columns])
 
 
 ORACLE = rf"""

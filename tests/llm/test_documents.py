@@ -2,7 +2,7 @@
 
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -238,6 +238,44 @@ def test_mixed_documents_hold_the_words_taken(spark):
     assert {k: t for k, (_, t) in taken.items() if t} == dict(count)
 
 
+def test_small_sources_come_near_their_targets(spark):
+    r = random.Random(31)
+    for sizes in ([15, 1], [6], [1, 1, 1], [10_000, 1, 2, 40], [r.randint(1, 10_000) for _ in range(7)]):
+        rows = [(10 * i + j, " ".join(["w"] * n), f"s{i}") for i, x in enumerate(sizes) for j, n in enumerate((x // 3, x - x // 3)) if n]
+        d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+        got = mixing.mix(d).collect()
+        source = {k: s for k, _, s in rows}
+        for s in set(source.values()):
+            mine = [x for x in got if source[x.doc_id] == s]
+            assert abs(sum(x.taken for x in mine) - mine[0].target) <= 1
+            assert all(0 <= x.taken <= 3 * x.size for x in mine)
+
+
+@pytest.mark.parametrize("cuts", [1 << 18, 0])
+def test_repeated_rows_share_what_the_mix_takes(spark, cuts):
+    """Equal ids, sizes and texts are separate rows: counts per text and their sum equal the mix, also without a broadcast."""
+    r = random.Random(5)
+    rows = [(r.choice([1, 2, 3, i]), " ".join(r.choice("abc") for _ in range(r.choice([0, 1, 9]))), r.choice(["x", "y", None])) for i in range(300)]
+    rows += [(1, "a b c d e f g h i", "x")] * 40 + [(None, "q r s", "y")] * 9
+    d = spark.createDataFrame([(*x, "other", 1) for x in rows], "doc_id long, text string, source string, rounds string, shard int")
+    want, got = defaultdict(list), defaultdict(int)
+    for x in mixing.mix(d, shard_docs=16).collect():
+        want[x.doc_id, x.size].append(x.taken)
+    out = mixing.mixed(d, shard_docs=16, cuts=cuts)
+    assert out.columns == d.columns
+    out = out.collect()
+    for x in out:
+        assert x.rounds == "other" and x.text.split()
+        got[x.doc_id] += len(x.text.split())
+    total = defaultdict(int)
+    for (k, _), t in want.items():
+        total[k] += sum(t)
+    assert {k: n for k, n in total.items() if n} == dict(got)
+    size = Counter((k, t, s) for k, t, s in rows)
+    full = Counter((x.doc_id, x.text, x.source) for x in out)
+    assert all(n <= 3 * size[k] for k, n in full.items() if k in size and len(k[1].split()) == 9)
+
+
 # ---- packing ---------------------------------------------------------------
 
 def check_packed(pieces, want):
