@@ -222,7 +222,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: di
 def op9_license_scan(spark: SparkSession, docs: DataFrame) -> DataFrame:
     base, both = F.col("places.label"), F.concat("places.label", "spans.label")
     joined = lambda a: F.array_join(F.array_sort(F.array_distinct(a)), ",")
-    return scan(docs).select(
+    return scan(docs, wrapped=True).select(
         "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
         F.array_min("places.first_word").alias("first_word"), F.array_max("places.first_word").alias("last_word"),
         joined(base).alias("base_labels"), joined(both).alias("labels"),
@@ -233,16 +233,19 @@ def _oracle() -> str:
     at = " UNION ALL ".join(
         f"SELECT doc_id, '{label}' AS label, i - 1 AS p FROM w, unnest(generate_series(1, len(x))) AS u(i) WHERE "
         + " AND ".join(f"x[i + {j}] = '{t}'" for j, t in enumerate(p.split())) for p, label in PHRASES.items())
-    sets = ", ".join(f"('{x}', [{', '.join(repr(w) for w in sorted(set(t.split())))}])" for x, t in TEMPLATES.items())
+    sets = ", ".join(f"('{x}', {len(t.split())}, [{', '.join(repr(w) for w in sorted(set(t.split())))}])" for x, t in TEMPLATES.items())
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     return rf"""
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
 w AS (SELECT doc_id, regexp_extract_all(t, '{word}') AS x FROM d),
 places AS ({at}),
 b AS (SELECT doc_id, regexp_extract_all(unnest(string_split(regexp_replace(t, '([.!?;])[\x20\x09-\x0D]', '\1' || chr(10), 'g'), chr(10))), '{word}') AS x FROM d),
-tpl(label, s) AS (VALUES {sets}),
+tpl(label, n_words, s) AS (VALUES {sets}),
 m AS (SELECT doc_id, label, len(list_intersect(list_distinct(x), s)) AS c, len(s) AS n FROM b, tpl WHERE list_has_any(x, s)),
-spans AS (SELECT doc_id, label, c / n AS containment FROM m WHERE c >= ceil({THRESHOLD} * n - 1e-9)),
+blocks AS (SELECT doc_id, label, c / n AS containment FROM m WHERE c >= ceil({THRESHOLD} * n - 1e-9)),
+h AS (SELECT doc_id, label, s, n_words, x, unnest(generate_series(1, len(x))) AS i FROM w, tpl WHERE len(list_intersect(list_distinct(x), s)) >= ceil({THRESHOLD} * len(s) - 1e-9)),
+hits AS (SELECT doc_id, label, len(s) AS n, len(list_intersect(list_distinct(list_slice(x, i, i + n_words - 1)), s)) AS c FROM h WHERE list_contains(s, x[i])),
+spans AS (SELECT * FROM blocks UNION ALL SELECT doc_id, label, c / n AS containment FROM hits WHERE c >= ceil({THRESHOLD} * n - 1e-9)),
 pa AS (SELECT doc_id, count(*) AS n_base, min(p) AS first_word, max(p) AS last_word, list(DISTINCT label) AS l FROM places GROUP BY doc_id),
 sa AS (SELECT doc_id, max(containment) AS best, list(DISTINCT label) AS l FROM spans GROUP BY doc_id)
 SELECT w.doc_id, len(x)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,

@@ -142,7 +142,7 @@ def test_license_scan_odd_rows(spark):
     got = {r.doc_id: r for r in license_scan.op9_license_scan(spark, odd.docs(spark)).collect()}
     assert (got[10].n_base, got[10].first_word, got[10].last_word, got[10].base_labels) == (3, 2, 10, "cc-by,reserved")
     assert "cc-by-nc-4.0" in got[10].labels and got[10].score == 1.0
-    assert got[11].labels == "" and got[1].n_words == 0 and got[3].score == 0.0 and got[1].first_word is None
+    assert got[11].labels == "mit" and got[1].n_words == 0 and got[3].score == 0.0 and got[1].first_word is None
     assert license_scan.op9_license_scan(spark, odd.empty(spark)).count() == 0
 
 
