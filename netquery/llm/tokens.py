@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from itertools import chain
 
 import numpy as np
@@ -28,11 +29,11 @@ class Ids:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        if len(vocabulary) > 1 << 16:
+        if self.tokenizer.get_vocab_size(with_added_tokens=False) > 1 << 16:
             raise ValueError("ids of this vocabulary need more than 16 bits")
-        self.ends = np.zeros(1 << 16, bool)             # ids that end a piece
-        self.ends[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
+        # the byte-level alphabet: bytes that print stand for themselves, others for characters from 256 on
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.alphabet = {b: 256 + i for i, b in enumerate(sorted(set(range(256)).difference(shown)))}
         self.words: dict[str, bytes] = {}               # runs without white space
         self.pieces: dict[str, bytes] = {}              # what the vocabulary's pattern cuts them into
 
@@ -40,18 +41,15 @@ class Ids:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
     def _learn(self, words: list[str]) -> None:
-        """Cache the ids of words, by one call for all new pieces in them."""
+        """Cache the ids of words. Pieces go to the vocabulary's model itself, which makes no offsets or masks."""
         if len(self.pieces) > CACHE:
             self.pieces.clear()
         parts = [_PIECE.findall(w) for w in words]
         new = list(set(chain.from_iterable(parts)).difference(self.pieces))
-        ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, "<u2")
-        end = np.flatnonzero(self.ends[ids]) + 1
-        if len(end) == len(new):
-            raw, cut = ids.tobytes(), [0, *end.tolist()]
-            self.pieces.update(zip(new, (raw[2 * a:2 * b] for a, b in zip(cut, cut[1:], strict=False)), strict=True))
-        else:                                           # not one end for each piece
-            self.pieces.update((p, self._whole(p)) for p in new)
+        tokenize, alphabet = self.tokenizer.model.tokenize, self.alphabet
+        for p in new:
+            mapped = p if p.isascii() else p.encode().decode("latin-1").translate(alphabet)
+            self.pieces[p] = array("H", [x.id for x in tokenize(mapped)]).tobytes()
         get = self.pieces.__getitem__
         self.words.update((w, b"".join(map(get, p))) for w, p in zip(words, parts, strict=True))
 
