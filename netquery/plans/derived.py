@@ -98,9 +98,15 @@ def commands(spark, sf):
     return commands_from(table(spark, sf, "events"))
 
 
-def commands_from(e):
-    """Works on a batch table or a stream of events."""
-    e = e.select("event_id", "ts", "user_id", "event_type")
+def commands_with_outcome(spark, sf):
+    """The command log with a recorded outcome: an event of value 80 and more met an obstacle."""
+    e = table(spark, sf, "events")
+    return commands_from(e, (F.col("value") >= 80).alias("obstacle"))
+
+
+def commands_from(e, *more):
+    """Works on a batch table or a stream of events; `more` columns are carried along."""
+    e = e.select("event_id", "ts", "user_id", "event_type", *more)
     i = F.col("event_id")
     et = F.col("event_type")
     line = (F.when(et == "signup", F.when(i % 3 == 0, F.lit("LOGIN ADMIN admin"))
@@ -113,7 +119,7 @@ def commands_from(e):
             .otherwise(F.when(i % 3 == 0, F.lit("LIST_USERS")).when(i % 3 == 1, F.lit("JUMP high"))
                        .otherwise(F.lit(""))))
     sid = F.concat(F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "yyyyMMdd"))
-    return e.select(i.alias("cmd_id"), sid.alias("session_id"), "user_id", "ts", line.alias("line"))
+    return e.select(i.alias("cmd_id"), sid.alias("session_id"), "user_id", "ts", line.alias("line"), *e.columns[4:])
 
 
 COMMANDS_SQL = """

@@ -53,3 +53,26 @@ def test_asof_property(spark, left, right, bucket):
     for i, (k, s) in enumerate(left):
         cand = [(rs, j) for j, (kk, rs) in enumerate(right) if kk == k and rs <= s]
         assert got[i] == (max(cand)[1] if cand else None)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(-400, 4000)), min_size=1, max_size=30),
+       st.lists(st.tuples(st.integers(0, 2), st.integers(-400, 4000), st.integers(-5, 3000)), min_size=0, max_size=30),
+       st.sampled_from([1, 7, 60, 3600]))
+def test_interval_join_property(spark, points, intervals, bucket):
+    import datetime as dt
+    t0 = dt.datetime(1970, 1, 1, 0, 10)            # buckets below and above zero
+    P = spark.createDataFrame([(i, k, t0 + dt.timedelta(seconds=s)) for i, (k, s) in enumerate(points)], "p long, k long, t timestamp_ntz")
+    V = spark.createDataFrame([(j, k, t0 + dt.timedelta(seconds=s), t0 + dt.timedelta(seconds=s + d)) for j, (k, s, d) in enumerate(intervals)],
+                              "v long, k long, a timestamp_ntz, b timestamp_ntz")
+    got = sorted((r.p, r.v) for r in J.interval_join(P, V, "t", "a", "b", bucket_seconds=bucket, on=["k"]).collect())
+    assert got == sorted((i, j) for i, (k, s) in enumerate(points) for j, (kk, a, d) in enumerate(intervals) if k == kk and a <= s <= a + d)
+
+
+def test_long_intervals_cost_few_rows(spark):
+    one = spark.sql("SELECT timestamp_ntz'2024-01-01 00:00:30' a, timestamp_ntz'2024-12-31 12:00:00' b, 1 v "
+                    "UNION ALL SELECT timestamp_ntz'2024-01-01 00:00:00' a, timestamp_ntz'2023-01-01 00:00:00' b, 2 v UNION ALL SELECT null, null, 3")
+    rows = J.dyadic_pieces(one, "a", "b", 60).collect()
+    assert {r.v for r in rows} == {1} and len(rows) <= 38
+    covered = sorted((r["__cell"] << r["__lvl"], (r["__cell"] + 1) << r["__lvl"]) for r in rows)
+    assert all(x[1] == y[0] for x, y in zip(covered, covered[1:]))          # disjoint and without gaps
