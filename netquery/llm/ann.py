@@ -18,8 +18,11 @@ any query's k nearest, so others leave the index without changing a result.
 
 Defined results: rows with a null id, a null or zero vector, null or non-finite
 components, or another length than the most frequent one take no part; rows that
-repeat id and vector count once; ties go to the smaller id; fewer candidates than
-k are all returned; an empty table gives no rows; other columns play no part."""
+repeat an id count once, with the smallest of their vectors (component by component);
+lengths are taken after division by the largest component, so very large and very
+small vectors take part, and a product beyond the range of a double is infinite, as in
+double precision, while one that is not a number is not found; ties go to the smaller id;
+fewer candidates than k are all returned; an empty table gives no rows; other columns play no part."""
 
 from __future__ import annotations
 
@@ -59,20 +62,33 @@ def matrix(col: pa.Array) -> np.ndarray:
     return flat.reshape(len(col), -1) if len(col) else np.zeros((0, 0))
 
 
+def lengths(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(largest component, length after division by it) of every row: squares neither overflow nor vanish."""
+    top = np.abs(x).max(1)
+    y = x / top[:, None]
+    return top, np.sqrt((y * y).sum(1))
+
+
 class Projection:
-    def __init__(self, dim: int, norm: float, dims: int = DIMS, seed: int = 17):
-        self.axes, self.norm = np.random.default_rng(seed).standard_normal((dim + 1, dims)), norm
+    """Of vectors divided by `scale`, the largest component of all; `norm` is the largest length after that."""
+
+    def __init__(self, dim: int, scale: float, norm: float, dims: int = DIMS, seed: int = 17):
+        self.axes, self.scale, self.norm = np.random.default_rng(seed).standard_normal((dim + 1, dims)), scale, norm
 
     def rows(self, x: np.ndarray) -> np.ndarray:
+        x = x / self.scale
         rest = np.sqrt(np.maximum(self.norm ** 2 - (x * x).sum(1), 0))
         return np.column_stack([x, rest]) @ self.axes
 
     def queries(self, q: np.ndarray) -> np.ndarray:
-        return (q * (self.norm / np.sqrt((q * q).sum(1)))[:, None]) @ self.axes[:-1]
+        top, length = lengths(q)
+        return (q / top[:, None] * (self.norm / length)[:, None]) @ self.axes[:-1]
 
-    def distance2(self, score: np.ndarray, q: np.ndarray) -> np.ndarray:
-        """Squared distance of the widened vectors with this inner product."""
-        return 2 * self.norm ** 2 - 2 * self.norm / math.sqrt(float(q @ q)) * score
+    def distance2(self, score: float, q: np.ndarray) -> float:
+        """Squared distance of the widened vectors with this inner product; of one that
+        overflowed, so large that no search ends for it."""
+        top, length = lengths(q[None, :])
+        return 2 * self.norm ** 2 - 2 * self.norm / length[0] * (score / self.scale / top[0]) if np.isfinite(score) else math.inf
 
 
 class Planes:
@@ -146,6 +162,9 @@ class Block:
         order = np.argsort(near, axis=1, kind="stable")
         limit = lambda i, score: self.projection.distance2(score, q[i]) * (1 + 1e-9) + 1e-12
         kth = np.array([limit(i, f) if np.isfinite(f) else np.inf for i, f in enumerate(floor)])
+        top, length = lengths(q)
+        with np.errstate(over="ignore", invalid="ignore"):
+            slack = 1e-9 * self.projection.norm * self.projection.scale * (top * length)         # what a product of matrices may differ by
         floor = floor.copy()
         out = [(np.zeros(0, np.int64), np.zeros(0)) for _ in q]
         active = np.arange(len(q))
@@ -155,7 +174,7 @@ class Block:
             for one in np.unique(leaf):
                 rows = active[leaf == one]
                 a, b = self.bounds[one]
-                hit, at = np.nonzero(q[rows] @ self.x[a:b].T >= floor[rows][:, None] - 1e-9 * self.projection.norm)
+                hit, at = np.nonzero(~(q[rows] @ self.x[a:b].T < (floor[rows] - slack[rows])[:, None]))
                 exact = (self.x[a:b][at] * q[rows][hit]).sum(1)
                 cuts = np.searchsorted(hit, np.arange(len(rows) + 1))
                 for j, i in enumerate(rows.tolist()):
@@ -209,7 +228,7 @@ def usable(rows: DataFrame, key: str, vector: str) -> DataFrame:
     rows = rows.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
     rows = rows.where(F.col("vec_id").isNotNull() & v.isNotNull() & (F.size("v") > 0))
     rows = rows.where(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0))
-    return rows.dropDuplicates(["vec_id", "v"])
+    return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
 def nearest(rows: DataFrame, queries, key: str = "vec_id", vector: str = "embedding", k: int = 20, chance: float = CHANCE,
@@ -218,12 +237,13 @@ def nearest(rows: DataFrame, queries, key: str = "vec_id", vector: str = "embedd
     `queries` (a condition on vec_id) holds, among all other usable rows."""
     spark = rows.sparkSession
     rows = written(usable(rows, key, vector), "vectors")
-    top = rows.groupBy(F.size("v").alias("dim")).count().orderBy(F.col("count").desc(), "dim").first()
+    largest = F.array_max(F.transform("v", F.abs))
+    top = rows.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.max(largest).alias("scale")).orderBy(F.col("n").desc(), "dim").first()
     if top is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows = rows.where(F.size("v") == top.dim)
-    norm = rows.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()[0] ** 0.5
-    projection = Projection(top.dim, norm, seed=seed)
+    norm = rows.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + (x / top.scale) * (x / top.scale)))).first()[0] ** 0.5
+    projection = Projection(top.dim, top.scale, norm, seed=seed)
     # equal vectors: the k + 1 smallest ids
     some = rows.withColumn("copy", F.row_number().over(W.partitionBy("v").orderBy("vec_id"))).where(F.col("copy") <= k + 1).drop("copy")
     some = written(some, "candidates")

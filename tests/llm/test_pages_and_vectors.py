@@ -183,3 +183,28 @@ def test_neighbours_odd_rows(spark):
 def test_chi_square_quantile():
     draws = (np.random.default_rng(0).standard_normal((200_000, 8)) ** 2).sum(1)
     assert (draws <= ann.chi_square_quantile(0.9, 8)).mean() == pytest.approx(0.9, abs=0.005)
+
+
+def test_neighbours_of_very_large_and_small_vectors(spark):
+    r = np.random.default_rng(5)
+    x = r.standard_normal((300, 6))
+    x[7], x[20], x[33], x[40], x[41] = np.eye(6)[0] * 1e200, np.eye(6)[0] * 1e200, -np.eye(6)[1] * 1e300, x[40] * 1e-200, np.eye(6)[2] * 5e-324
+    ids = list(range(300))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for row in sorted(ann.nearest(df, F.col("vec_id") % 20 == 0, k=8, cell=64, chance=0.999999).collect(), key=lambda r: r.rank):
+        got.setdefault(row.query_id, []).append((row.vec_id, row.score))
+    assert set(got) == {i for i in ids if i % 20 == 0}
+    for i in got:
+        with np.errstate(over="ignore"):
+            scores = (x * x[i]).sum(1)
+        best = sorted((j for j in ids if j != i), key=lambda j: (-scores[j], j))[:8]
+        assert [v for v, _ in got[i]] == best and all(s == scores[v] for v, s in got[i])
+    assert got[20][0] == (7, float("inf"))
+
+
+def test_neighbours_of_repeated_ids(spark):
+    rows = [(0, [3.0, 1.0]), (0, [1.0, 0.0]), (1, [0.5, 9.0]), (1, [2.0, 0.0]), (1, [2.0, 0.0]), (2, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in ann.op8_nearest_neighbours(spark, df).collect())
+    assert got == [(0, 1, 2, 1.0), (0, 2, 1, 0.5)]
