@@ -105,26 +105,60 @@ def test_detection_run_writes_reports_and_winner(spark, prep):
     assert best.transform(raw).count() == raw.count()
 
 
-def test_knn_exact_across_chunks(spark):
+def _brute_neighbours(tr, te, k):
+    import numpy as np
+    x = np.array([t[1] for t in tr])
+    out = {}
+    for vid, v, _ in te:
+        d = np.sqrt(((x - np.array(v)) ** 2).sum(axis=1))
+        out[vid] = [tr[i][0] for i in sorted(range(len(tr)), key=lambda i: (d[i], tr[i][0]))[:k]]
+    return out
+
+
+def _neighbours(rows):
+    got = {}
+    for r in sorted(rows, key=lambda r: r.rank):
+        got.setdefault(r.test_key, []).append(r.train_key)
+    return got
+
+
+def test_knn_exact_across_cells(spark):
     import numpy as np
 
     from netquery.models.knn import knn_neighbours, knn_predict
     rng = np.random.default_rng(9)
-    tr = [(i, rng.normal(size=6).tolist(), int(rng.integers(0, 2))) for i in range(230)]
-    te = [(1000 + j, rng.normal(size=6).tolist(), 0) for j in range(40)]
+    # spread rows, a third of all rows in one place, and large coordinates
+    tr = [(i, rng.normal(size=6).tolist(), int(rng.integers(0, 2))) for i in range(150)] + [(200 + i, [1.0] * 6, 1) for i in range(80)]
+    tr += [(400 + i, (1e6 + rng.normal(size=6)).tolist(), 0) for i in range(20)]
+    te = [(1000 + j, rng.normal(size=6).tolist(), 0) for j in range(30)] + [(1100, [1.0] * 6, 0), (1101, [1e6] * 6, 0)]
     schema = "vid long, v array<double>, y int"
-    TR, TE = spark.createDataFrame(tr, schema), spark.createDataFrame(te, schema)
-    nb = knn_neighbours(TR, TE, "vid", "v", "y", k=5, chunk_rows=37, checkpoint_every=2).collect()
-    got = {}
-    for r in nb:
-        got.setdefault(r.test_key, []).append((r.rank, r.train_key))
-    X = np.array([t[1] for t in tr])
-    for vid, v, _ in te:
-        d = np.sqrt(((X - np.array(v)) ** 2).sum(axis=1))
-        exp = [tr[i][0] for i in sorted(range(len(tr)), key=lambda i: (d[i], tr[i][0]))[:5]]
-        assert [t for _, t in sorted(got[vid])] == exp
-    pred = {r.vid: r.prediction for r in knn_predict(TR, TE, "vid", "v", "y", 5, chunk_rows=50).collect()}
+    TR, TE = spark.createDataFrame(tr, schema), spark.createDataFrame([*te, (1102, None, 0)], schema)
+    got = _neighbours(knn_neighbours(TR, TE, "vid", "v", "y", k=5, cell_rows=20, block_rows=13, visit_rows=7).collect())
+    assert got == _brute_neighbours(tr, te, 5)
+    pred = {r.vid: r.prediction for r in knn_predict(TR, TE, "vid", "v", "y", 5, cell_rows=50).collect()}
     assert len(pred) == len(te)
+    few = _neighbours(knn_neighbours(TR.where("vid < 3"), TE, "vid", "v", "y", k=5).collect())
+    assert all(sorted(v) == [0, 1, 2] for v in few.values()) and len(few) == len(te)
+    assert knn_neighbours(TR.where("false"), TE, "vid", "v", "y").count() == 0
+
+
+def test_knn_visits_few_cells_of_clustered_rows(spark):
+    import math
+
+    import numpy as np
+
+    from netquery.models.knn import Cells, knn_neighbours
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(25, 8)) * 10
+    point = lambda i: (centres[i % 25] + rng.normal(size=8) * 0.1).tolist()
+    tr, te = [(i, point(i), 0) for i in range(1500)], [(5000 + i, point(i), 0) for i in range(50)]
+    schema = "vid long, v array<double>, y int"
+    TR, TE = spark.createDataFrame(tr, schema), spark.createDataFrame(te, schema)
+    assert _neighbours(knn_neighbours(TR, TE, "vid", "v", "y", k=5, cell_rows=30).collect()) == _brute_neighbours(tr, te, 5)
+    cells = Cells(TR, "vid", "v", "y", 30)
+    asked = TE.select(F.col("vid").alias("test_key"), "v", F.lit(0.6).alias("bound"))
+    met = sum(int(cells.size[r.cell]) for first in (True, False) for r in cells.visits(asked if not first else asked.withColumn("bound", F.lit(math.inf)), 5, first).collect())
+    assert met < 0.25 * len(tr) * len(te)
 
 
 def test_per_model_reports_and_csv_scoring(spark, prep):
