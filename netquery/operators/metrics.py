@@ -179,6 +179,11 @@ def union_results(*dfs: DataFrame) -> DataFrame:
 
 
 def argmax_first(df: DataFrame, metric: str, order: str, by=()) -> DataFrame:
-    """WN7: best row by metric; the earliest (by `order`) of equals wins (strict >)."""
-    w = Window.partitionBy(*by).orderBy(F.col(metric).desc(), F.col(order).asc())
+    """WN7: best row by metric; the earliest (by `order`) of equals wins (strict >).
+    Without groups it is a top-1 (one row of each task reaches the last one); with
+    groups Spark's window group limit keeps one row of each before the shuffle."""
+    best = [F.col(metric).desc(), F.col(order).asc()]
+    if not by:
+        return df.orderBy(*best).limit(1)
+    w = Window.partitionBy(*by).orderBy(*best)
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")

@@ -37,7 +37,9 @@ def bucket_of(key_col, splits: list[float]):
         return F.lit(0)
     arr = F.array(*[F.lit(s) for s in splits])
     k = key_col.cast("double")
-    return F.size(F.filter(arr, lambda s: s < k))
+    # binary search: log2 of the splits in comparisons a row; a step beyond the array compares with null
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(splits).bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(arr, at + step - 1) < k, at + step).otherwise(at))
 
 
 def running_sum(df: DataFrame, order, values: list[str], *, by=(), descending: bool = False,

@@ -16,8 +16,9 @@ _SQL_CATS = {
     "service": ["high", "low", "medium", "not_specified", "urgent", "x11"],
     "flag": ["REJ", "S0", "SF"],
 }
-NUMERIC = ["duration", "src_bytes", "dst_bytes", "hot", "count", "srv_count", "serror_rate", "rerror_rate",
-           "same_srv_rate", "land"]
+# the numeric columns that the derivation fills, and one that is constant; all others are constant 0 too
+NUMERIC = ["duration", "src_bytes", "dst_bytes", "hot", "logged_in", "count", "srv_count", "serror_rate", "rerror_rate",
+           "same_srv_rate", "dst_host_count", "land"]
 
 
 def split_frames(spark, sf):
@@ -54,14 +55,13 @@ def _train_cats_sql():
 WITH {_train_cats_sql()}, t AS ({CONNECTION_SQL})
 SELECT t.conn_id, tc.c || '_' || tc.v AS feature
 FROM t JOIN tc ON (tc.c = 'protocol_type' AND t.protocol_type = tc.v) OR (tc.c = 'service' AND t.service = tc.v)
-             OR (tc.c = 'flag' AND t.flag = tc.v)
-WHERE t.split = 'test'""")
+             OR (tc.c = 'flag' AND t.flag = tc.v)""")
 def q_one_hot_long(spark, sf):
-    """FE1 with train categories applied to test rows, reported as the
+    """FE1 with train categories applied to train and test rows, reported as the
     (row, feature) pairs whose dummy is 1 (test-only values give none)."""
-    train, test = split_frames(spark, sf)
-    cats, cols = train_columns(train)
-    w = FE.one_hot(test.select("conn_id", *CATEGORICAL_COLUMNS), CATEGORICAL_COLUMNS, cats)
+    rows = connection_records(spark, sf)
+    cats, cols = train_columns(rows.where("split = 'train'"))
+    w = FE.one_hot(rows.select("conn_id", *CATEGORICAL_COLUMNS), CATEGORICAL_COLUMNS, cats)
     arr = F.array(*[F.when(F.col(f"`{c}`") == 1, F.lit(c)) for c in cols])
     return w.select("conn_id", F.explode(F.filter(arr, lambda x: x.isNotNull())).alias("feature"))
 
@@ -116,13 +116,13 @@ def _scale_sql(with_mean: bool):
         for c in NUMERIC)
     return f"""
 WITH t AS ({CONNECTION_SQL}), st AS (SELECT {stats} FROM t WHERE split = 'train')
-SELECT conn_id, {cols} FROM t, st WHERE split = 'test'"""
+SELECT conn_id, {cols} FROM t, st"""
 
 
 def _scaled(spark, sf, with_mean):
-    train, test = split_frames(spark, sf)
-    params = FE.scale_fit(train, NUMERIC, with_mean=with_mean)
-    s = FE.scale_apply(test.select("conn_id", *NUMERIC), params)
+    rows = connection_records(spark, sf)
+    params = FE.scale_fit(rows.where("split = 'train'"), NUMERIC, with_mean=with_mean)
+    s = FE.scale_apply(rows.select("conn_id", *NUMERIC), params)
     return s.select("conn_id", *[rnd(c).alias(c) for c in NUMERIC])
 
 
@@ -141,12 +141,11 @@ def q_scale_with_mean(spark, sf):
 @query("assemble_vector", oracle=f"""
 WITH t AS ({CONNECTION_SQL})
 SELECT conn_id, {len(NUMERIC)} AS size, round({" + ".join(f"CAST({c} AS DOUBLE)" for c in NUMERIC)}, 6) AS total
-FROM t WHERE split = 'test'""")
+FROM t""")
 def q_assemble_vector(spark, sf):
     """FE4: VectorAssembler over the numeric columns; size and element sum."""
     from pyspark.ml.functions import vector_to_array
-    _, test = split_frames(spark, sf)
-    v = FE.assemble(test.select("conn_id", *NUMERIC), NUMERIC)
+    v = FE.assemble(connection_records(spark, sf).select("conn_id", *NUMERIC), NUMERIC)
     arr = vector_to_array("features")
     return v.select("conn_id", F.size(arr).alias("size"),
                     rnd(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x)).alias("total"))
