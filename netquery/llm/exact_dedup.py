@@ -7,7 +7,8 @@ decides which row stays; inside a batch it is the smallest id.
 
 Defined results: a null text counts as empty; empty texts equal each other; a
 null id never stays before another id; an empty batch appends nothing; repeated
-rows (same id and text) are members of one group; other columns play no part."""
+rows (same id and text) are members of one group, of which one row stays, the first in the
+order of the digested table; other columns play no part."""
 
 from __future__ import annotations
 
@@ -56,12 +57,12 @@ def digest_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
 def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", batches: int = 2,
                 index: DigestIndex | None = None, buckets: int | None = None) -> DataFrame:
-    """One row per input row: doc_id, digest, keep_id, group_size, kept. The rows
-    enter the index in `batches` batches by rising id. Groups of over 1 / HEAVY
+    """One row per input row: doc_id, digest, keep_id, group_size, kept; of the rows with
+    the id that stays, one is kept. The rows enter the index in `batches` batches by rising id. Groups of over 1 / HEAVY
     of all rows (at most HEAVY of them) meet their rows by broadcast, all others
     by a sort-merge join whose keys are then bounded."""
-    spark = docs.sparkSession
-    rows = written(digest_rows(docs, key, text), "digests")
+    spark, own = docs.sparkSession, index is None
+    rows = written(digest_rows(docs, key, text).withColumn("n", F.monotonically_increasing_id()), "digests")        # n is fixed once written
     # one row: counts and the cuts between the batches
     total, cuts = rows.agg(F.count(F.lit(1)), F.percentile_approx("doc_id", [i / batches for i in range(1, batches)] or [0.5])).first()
     buckets = buckets or max(8, min(4096, total // 500_000))
@@ -71,15 +72,17 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", batche
         part = part + F.coalesce(F.col("doc_id") > c, F.lit(True)).cast("int")
     for i in range(batches):
         index.add(rows.where(part == i))
-    sizes = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"))
+    sizes = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n"))["n"].alias("first"))
     groups = written(index.rows().hint("merge").join(sizes, "digest"), "digest-groups")
     heavy = F.col("group_size") * HEAVY > F.lit(total)
     few = F.broadcast(groups.where(heavy).withColumn("heavy", F.lit(True)))     # at most HEAVY rows
     marked = rows.join(few, "digest", "left")
-    light = marked.where(F.col("heavy").isNull()).select("doc_id", "digest").join(groups.where(~heavy), "digest")
-    full = marked.where(F.col("heavy")).select("doc_id", "digest", "keep_id", "group_size").unionByName(
-        light.select("doc_id", "digest", "keep_id", "group_size"))
-    return full.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    light = marked.where(F.col("heavy").isNull()).select("doc_id", "digest", "n").join(groups.where(~heavy), "digest")
+    found = ["doc_id", "digest", "keep_id", "group_size", "n", "first"]
+    full = marked.where(F.col("heavy")).select(*found).unionByName(light.select(*found))
+    if own:
+        spark.sql(f"DROP TABLE {index.name}")          # its name in the catalog; the files stay
+    return full.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n") == F.col("first"))).drop("n", "first")
 
 
 def op4_exact_dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -91,7 +94,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     """The rows of `docs` that stay, with their own columns. Of rows that repeat
     the staying id with an equal text, one stays; only such rows, marked by their
     count, meet in a second shuffle."""
-    kept = (exact_dedup(docs, key, text).where("kept").groupBy("doc_id", "digest")
+    kept = (exact_dedup(docs, key, text).where("doc_id <=> keep_id").groupBy("doc_id", "digest")
             .agg(F.count(F.lit(1)).alias("__n")).withColumnsRenamed({"doc_id": "__k", "digest": "__d"}))
     rows = docs.withColumn("__digest", digest_of(F.col(text)))
     rows = rows.join(written(kept, "kept"), F.col(key).cast("long").eqNullSafe(F.col("__k")) & (F.col("__digest") == F.col("__d")))

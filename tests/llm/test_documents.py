@@ -56,7 +56,8 @@ def test_exact_dedup_odd_rows(spark):
         by[r.doc_id].append(r)
     assert by[0][0].group_size == 3 and by[0][0].kept and by[4][0].keep_id == 0 and not by[4][0].kept
     assert by[1][0].keep_id == 1 and by[2][0].keep_id == 1 and by[3][0].keep_id == 3      # null and empty are equal; a blank text is one space
-    assert [r.kept for r in by[9]] == [True, True] and by[9][0].group_size == 2
+    assert sorted(r.kept for r in by[9]) == [False, True] and by[9][0].group_size == 2         # one of two equal rows stays
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("digest_index")]
     assert exact_dedup.op4_exact_dedup(spark, odd.empty(spark)).count() == 0
 
 
