@@ -56,6 +56,21 @@ def numeric_columns(df: DataFrame, exclude_prefixes=(), require_binary_for_exclu
     return [c for c in num if c not in binary]
 
 
+def numeric_column_rules(df: DataFrame, exclude_prefixes=()) -> DataFrame:
+    """PR6 as rows: every numeric column of `df`, whether its name starts with a dummy
+    prefix, whether it holds a value other than 0 and 1, and whether it stays by the prefix
+    alone and by the stricter rule (prefix and 0/1 content). One aggregate pass with map-side
+    combine over all rows; the result has a row for each column. Columns that are empty or all null hold
+    no other value."""
+    num = [f.name for f in df.schema.fields
+           if f.dataType.typeName() in ("integer", "long", "double", "float", "short", "byte", "decimal")]
+    other = df.agg(*[F.coalesce(F.max(~F.col(f"`{c}`").isin(0, 1)), F.lit(False)).alias(f"o{i}") for i, c in enumerate(num)])
+    each = [F.struct(F.lit(c).alias("column"), F.lit(any(c.startswith(p) for p in exclude_prefixes)).alias("prefixed"), F.col(f"o{i}").alias("other_values"))
+            for i, c in enumerate(num)]
+    return (other.select(F.inline(F.array(*each)))
+            .withColumns({"by_prefix": ~F.col("prefixed"), "by_prefix_and_binary": ~F.col("prefixed") | F.col("other_values")}))
+
+
 def scale_fit(df: DataFrame, cols: list[str], with_mean: bool = False) -> dict[str, tuple[float, float]]:
     """FE2/FE3 fit: population std (and mean) per column in one aggregate pass;
     a zero-variance column keeps scale 1, as the reference library does."""

@@ -109,3 +109,13 @@ def test_sampling_is_partition_independent(spark):
     assert all(max(v) - min(v) <= 1 for v in per.values())
     bw = SM.bootstrap_weights(df.limit(2000), "k", 20).groupBy("replicate").agg(F.avg("weight").alias("m")).collect()
     assert all(abs(r.m - 1.0) < 0.1 for r in bw)
+
+
+def test_numeric_column_rules(spark):
+    df = spark.createDataFrame([(1, 0, 7, 0.0, "a", None), (2, 1, 0, 1.0, "b", None)], "n long, flag_S0 int, flag_rate int, flag_x double, flag_text string, flag_none int")
+    got = {r["column"]: (r.prefixed, r.other_values, r.by_prefix, r.by_prefix_and_binary) for r in FE.numeric_column_rules(df, ("flag_",)).collect()}
+    assert got == {"n": (False, True, True, True), "flag_S0": (True, False, False, False), "flag_rate": (True, True, False, True),
+                   "flag_x": (True, False, False, False), "flag_none": (True, False, False, False)}
+    for strict, col in ((False, 2), (True, 3)):
+        assert FE.numeric_columns(df.drop("flag_none"), ("flag_",), require_binary_for_exclusion=strict) == [c for c, v in got.items() if v[col]]
+    assert FE.numeric_column_rules(df.where("false"), ("flag_",)).count() == 5
