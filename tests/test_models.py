@@ -185,3 +185,36 @@ def test_per_model_reports_and_csv_scoring(spark, prep):
 def test_training_partitions_are_a_given_number(spark):
     recs = connection_records(spark, SF0001)
     assert B.prepare(recs, partitions=3).train.rdd.getNumPartitions() == 3
+
+
+def _counted(spark, recs):
+    """The records, and an accumulator of how many rows were made."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def seen(v):
+        made.add(1)
+        return v
+    return recs.withColumn("duration", seen.asNondeterministic()("duration")), made
+
+
+def test_training_partitions_grow_with_the_rows_and_records_are_made_once(spark):
+    recs, made = _counted(spark, connection_records(spark, SF0001))
+    p = B.prepare(recs, balanced=True, partitions=3, partition_rows=500)
+    n, m = p.train.count(), p.test.count()
+    assert n > 2000 and p.train.rdd.getNumPartitions() == -(-n // 500) > 3 and p.test.rdd.getNumPartitions() == max(3, -(-m // 500))
+    assert made.value == n + m
+    p.release()
+
+
+def test_class_weights_move_no_rows_to_their_label(spark):
+    from netquery.operators.stats import with_class_weights
+    df = spark.createDataFrame([(i, float(i % 4 == 0)) for i in range(40)] + [(40, None)], "k long, label double")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        w = with_class_weights(df)
+        assert "SortMergeJoin" not in w._jdf.queryExecution().toString()
+        assert {(r.label, r.weight) for r in w.collect()} == {(0.0, 41 / (3 * 30)), (1.0, 41 / (3 * 10)), (None, None)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
