@@ -218,3 +218,11 @@ def test_class_weights_move_no_rows_to_their_label(spark):
         assert {(r.label, r.weight) for r in w.collect()} == {(0.0, 41 / (3 * 30)), (1.0, 41 / (3 * 10)), (None, None)}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_regression_variants_share_one_set_of_records(spark, monkeypatch):
+    from netquery.plans import models_q as MQ
+    recs, made = _counted(spark, connection_records(spark, SF0001))
+    monkeypatch.setattr(MQ, "connection_records", lambda spark, sf: recs)
+    assert MQ.q_regression_linear(spark, SF0001).count() == 2
+    assert made.value == connection_records(spark, SF0001).count()
