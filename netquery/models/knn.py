@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from ..session import ensure_checkpoint_dir
 
 PIVOTS = 1024
+AT_ONCE = 8192               # visits that a task holds at once, and those of one row more
 SLACK = 1 + 1e-9             # distances are compared with this margin, so rounding loses no neighbour
 
 
@@ -62,9 +63,12 @@ def _placed(shared):
     def run(batches):
         turn = 0
         for pdf in batches:
-            far = [distances(np.asarray(v), shared.value) for v in pdf["__v"]]
-            cell = np.array([d.argmin() for d in far], "int32")
-            yield pd.DataFrame({"cell": cell, "far": [d[c] for d, c in zip(far, cell)], "turn": np.arange(turn, turn + len(pdf)), **{c: pdf[c] for c in pdf.columns}})
+            cell, far = np.zeros(len(pdf), "int32"), np.zeros(len(pdf))
+            for i, v in enumerate(pdf["__v"]):
+                d = distances(np.asarray(v), shared.value)
+                cell[i] = d.argmin()
+                far[i] = d[cell[i]]
+            yield pd.DataFrame({"cell": cell, "far": far, "turn": np.arange(turn, turn + len(pdf)), **{c: pdf[c] for c in pdf.columns}})
             turn += len(pdf)
     return run
 
@@ -84,22 +88,30 @@ def open_cells(d: np.ndarray, bound: float, size: np.ndarray, least: np.ndarray,
     return np.flatnonzero((size > 0) & (np.maximum(d - most, least - d) <= bound + slack) & (plane <= bound + slack * (1 + d / np.maximum(between[home], 1e-300))))
 
 
-def _visits(shared, k: int, first: bool):
+def _visits(shared, k: int, first: bool, at_once: int = AT_ONCE):
     def run(batches):
         pivots, size, least, most, between = shared.value
         turn = 0
+
+        def out(pdf, to):
+            nonlocal turn
+            n = [len(t) for t in to]
+            rows = pdf.loc[np.repeat(pdf.index, n)].reset_index(drop=True)
+            rows.insert(0, "cell", np.concatenate(to).astype("int32") if to else np.zeros(0, "int32"))
+            rows.insert(1, "turn", np.arange(turn, turn + len(rows)))
+            turn += len(rows)
+            return rows
         for pdf in batches:
-            to = []
-            for v, bound in zip(pdf["v"], pdf["bound"]):
+            to, held, start = [], 0, 0
+            for i, (v, bound) in enumerate(zip(pdf["v"], pdf["bound"])):
                 d = distances(np.asarray(v), pivots)
                 near = near_cells(d, size, k)
                 to.append(near if first else np.setdiff1d(open_cells(d, bound, size, least, most, between), near))
-            n = [len(t) for t in to]
-            out = pdf.loc[np.repeat(pdf.index, n)].reset_index(drop=True)
-            out.insert(0, "cell", np.concatenate(to).astype("int32") if to else np.zeros(0, "int32"))
-            out.insert(1, "turn", np.arange(turn, turn + len(out)))
-            turn += len(out)
-            yield out
+                held += len(to[-1])
+                if held >= at_once:
+                    yield out(pdf.iloc[start:i + 1], to)
+                    to, held, start = [], 0, i + 1
+            yield out(pdf.iloc[start:], to)
     return run
 
 

@@ -226,3 +226,23 @@ def test_regression_variants_share_one_set_of_records(spark, monkeypatch):
     monkeypatch.setattr(MQ, "connection_records", lambda spark, sf: recs)
     assert MQ.q_regression_linear(spark, SF0001).count() == 2
     assert made.value == connection_records(spark, SF0001).count()
+
+
+def test_visits_of_a_batch_come_in_bounded_parts():
+    """Where most cells stay open a row visits them all; a task holds the visits of few rows at once, whatever the batch holds."""
+    import numpy as np
+    import pandas as pd
+
+    from netquery.models import knn as K
+
+    class Sent:
+        value = None
+    rng = np.random.default_rng(5)
+    pivots = rng.normal(size=(50, 8))
+    Sent.value = pivots, np.full(50, 10), np.zeros(50), np.full(50, 20.0), np.array([K.distances(p, pivots) for p in pivots])
+    pdf = pd.DataFrame({"test_key": np.arange(300), "v": list(rng.normal(size=(300, 8))), "bound": 9.0})
+    parts = list(K._visits(Sent, 5, False, 200)([pdf, pdf.iloc[:0]]))
+    assert max(map(len, parts)) < 200 + 50
+    got = pd.concat(parts, ignore_index=True)
+    assert len(got) == 300 * 49 and (got["turn"] == np.arange(len(got))).all() and (got.groupby("test_key")["cell"].nunique() == 49).all()
+    assert all((a == b).all() for a, b in zip(got["v"][::97], pdf["v"].iloc[got["test_key"][::97]]))
