@@ -81,40 +81,50 @@ def session_windows(events: DataFrame, key: str, gap: str = "30 minutes", delay:
 
 
 ADMIN_OUT = "cmd_id long, session_id string, is_admin int, n_commands long"
-ADMIN_STATE = "admin_ts long, admin_id long, n long"
+ADMIN_STATE = "sessions array<string>, admin_ts array<long>, admin_id array<long>, n array<long>"
+STATE_BUCKETS = 16384        # groups of the session state; a group holds the sessions of one hash bucket
 
 
 def _admin_state_fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Per session: admin flag in force for each command and a running count.
-    State = (first admin login (micros, id), commands seen). Vectorised: the
+    """For the sessions of a bucket: admin flag in force for each command and a running count.
+    State = for each session (first admin login (micros, id), commands seen). Vectorised: the
     flag is "strictly after the earliest successful admin login"."""
     import numpy as np
-    adm_ts, adm_id, n = state.get if state.exists else (None, None, 0)
+    names, logins, ids, seen = state.get if state.exists else ((), (), (), ())
     pdf = pd.concat(list(batches), ignore_index=True)
-    us = pdf["us"].to_numpy(dtype="int64")
-    cid = pdf["cmd_id"].to_numpy(dtype="int64")
-    order = np.lexsort((cid, us))
-    us, cid, ok = us[order], cid[order], pdf["admin_login"].to_numpy(dtype=bool)[order]
+    known = len(names)
+    code, who = pd.factorize(np.array([*names, *pdf["session_id"]], dtype=object), use_na_sentinel=False)    # the known ones first
+    m, at = len(who), code[known:]
+    has, t, i, n = np.zeros(m, dtype=bool), *np.zeros((3, m), dtype="int64")
+    has[:known] = [v is not None for v in logins]
+    t[:known], i[:known], n[:known] = [v or 0 for v in logins], [v or 0 for v in ids], seen
+    us, cid = pdf["us"].to_numpy(dtype="int64"), pdf["cmd_id"].to_numpy(dtype="int64")
+    order = np.lexsort((cid, us, at))
+    at, us, cid, ok = at[order], us[order], cid[order], pdf["admin_login"].to_numpy(dtype=bool)[order]
     hits = np.flatnonzero(ok)
-    if len(hits) and (adm_ts is None or (us[hits[0]], cid[hits[0]]) < (adm_ts, adm_id)):
-        adm_ts, adm_id = int(us[hits[0]]), int(cid[hits[0]])
-    if adm_ts is None:
-        flags = np.zeros(len(us), dtype="int32")
-    else:
-        flags = ((us > adm_ts) | ((us == adm_ts) & (cid > adm_id))).astype("int32")
-    counts = n + np.arange(1, len(us) + 1, dtype="int64")
-    state.update((adm_ts, adm_id, int(n + len(us))))
-    yield pd.DataFrame({"cmd_id": cid, "session_id": key[0], "is_admin": flags, "n_commands": counts})
-
-
-def session_state_stream(commands: DataFrame, password: str = "admin") -> DataFrame:
+    s, first = np.unique(at[hits], return_index=True)
+    nt, ni = us[hits[first]], cid[hits[first]]
+    earlier = ~has[s] | (nt < t[s]) | ((nt == t[s]) & (ni < i[s]))
+    s = s[earlier]
+    has[s], t[s], i[s] = True, nt[earlier], ni[earlier]
+    flags = (has[at] & ((us > t[at]) | ((us == t[at]) & (cid > i[at])))).astype("int32")
+    counts = n[at] + np.arange(1, len(at) + 1) - np.searchsorted(at, np.arange(m))[at]
+    n += np.bincount(at, minlength=m)
+    own = [None if pd.isna(v) else v for v in who]
+    state.update((own, [v if h else None for h, v in zip(has, t.tolist())], [v if h else None for h, v in zip(has, i.tolist())], n.tolist()))
+    yield pd.DataFrame({"cmd_id": cid, "session_id": np.array(own, dtype=object)[at], "is_admin": flags, "n_commands": counts})
+
+
+def session_state_stream(commands: DataFrame, password: str = "admin", buckets: int = STATE_BUCKETS) -> DataFrame:
     """SS7: keyed state per session with applyInPandasWithState. Commands of a
     session arrive in event-time order within a micro-batch (sorted here);
-    the state carries the admin login across batches."""
+    the state carries the admin login across batches. Sessions are many and small, and each group
+    is a call of its own, so the sessions of a hash bucket share one; more sessions make its arrays longer."""
     p = TX.parse_commands(commands, "line")
     ok = (F.col("verb") == "LOGIN") & (F.col("arg1") == "ADMIN") & F.col("arg2").eqNullSafe(F.lit(password))
-    x = p.select("session_id", "cmd_id", epoch_micros("ts").alias("us"), ok.alias("admin_login"))
-    return x.groupBy("session_id").applyInPandasWithState(
+    x = p.select("session_id", "cmd_id", F.coalesce(epoch_micros("ts"), F.lit(-1 << 63)).alias("us"), F.coalesce(ok, F.lit(False)).alias("admin_login"),
+                 F.pmod(F.xxhash64("session_id"), F.lit(buckets)).alias("bucket"))
+    return x.groupBy("bucket").applyInPandasWithState(
         _admin_state_fn, ADMIN_OUT, ADMIN_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
