@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..models.own import materialised
 from ..operators import features as FE
 from ..sources.readers import CATEGORICAL_COLUMNS, FEATURE_COLUMNS
 from .derived import CONNECTION_SQL, connection_records
@@ -59,11 +60,10 @@ FROM t JOIN tc ON (tc.c = 'protocol_type' AND t.protocol_type = tc.v) OR (tc.c =
 def q_one_hot_long(spark, sf):
     """FE1 with train categories applied to train and test rows, reported as the
     (row, feature) pairs whose dummy is 1 (test-only values give none)."""
-    rows = connection_records(spark, sf)
-    cats, cols = train_columns(rows.where("split = 'train'"))
+    rows = materialised(connection_records(spark, sf).select("conn_id", "split", *CATEGORICAL_COLUMNS), "records")
+    cats, _ = train_columns(rows.where("split = 'train'"))
     w = FE.one_hot(rows.select("conn_id", *CATEGORICAL_COLUMNS), CATEGORICAL_COLUMNS, cats)
-    arr = F.array(*[F.when(F.col(f"`{c}`") == 1, F.lit(c)) for c in cols])
-    return w.select("conn_id", F.explode(F.filter(arr, lambda x: x.isNotNull())).alias("feature"))
+    return FE.set_dummies(w, CATEGORICAL_COLUMNS, cats, ["conn_id"])
 
 
 @query("align_to_train", oracle=f"""

@@ -119,3 +119,27 @@ def test_numeric_column_rules(spark):
     for strict, col in ((False, 2), (True, 3)):
         assert FE.numeric_columns(df.drop("flag_none"), ("flag_",), require_binary_for_exclusion=strict) == [c for c, v in got.items() if v[col]]
     assert FE.numeric_column_rules(df.where("false"), ("flag_",)).count() == 5
+
+
+def test_set_dummies_are_the_long_form_of_the_wide_one(spark):
+    df = spark.createDataFrame([(1, "a", "x"), (2, "b", None), (3, "new", "y"), (4, None, None)], "k int, c string, d string")
+    cats = {"c": ["a", "b"], "d": ["x", "y"]}
+    got = FE.set_dummies(FE.one_hot(df, ["c", "d"], cats), ["c", "d"], cats, ["k"])
+    assert sorted(map(tuple, got.collect())) == [(1, "c_a"), (1, "d_x"), (2, "c_b"), (3, "d_y")]
+    none = {"c": [], "d": []}
+    assert FE.set_dummies(FE.one_hot(df, ["c", "d"], none), ["c", "d"], none, ["k"]).count() == 0
+
+
+def test_one_hot_long_makes_its_records_once(spark, monkeypatch):
+    from conftest import SF0001
+    from netquery.plans import features_q as Q
+    from netquery.plans.derived import connection_records
+    made, recs = spark.sparkContext.accumulator(0), connection_records(spark, SF0001)
+
+    @F.udf("string")
+    def seen(v):
+        made.add(1)
+        return v
+    monkeypatch.setattr(Q, "connection_records", lambda spark, sf: recs.withColumn("flag", seen.asNondeterministic()("flag")))
+    n = recs.count()
+    assert Q.q_one_hot_long(spark, SF0001).count() > 2 * n and made.value == n
