@@ -279,3 +279,27 @@ def test_one_class_and_constant_features(spark):
     df = VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
     for e in (O.ExtraTreesClassifier(numTrees=2), O.LeafwiseBoostingClassifier(maxIter=2), O.ForestRegressor(numTrees=2), O.OrderedBoostingClassifier(maxIter=2), O.AdaBoostClassifier(maxIter=2)):
         assert e.fit(df).transform(df).where("prediction IS NULL").count() == 0
+
+
+def test_finished_subtrees_stay_arrays_and_make_the_same_tree(spark):
+    """A full tree has as many nodes as rows: the driver holds those below the finished nodes as arrays, and where the
+    nodes were finished does not show in the tree."""
+    from pyspark.ml.linalg import Vectors
+    rng = np.random.default_rng(3)
+    rows = [(Vectors.dense(v.tolist()), float(y)) for v, y in zip(rng.normal(size=(600, 4)), rng.normal(size=600))]
+    df = spark.createDataFrame(rows, ["features", "label"])
+    bins = T.fit_bins(df, 64)
+    table = T.binned(df, bins, F.col("label").alias("y"))
+
+    def sums(b, t):
+        y = b.column(b.schema.get_field_index("y")).to_numpy(zero_copy_only=False)
+        return np.stack([np.ones(len(y)), np.ones(len(y)), y], 1)
+    part, rule = T.Rows(table, bins, sums), T.Rule("variance")
+    root = T.root_sums(part, [0])
+    size = len(bins.cuts) + 24
+    whole, parts = (T.grow_forest(part, rule, [0], root, finish=n * size)[0] for n in (600, 100))
+    assert len(whole.feature) == 1 and len(whole.subs) == 1 and len(parts.subs) > 3 and len(parts.feature) < 100
+    x = rng.integers(0, 64, size=(500, 4)).astype(np.uint8)
+    a, b = whole.tree(rule), parts.tree(rule)
+    assert len(a.feature) == len(b.feature) > 600 and sorted(a.value) == pytest.approx(sorted(b.value))
+    assert a.value[a.leaves(x)] == pytest.approx(b.value[b.leaves(x)])
