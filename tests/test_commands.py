@@ -191,3 +191,33 @@ def test_rate_limit_n_hot_key_over_tree(spark):
     for fan, block in ((64, 5), (1024, 3600)):
         got = {r.id: r.accepted for r in S.rate_limit_n(df, ["k"], "ts", "id", 5, block_seconds=block, fan=fan).collect()}
         assert got == expect, (fan, block)
+
+
+def test_open_lists_stay_inside_the_row(spark):
+    """A point meets its intervals in a list of its own row, not in a row for each pair."""
+    r = random.Random(5)
+    t0 = dt.datetime(2024, 1, 1, 22, 30)
+    at = lambda: t0 + dt.timedelta(minutes=r.randrange(240))
+    iv = [(f"u{i}" if i % 9 else None, *(x if i % 7 == 0 else sorted(x))) for i in range(60) for x in [[at(), at()]]]
+    asks = [(i, None if i % 4 == 0 else [t] * (1 + i % 2)) for i in range(80) for t in [at()]]
+    points = spark.createDataFrame(asks, "id long, at array<timestamp_ntz>")
+    intervals = spark.createDataFrame(iv, "v string, s timestamp_ntz, e timestamp_ntz")
+    got = J.attach_open(points, intervals, "at", "s", "e", F.col("v")).select("id", J.open_values("open", "at").alias("v")).collect()
+    assert len(got) == len(asks)
+    want = {i: sorted(v for t in ts for v, s, e in iv if v and s <= t <= e) for i, ts in asks if ts}
+    assert {x.id: x.v or [] for x in got if x.id % 4} == want
+    assert all(x.v is None for x in got if x.id % 4 == 0)
+
+
+def test_user_list_of_repeated_ids(spark):
+    """Rows of one id get the users of all its instants, within an hour and across hours."""
+    day = lambda h, m: dt.datetime(2024, 1, 1, h, m)
+    login = ("a", 0, day(1, 0), "LOGIN ADMIN admin")
+    rows = [login, ("a", 1, day(2, 0), "LIST_USERS"), ("a", 1, day(2, 0), "LIST_USERS"), ("a", 2, day(3, 0), "LIST_USERS"),
+            ("a", 2, day(5, 0), "LIST_USERS"), ("a", 3, day(9, 0), "LIST_USERS")]
+    cmds = spark.createDataFrame(rows, "session_id string, cmd_id long, ts timestamp_ntz, line string")
+    sess = spark.createDataFrame([("x", "1.1.1.1", 7, day(0, 0), day(4, 0)), ("y", "2.2.2.2", 8, day(1, 30), day(6, 0)), ("z", None, 9, day(1, 0), day(9, 30))],
+                                 "session_id string, ip string, port int, connect_ts timestamp_ntz, disconnect_ts timestamp_ntz")
+    got = {(r.cmd_id, r.ts.hour): r.response for r in S.server_responses(cmds, None, sess).collect() if r.cmd_id}
+    x, y = "1.1.1.1:7;", "2.2.2.2:8;"
+    assert got == {(1, 2): "USER_LIST " + x * 2 + y * 2, (2, 3): "USER_LIST " + x + y * 2, (2, 5): "USER_LIST " + x + y * 2, (3, 9): "USER_LIST "}
