@@ -303,3 +303,40 @@ def test_finished_subtrees_stay_arrays_and_make_the_same_tree(spark):
     a, b = whole.tree(rule), parts.tree(rule)
     assert len(a.feature) == len(b.feature) > 600 and sorted(a.value) == pytest.approx(sorted(b.value))
     assert a.value[a.leaves(x)] == pytest.approx(b.value[b.leaves(x)])
+
+
+# ---- forests of best cuts ----------------------------------------------------
+
+@pytest.mark.parametrize("rule", [T.Rule("gini"), T.Rule("variance", least_rows=2), T.Rule("gini", tries=2, best=True)])
+def test_small_nodes_are_cut_by_their_rows_as_by_histograms(monkeypatch, rule):
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 12, (400, 5)).astype(np.uint8)
+    y = (rng.random(400) < 0.3 + 0.05 * x[:, 0]).astype(float) if rule.score == "gini" else x[:, 1] + rng.normal(size=400)
+    n = rng.integers(1, 4, 400).astype(float)
+    sums = np.stack([np.ones(400), n * (1 - y), n * y], 1) if rule.score == "gini" else np.stack([np.ones(400), n, n * y], 1)
+    bins = T.Bins([np.arange(11.0)] * 5)
+    cells = []
+    count = T._histograms
+    monkeypatch.setattr(T, "_histograms", lambda x, s, node, nodes, width: cells.append(nodes * width) or count(x, s, node, nodes, width))
+    a = T.grow_levels(rule, bins, 0, 0, 0, x, sums).tree(rule)
+    assert sum(cells) < 12 * len(a.feature)              # a level of small nodes costs as its rows
+    monkeypatch.setattr(T, "SMALL", (1,))
+    b = T.grow_levels(rule, bins, 0, 0, 0, x, sums).tree(rule)
+    for k in ("feature", "bin", "left"):
+        np.testing.assert_array_equal(getattr(a, k), getattr(b, k))
+    np.testing.assert_allclose(a.value, b.value, atol=1e-9)
+
+
+def test_forest_is_the_same_on_both_routes_and_splits_what_it_can(data):
+    from netquery.models import classifiers as CL
+    made = [O.ForestClassifier(numTrees=4, maxBins=16, seed=3, finish=f, gathered=g).fit(data) for f, g in ((1 << 23, 1 << 30), (2000, 1))]
+    assert np.allclose(scores(made[0], data), scores(made[1], data))
+    shares = made[0].featureImportances.toArray()
+    assert len(shares) == len(data.first()["features"]) and abs(shares.sum() - 1) < 1e-9 and (shares >= 0).all()
+    m = CL.random_forest(20, weighted=False).fit(data)
+    assert isinstance(m, O.ForestClassifierModel)
+    out = m.transform(data).select("label", "prediction", "score", "probability").toPandas()
+    assert out["score"].between(0, 1).all() and (out["label"] == out["prediction"]).mean() > 0.9
+    np.testing.assert_allclose([p[1] for p in out["probability"]], out["score"])
+    whole = O.ForestClassifier(numTrees=1, maxBins=255, bootstrap=False, featureSubsetStrategy="all").fit(data).transform(data)
+    assert whole.where("label <> prediction").count() <= 0.01 * data.count()
