@@ -340,3 +340,14 @@ def test_forest_is_the_same_on_both_routes_and_splits_what_it_can(data):
     np.testing.assert_allclose([p[1] for p in out["probability"]], out["score"])
     whole = O.ForestClassifier(numTrees=1, maxBins=255, bootstrap=False, featureSubsetStrategy="all").fit(data).transform(data)
     assert whole.where("label <> prediction").count() <= 0.01 * data.count()
+
+
+def test_rows_of_one_task_take_a_job_for_many_stages(data, monkeypatch):
+    passes = []
+    finish = T._finish_pass
+    monkeypatch.setattr(T, "_finish_pass", lambda *a: passes.append(1) or finish(*a))
+    for make in (lambda **kw: O.LeafwiseBoostingClassifier(maxIter=5, every=2, minRows=5, numLeaves=6, **kw), lambda **kw: O.OrderedBoostingClassifier(maxIter=5, every=2, maxDepth=3, keyCol="id", **kw)):
+        one, many = make().fit(data), make(finish=0).fit(data)
+        assert len(one.losses) == 3 and np.allclose(one.losses, many.losses)
+        assert np.allclose(scores(one, data), scores(many, data))
+    assert not passes
