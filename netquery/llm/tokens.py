@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from itertools import chain
 
 import numpy as np
 
@@ -22,6 +21,20 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class _Words(dict):
+    """Ids of words: those not asked for before are learned; emptied when full."""
+
+    def __init__(self, learn):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= CACHE:
+            self.clear()
+        self[word] = ids = self.learn(word)
+        return ids
+
+
 class Ids:
     """Ids of texts as little-endian unsigned 16-bit numbers (the vocabulary has under 65,536 entries)."""
 
@@ -34,34 +47,28 @@ class Ids:
         # the byte-level alphabet: bytes that print stand for themselves, others for characters from 256 on
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.alphabet = {b: 256 + i for i, b in enumerate(sorted(set(range(256)).difference(shown)))}
-        self.words: dict[str, bytes] = {}               # runs without white space
+        self.words = _Words(self._learn)                # of runs without white space
         self.pieces: dict[str, bytes] = {}              # what the vocabulary's pattern cuts them into
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        """Cache the ids of words. Pieces go to the vocabulary's model itself, which makes no offsets or masks."""
+    def _learn(self, word: str) -> bytes:
+        """The ids of a word, from its pieces. New ones go to the vocabulary's model itself, which makes no offsets or masks."""
         if len(self.pieces) > CACHE:
             self.pieces.clear()
-        parts = [_PIECE.findall(w) for w in words]
-        new = list(set(chain.from_iterable(parts)).difference(self.pieces))
-        tokenize, alphabet = self.tokenizer.model.tokenize, self.alphabet
-        for p in new:
-            mapped = p if p.isascii() else p.encode().decode("latin-1").translate(alphabet)
-            self.pieces[p] = array("H", [x.id for x in tokenize(mapped)]).tobytes()
-        get = self.pieces.__getitem__
-        self.words.update((w, b"".join(map(get, p))) for w, p in zip(words, parts, strict=True))
+        parts, pieces = _PIECE.findall(word), self.pieces
+        for p in parts:
+            if p not in pieces:
+                mapped = p if p.isascii() else p.encode().decode("latin-1").translate(self.alphabet)
+                pieces[p] = array("H", [x.id for x in self.tokenizer.model.tokenize(mapped)]).tobytes()
+        return b"".join([pieces[p] for p in parts])
 
     def encode_many(self, texts: list[str | None]) -> list[bytes]:
-        plain = [t or "" for t in texts]
-        split = [t.lower().split() if "<|" not in t and (t.isascii() and t.isprintable() or _PLAIN.fullmatch(t)) else None for t in plain]
-        need = set(chain.from_iterable(w for w in split if w is not None))
-        new = list(need.difference(self.words))
-        if len(self.words) + len(new) > CACHE:
-            self.words.clear()
-            new = list(need)
-        if new:
-            self._learn(new)
-        get = self.words.__getitem__
-        return [self._whole(t) if w is None else b"".join(map(get, w)) for t, w in zip(plain, split, strict=True)]
+        get = self.words.__getitem__            # a word that is not there is learned
+        out = []
+        for t in texts:
+            t = t or ""
+            plain = "<|" not in t and (t.isascii() and t.isprintable() or _PLAIN.fullmatch(t))
+            out.append(b"".join(map(get, t.lower().split())) if plain else self._whole(t))
+        return out
