@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from .common import id_bits, mix, shingles, text_bytes, text_slices, with_bit, word_hashes, written
-from .graph import components
+from .graph import components, spanning
 
 LEAF = 32             # regions of up to so many classes are compared at once
 PIVOTS = 4            # documents as pivots in a larger region
@@ -170,16 +170,16 @@ def _beside(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
 
 
 def _measure(pairs: DataFrame, sets: DataFrame, percent: int, name: str) -> tuple[DataFrame, DataFrame]:
-    """(`pairs` with `most`, linked pairs). Sets hashed into bins share at least as much
+    """(`pairs` with `most`, linked pairs: of those of one region as many as connect what all connect). Sets hashed into bins share at least as much
     as the sets do, and the Jaccard distance of such multisets is a metric too, never
     above that of the sets. So `most`, the overlap of the bins, rules pairs out and
     measures pivots; only what may still be linked has its sets compared."""
     most = F.aggregate(F.zip_with("x", "y", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    near = written(_beside(pairs, sets, "g").select("a", "b", "na", "nb", most.cast("long").alias("most")), name)
+    near = written(_beside(pairs, sets, "g").select("a", "b", "na", "nb", "region", most.cast("long").alias("most")), name)
     enough = lambda c: F.col(c) * (100 + percent) >= percent * (F.col("na") + F.col("nb"))
     both = F.size(F.array_intersect("x", "y")).cast("long").alias("both")
-    links = _beside(near.where(enough("most")), sets, "s").select("a", "b", "na", "nb", both).where(enough("both"))
-    return near, written(links.select("a", "b"), name + "-links")
+    links = _beside(near.where(enough("most")), sets, "s").select("a", "b", "na", "nb", "region", both).where(enough("both"))
+    return near, written(spanning(links, "region"), name + "-links")
 
 
 def _size_fits(x: str, y: str, percent: int):
@@ -187,20 +187,21 @@ def _size_fits(x: str, y: str, percent: int):
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
-    """Each pair once, smaller class first."""
+    """Each pair once, smaller class first, with the first region that has it."""
     swap = F.col("a") > F.col("b")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(swap, F.col("nb")).otherwise(F.col("na")).alias("na"),
-                        F.when(swap, F.col("na")).otherwise(F.col("nb")).alias("nb")).distinct()
+                        F.when(swap, F.col("na")).otherwise(F.col("nb")).alias("nb"), "region").groupBy("a", "b", "na", "nb").agg(F.min("region").alias("region"))
 
 
 def _leaf_pairs(regions: DataFrame, percent: int, leaf: int) -> DataFrame:
-    """All pairs, at least one at home, of the regions of at most `leaf` classes."""
+    """All pairs, at least one at home, of the regions of at most `leaf` classes, each with the first region that has it."""
     m = regions.where(F.col("k") <= leaf).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("c", "n", "home"))).alias("m"))
     pair = F.flatten(F.transform(F.sequence(F.lit(0), F.size("m") - 2), lambda i: F.transform(
         F.slice(F.col("m"), i + 2, F.size("m")), lambda y: F.struct(F.col("m")[i].alias("x"), y.alias("y")))))
     fits = lambda p: (p["x"]["home"] | p["y"]["home"]) & (F.least(p["x"]["n"], p["y"]["n"]) * 100 >= F.greatest(p["x"]["n"], p["y"]["n"]) * percent)
-    p = m.where(F.size("m") > 1).select(F.explode(F.filter(pair, fits)).alias("p"))
-    return p.select(F.col("p.x.c").alias("a"), F.col("p.y.c").alias("b"), F.col("p.x.n").alias("na"), F.col("p.y.n").alias("nb")).distinct()
+    p = m.where(F.size("m") > 1).select("key", F.explode(F.filter(pair, fits)).alias("p"))
+    p = p.select("key", F.col("p.x.c").alias("a"), F.col("p.y.c").alias("b"), F.col("p.x.n").alias("na"), F.col("p.y.n").alias("nb"))
+    return p.groupBy("a", "b", "na", "nb").agg(F.min("key").alias("region"))
 
 
 def _rings(regions: DataFrame, percent: int) -> DataFrame:
@@ -342,7 +343,7 @@ def class_links(docs: DataFrame, k: int = 4, percent: int = 85, leaf: int = LEAF
         chosen = (weight.withColumn("r", F.row_number().over(order)).where(F.col("r") <= pivots)
                   .select("key", F.col("c").alias("p"), F.col("n").alias("np")))
         star = written(big.select("key", "c", "n").join(chosen, "key"), "star")
-        pairs = _ordered(star.where("c <> p").select(F.col("c").alias("a"), F.col("p").alias("b"), F.col("n").alias("na"), F.col("np").alias("nb")))
+        pairs = _ordered(star.where("c <> p").select(F.col("c").alias("a"), F.col("p").alias("b"), F.col("n").alias("na"), F.col("np").alias("nb"), F.col("key").alias("region")))
         met, more = _measure(pairs, sets, percent, "pivot-pairs")
         links = links.unionByName(more)
         label = components(links)

@@ -440,3 +440,18 @@ def test_chunks_cover_every_byte():
             part = c[:max(0, n - at)]
             back[at:at + len(part)] = part
         assert (back == data[off[i]:off[i + 1]]).all()
+
+
+def test_dense_groups_keep_a_forest_of_their_links(spark):
+    """Near copies of one text are linked all with all; what reaches the components grows as the texts, not as their square."""
+    from netquery.llm.graph import components, spanning
+    base = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join([*base[:40 + i], f"new{i}", *base[41 + i:]])) for i in range(24)] + [(100 + i, f"text {i} of its own kind") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    _, links = ngram_join.class_links(docs, 4, 85)
+    assert 23 <= links.count() <= 60                     # all pairs: 276
+    assert {r.component_id for r in ngram_join.near_groups(docs).where("doc_id < 100").collect()} == {0}
+    clique = spark.createDataFrame([(a, b, g) for g in (0, 1000) for a in range(g, g + 30) for b in range(a + 1, g + 30)], "a long, b long, g long")
+    kept = spanning(clique, "g")
+    assert kept.count() == 58
+    assert components(kept).groupBy("label").count().collect().__len__() == 2
