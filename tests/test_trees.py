@@ -351,3 +351,12 @@ def test_rows_of_one_task_take_a_job_for_many_stages(data, monkeypatch):
         assert len(one.losses) == 3 and np.allclose(one.losses, many.losses)
         assert np.allclose(scores(one, data), scores(many, data))
     assert not passes
+
+
+def test_saved_forest_keeps_scores_and_importances(spark, data):
+    m = O.ForestClassifier(numTrees=3, maxDepth=4).fit(data)
+    path = scratch_path(spark, f"forest-{uuid.uuid4().hex}")
+    PipelineModel(stages=[m]).write().overwrite().save(path)
+    back = PipelineModel.load(path).stages[0]
+    assert np.allclose(scores(m, data), scores(back, data))
+    assert np.allclose(m.featureImportances.toArray(), back.featureImportances.toArray())
