@@ -43,7 +43,7 @@ def tokenised(docs: DataFrame, key: str, text: str, path: str) -> DataFrame:
 
     def run(batches):
         ids, end = Ids(path), np.array([END], "<u2").tobytes()
-        for b in text_slices(batches, "text", 4 << 20):
+        for b in text_slices(batches, "text", 16 << 20):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x + end for x in ids.encode_many(b.column(1).to_pylist())], pa.binary())], ["doc_id", "ids"])
     return docs.mapInArrow(run, f"doc_id {kind.simpleString()}, ids binary")
 

@@ -338,6 +338,17 @@ def test_cached_ids_equal_the_library():
             assert np.frombuffer(got, "<u2").tolist() == t.encode(text, add_special_tokens=False).ids, text
 
 
+def test_a_piece_goes_to_the_model_once(monkeypatch):
+    ids, asked = tokens.Ids(tokens.default_path()), []
+    pieces = ids._pieces
+    monkeypatch.setattr(ids, "_pieces", lambda some: asked.extend(some) or pieces(some))
+    texts = ["Été, the word's end; été!", None, "", " \t ", "the WORD, the end 42", "whole <|endoftext|> the"] * 40
+    want = [tokens.np.array(ids.tokenizer.encode(x or "", add_special_tokens=False).ids, "<u2").tobytes() for x in texts]
+    assert ids.encode_many(texts) == want
+    assert asked and len(asked) == len(set(asked))
+    assert ids.encode_many([]) == [] and ids.encode_many([None]) == [b""]
+
+
 def test_neighbours_follow_bm25():
     r = np.random.default_rng(1)
     docs = [r.integers(10, 400, int(n)) for n in r.integers(30, 200, 60)]
