@@ -3,7 +3,10 @@ majority class, reproducible, and persisted pipelines score identically."""
 
 import uuid
 
+import numpy as np
 import pytest
+from pyspark.ml import classification as C
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from conftest import SF0001
@@ -11,6 +14,8 @@ from netquery.models import base as B
 from netquery.models import classifiers as CL
 from netquery.models import custom as CU
 from netquery.models import ensembles as EN
+from netquery.models import linear as LI
+from netquery.models import own as O
 from netquery.models import tuning as TU
 from netquery.plans.derived import connection_records
 from netquery.session import scratch_path
@@ -60,6 +65,57 @@ def test_custom_models(prep):
     assert _acc(et) > _majority(prep)
 
 
+def _points(spark, n=400):
+    r = np.random.default_rng(5)
+    x = r.normal(size=(n, 4)) * [1, 10, 0.1, 0] + [0, 50, 0, 3]        # the last feature is constant
+    y = (x[:, 0] + 0.1 * x[:, 1] - 5 + r.normal(size=n) * 0.7 > 0).astype(float)
+    rows = [(i, v.tolist(), float(t), 1.0 + i % 3) for i, (v, t) in enumerate(zip(x, y, strict=True))]
+    return spark.createDataFrame(rows, "id long, x array<double>, label double, weight double").select("id", array_to_vector("x").alias("features"), "label", "weight").repartition(3).cache()
+
+
+def test_settings_fitted_together_are_those_of_spark(spark, monkeypatch):
+    d, sizes = _points(spark), []
+    at = LI.Passes.at
+    monkeypatch.setattr(LI.Passes, "at", lambda self, points: sizes.append(len(points)) or at(self, points))
+    est = O.LogisticTogether(weightCol="weight", tol=1e-12)
+    settings = [1e-3, 1e-2, 0.3]
+    got = dict(est.fitMultiple(d, [{est.regParam: v} for v in settings]))
+    assert sizes[0] == 3 and len(sizes) < 60         # one pass for all settings
+    for i, v in enumerate(settings):
+        want = C.LogisticRegression(regParam=v, standardization=False, weightCol="weight", tol=1e-12).fit(d)
+        assert np.allclose(got[i].w, want.coefficients.toArray(), rtol=1e-4, atol=1e-6) and abs(got[i].b - want.intercept) < 1e-3
+        a, b = (m.transform(d).select("id", "prediction") for m in (got[i], want))
+        assert a.exceptAll(b).count() == 0
+    cv = TU.randomized_search(est, {"regParam": settings}, d, "id", n_iter=3, folds=2)
+    assert max(cv.avgMetrics) > 0.8 and _acc(cv.bestModel.transform(d)) > 0.85
+
+
+def test_fourier_features_are_not_kept(spark):
+    d = _points(spark)
+    d.count()
+    before, kept = set(spark.sparkContext._jsc.getPersistentRDDs().keySet()), []
+    at = LI.Passes.at
+
+    def seen(self, points):
+        kept.extend(set(spark.sparkContext._jsc.getPersistentRDDs().keySet()) - before)
+        return at(self, points)
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(LI.Passes, "at", seen)
+        got = CU.fit_rbf_svc(d, n_components=30, max_iter=100)
+    assert not kept
+    # the loss is that of Spark's linear SVM on the same features, or less
+    x = np.array([r.features.toArray() for r in d.orderBy("id").select("features").collect()])
+    y = np.array([r.label for r in d.orderBy("id").collect()])
+    z = CU.rff(got.W, got.b)(x)
+    zs = spark.createDataFrame([(v.tolist(), float(t)) for v, t in zip(z, y, strict=True)], "z array<double>, label double").select(array_to_vector("z").alias("features"), "label")
+    svc = C.LinearSVC(maxIter=100, regParam=1.0 / len(y), standardization=False).fit(zs)
+
+    def loss(w, c):
+        return LI.hinge_loss(z @ w + c, y)[0].mean() + 0.5 / len(y) * (w @ w)
+    assert loss(got.w, got.c) <= loss(svc.coefficients.toArray(), svc.intercept) * 1.02
+    assert np.allclose([r.score for r in got.transform(d).orderBy("id").collect()], z @ got.w + got.c)
+
+
 def test_reproducible_and_persisted(spark, prep):
     a = CL.random_forest(5, max_depth=6).fit(prep.train).transform(prep.test).select("conn_id", "prediction")
     b = CL.random_forest(5, max_depth=6).fit(prep.train).transform(prep.test).select("conn_id", "prediction")
