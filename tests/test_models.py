@@ -90,6 +90,13 @@ def test_settings_fitted_together_are_those_of_spark(spark, monkeypatch):
     assert max(cv.avgMetrics) > 0.8 and _acc(cv.bestModel.transform(d)) > 0.85
 
 
+def test_linear_fits_reject_what_is_not_a_number(spark):
+    d = spark.createDataFrame([(0, [1.0, float("nan")], 0.0), (1, [2.0, 1.0], 1.0)], "id long, x array<double>, label double").select("id", array_to_vector("x").alias("features"), "label")
+    for est in (O.LogisticTogether(), O.FourierSVC(components=3)):
+        with pytest.raises(ValueError, match="NaN"):
+            est.fit(d)
+
+
 def test_fourier_features_are_not_kept(spark):
     d = _points(spark)
     d.count()
