@@ -309,3 +309,49 @@ def test_visits_of_a_batch_come_in_bounded_parts():
     got = pd.concat(parts, ignore_index=True)
     assert len(got) == 300 * 49 and (got["turn"] == np.arange(len(got))).all() and (got.groupby("test_key")["cell"].nunique() == 49).all()
     assert all((a == b).all() for a, b in zip(got["v"][::97], pdf["v"].iloc[got["test_key"][::97]]))
+
+
+class _Seen(Exception):
+    pass
+
+
+def _sizes(cands):
+    """Trees, stages and steps of the candidates that have them."""
+    out = {}
+    for name, c in cands.items():
+        e = getattr(c, "make", c[0] if isinstance(c, tuple) else c)
+        for p in ("numTrees", "maxIter"):
+            if hasattr(e, p):
+                out[name] = e.getOrDefault(p)
+    return out
+
+
+_WHOLE = {"LogReg": 1000, "LinearSVC": 100, "RandomForest": 200, "ExtraTrees": 300, "GradBoost": 100, "AdaBoost": 50, "LightGBM": 300, "CatBoost": 300}
+
+
+def _stopped(prep, monkeypatch, where, name):
+    """The arguments with which a query calls `where.name`; it ends there."""
+    from netquery.plans import models_q as MQ
+    got = {}
+
+    def seen(*a, **kw):
+        got.update(a=a, kw=kw)
+        raise _Seen
+    monkeypatch.setattr(MQ, "prepared", lambda spark, sf: prep)
+    monkeypatch.setattr(where, name, seen)
+    return MQ, got
+
+
+def test_detection_run_fits_and_tunes_the_whole_reference_models(spark, prep, monkeypatch):
+    from netquery.models import workflow
+    MQ, got = _stopped(prep, monkeypatch, workflow, "run_detection")
+    with pytest.raises(_Seen):
+        MQ.q_detection_run(spark, SF0001)
+    cands = got["a"][1]
+    assert {k: v for k, v in _sizes(cands).items() if k in _WHOLE} == _WHOLE and _sizes(cands)["Bagging(Tree)"] == 100
+    assert cands["RandomForest"].grid["numTrees"] == [100, 200, 300] and cands["ExtraTrees"].grid["numTrees"] == [200, 300, 500]
+    assert (got["kw"]["tune_top"], got["kw"]["n_iter"], got["kw"]["folds"]) == (3, 8, 3)
+    folds = {}
+    monkeypatch.setattr(EN, "fit_stacking", lambda df, members, key, **kw: folds.update(kw, **_sizes(members)))
+    cands["Stacking"].make(prep.train)
+    assert folds == {"folds": 5, "rf": 150, "gb": 100}
