@@ -355,3 +355,10 @@ def test_detection_run_fits_and_tunes_the_whole_reference_models(spark, prep, mo
     monkeypatch.setattr(EN, "fit_stacking", lambda df, members, key, **kw: folds.update(kw, **_sizes(members)))
     cands["Stacking"].make(prep.train)
     assert folds == {"folds": 5, "rf": 150, "gb": 100}
+
+
+def test_evaluate_many_fits_the_whole_reference_models(spark, prep, monkeypatch):
+    MQ, got = _stopped(prep, monkeypatch, TU, "evaluate_many")
+    with pytest.raises(_Seen):
+        MQ.q_evaluate_many(spark, SF0001)
+    assert _sizes(got["a"][0]) == _WHOLE
