@@ -362,3 +362,11 @@ def test_evaluate_many_fits_the_whole_reference_models(spark, prep, monkeypatch)
     with pytest.raises(_Seen):
         MQ.q_evaluate_many(spark, SF0001)
     assert _sizes(got["a"][0]) == _WHOLE
+
+
+def test_forests_are_searched_with_the_reference_grids(spark, prep, monkeypatch):
+    MQ, got = _stopped(prep, monkeypatch, TU, "randomized_search")
+    with pytest.raises(_Seen):
+        MQ.q_tune_randomized_forests(spark, SF0001)
+    assert got["a"][1]["numTrees"] == [100, 200, 300] and len(got["a"][1]) == 3
+    assert (got["kw"]["n_iter"], got["kw"]["folds"]) == (8, 3)
