@@ -102,3 +102,11 @@ def test_gradient_boosting_is_not_spark_jobs_for_each_level(data):
         assert len(t.getJobIdsForGroup(group + "2")) == few
     finally:
         df.sparkSession.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("bad", [(float("nan"), 1.0), (float("inf"), 1.0), (1.0, 2.0), (1.0, None)])
+def test_gradient_boosting_rejects_what_is_not_a_number(spark, bad):
+    rows = [(float(i), float(i % 2)) for i in range(20)] + [bad]
+    df = spark.createDataFrame(rows, "a double, label double").select("label", array_to_vector(F.array("a")).alias("features"))
+    with pytest.raises(ValueError):
+        O.GradientBoostingClassifier(maxIter=1).fit(df)
